@@ -29,7 +29,7 @@ def prepare(
 
     The labelled rows are scanned once per pass (split counts, statistics,
     medians, categories), reading only the columns that pass needs; store them
-    first when the join before is expensive, as ``process_model_splits`` does.
+    first when the join before is expensive, as ``prepare_tables`` does.
     """
     plan = split.plan_split(labelled, oot_fraction, test_size, seed)
     rows = split.assign_split(labelled, plan)
@@ -40,7 +40,7 @@ def prepare(
     return Prepared(plan, fields, rows, preprocess.transform(rows, fields))
 
 
-def process_model_splits(
+def prepare_tables(
     spark: SparkSession,
     features_path: str,
     labels_path: str,

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from creditmart.sources.spine import as_dates
 
+# The writer would otherwise trim blanks, which the cleaning rules want to see.
+CSV_OPTIONS = {
+    "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False
+}
+
 
 def write_snapshots(
     df: DataFrame, path: str, by: str = "snapshot_date", fmt: str = "parquet"
@@ -26,9 +31,7 @@ def write_snapshots(
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
     )
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    writer.options(**CSV_OPTIONS if fmt == "csv" else {}).format(fmt).save(path)
 
 
 def read_snapshots(
@@ -51,6 +54,10 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
 def between_dates(
     df: DataFrame,
     start: str | date | None = None,
