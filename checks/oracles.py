@@ -453,9 +453,10 @@ ORACLES: dict[str, str] = {
         SELECT mob, count(DISTINCT loan_id) AS loan_count, avg(bad) AS bad_rate_at_mob, avg(ever) AS cumulative_bad_rate FROM so_far GROUP BY mob""",
         ["bad_rate_at_mob", "cumulative_bad_rate"],
     ),
-    "ever_bad_by_mob": query(
-        """WITH flagged AS (SELECT loan_id, mob, dpd, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS bad_at_mob FROM loans_exact WHERE mob BETWEEN 1 AND 10)
-        SELECT *, max(bad_at_mob) OVER (PARTITION BY loan_id ORDER BY mob ROWS UNBOUNDED PRECEDING) AS ever_bad_by_mob FROM flagged"""
+    "bad_by_month": query(
+        """WITH flagged AS (SELECT loan_id, mob, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS bad FROM loans_exact WHERE mob BETWEEN 1 AND 10),
+        so_far AS (SELECT *, max(bad) OVER (PARTITION BY loan_id ORDER BY mob ROWS UNBOUNDED PRECEDING) AS ever FROM flagged)
+        SELECT loan_id, mob, count(*) AS "rows", CAST(sum(bad) AS BIGINT) AS bad_rows, max(ever) AS ever_bad_by_mob FROM so_far GROUP BY loan_id, mob"""
     ),
     "loan_summary": query(
         "SELECT count(*) AS row_count, count(DISTINCT loan_id) AS loan_count, min(mob) AS minimum_mob, max(mob) AS maximum_mob FROM loans_exact"
@@ -488,7 +489,7 @@ ORACLES: dict[str, str] = {
     "attributes_gold": query("SELECT * FROM attributes_gold", dates=["snapshot_date"]),
     "financials_gold": query("SELECT * FROM financials_gold", FIN_GOLD_DOUBLES, ["snapshot_date"]),
     "click_history_asof": query(
-        history_sql(["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26", "2024-01-31", "2024-02-05"]),
+        history_sql([f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]),
         [f"{c}_mean" for c in COUNTERS], ["snapshot_date"],
     ),
     "click_history_monthly": query(

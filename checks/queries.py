@@ -29,8 +29,8 @@ from creditmart.sources import raw, spine, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
-# Every fifth day, to exercise many cutoffs on one month of activity.
-DAYS = ["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21", "2024-01-26", "2024-01-31", "2024-02-05"]
+# As many cutoffs as two years of months, on the one month of activity there is.
+DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -342,9 +342,7 @@ QUERIES: dict[str, Query] = {
     "default_rate_by_cohort": lambda s, d: loans.default_rate(labels(s, d), "loan_start_date"),
     "default_rate_by_label_date": lambda s, d: loans.default_rate(labels(s, d)),
     "mob_performance_curve": lambda s, d: loans.performance_curve(exact_loans(s, d)),
-    "ever_bad_by_mob": lambda s, d: loans.ever_bad(exact_loans(s, d)).select(
-        "loan_id", "mob", "dpd", "bad_at_mob", "ever_bad_by_mob"
-    ),
+    "bad_by_month": lambda s, d: loans.bad_by_month(exact_loans(s, d)),
     "loan_summary": lambda s, d: quality.loan_summary(exact_loans(s, d)),
     "duplicate_loan_keys": lambda s, d: assemble.duplicate_keys(
         s.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]

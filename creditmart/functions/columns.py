@@ -88,8 +88,8 @@ def entry_count(padded: Column, entry: str) -> Column:
 
 def history_months(text: Column, pattern: str) -> Column:
     """``2 Years and 3 Months`` -> 27; any other text -> null."""
-    years = F.regexp_extract(text, r"^(\d+)", 1).try_cast("int")
-    months = F.regexp_extract(text, r"and (\d+)", 1).try_cast("int")
+    years = F.substring_index(text, " ", 1).try_cast("int")
+    months = F.substring_index(F.substring_index(text, " ", -2), " ", 1).try_cast("int")
     return F.when(text.rlike(pattern), F.try_add(F.try_multiply(years, F.lit(12)), months))
 
 

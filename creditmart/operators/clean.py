@@ -42,8 +42,7 @@ def attributes(
         "Occupation": rule.meaningful_text(F.col("Occupation")),
         "snapshot_date": F.col("snapshot_date").try_cast("date"),
     })
-    valid = rule.within(F.col("Age"), *age_range)
-    return known.withColumns({"age_invalid": ~valid, "Age": F.when(valid, F.col("Age"))})
+    return _ranged(known, {"Age": age_range})
 
 
 def financials(
@@ -112,10 +111,9 @@ def _loan_counts(typed: DataFrame) -> DataFrame:
     suspicious = F.col("loan_count_status").isin("Invalid count", "Mismatch") | (
         (F.col("loan_count_status") == "Missing loan list") & (stated > 0)
     )
-    return judged.withColumns({
-        "loan_count_suspicious": suspicious,
-        "Num_of_Loan": F.when(~suspicious, stated),
-    })
+    return judged.withColumn("loan_count_suspicious", suspicious).withColumn(
+        "Num_of_Loan", F.when(~F.col("loan_count_suspicious"), stated)
+    )
 
 
 def _bounded_values() -> dict:
@@ -144,8 +142,7 @@ def _salary_ratios(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> Dat
     """
     changes = {}
     for name, (low, high) in ranges.items():
-        ratio = F.try_divide(F.col(name), F.col("Monthly_Inhand_Salary"))
-        in_range = ratio.between(low, high)
-        changes[f"{name.lower()}_invalid"] = F.when(F.col(name).isNull(), True).otherwise(~in_range)
+        in_range = F.try_divide(F.col(name), F.col("Monthly_Inhand_Salary")).between(low, high)
+        changes[f"{name.lower()}_invalid"] = F.col(name).isNull() | ~in_range
         changes[name] = F.when(in_range, F.col(name))
     return df.withColumns(changes)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,33 +65,12 @@ def default_rate(labels: DataFrame, by: str = "snapshot_date") -> DataFrame:
     )
 
 
-def ever_bad(loans: DataFrame, dpd: int = 30, first: int = 1, last: int = 10) -> DataFrame:
-    """Per row: bad at this month, and bad at this or an earlier month on book.
-
-    The running maximum of a 0/1 flag turns on at the first bad month, so one
-    small aggregate per bad loan answers it. A loan holding a large share of the
-    rows is not sorted in one task; adaptive execution may split its join.
-    """
-    seen = loans.filter(F.col("mob").between(first, last))
-    first_bad = (
-        seen.filter(_is_bad(dpd)).groupBy("loan_id").agg(F.min("mob").alias("_first_bad"))
-    )
-    bad_by_now = F.coalesce(F.col("mob") >= F.col("_first_bad"), F.lit(False))
-    return (
-        seen.withColumn("bad_at_mob", _is_bad(dpd).cast("int"))
-        .join(first_bad, "loan_id", "left")
-        .withColumn("ever_bad_by_mob", bad_by_now.cast("int"))
-        .drop("_first_bad")
-    )
-
-
-def performance_curve(
-    loans: DataFrame, dpd: int = 30, first: int = 1, last: int = 10
-) -> DataFrame:
-    """Loans, bad rate and cumulative bad rate per month on book.
+def bad_by_month(loans: DataFrame, dpd: int = 30, first: int = 1, last: int = 10) -> DataFrame:
+    """Per loan and month on book: rows, bad rows, and bad at this or an earlier month.
 
-    One shuffle by loan: each loan is reduced to its row and bad counts per
-    month, combined before the shuffle, and the curve is a sum over loans.
+    One shuffle by loan, combined before it: a loan becomes its row and bad
+    counts per month, however many rows it has, and the running maximum of the
+    bad flag is read off those counts without a sort.
     """
     months = range(first, last + 1)
     at = {month: F.col("mob") == month for month in months}
@@ -105,30 +82,32 @@ def performance_curve(
             *[F.count_if(at[month] & _is_bad(dpd)).alias(f"bad_{month}") for month in months],
         )
     )
-
-    def bad_by(month: int) -> Column:
-        return reduce(lambda a, b: a | b, [F.col(f"bad_{m}") > 0 for m in range(first, month + 1)])
-
-    totals = per_loan.agg(*[
-        part
-        for month in months
-        for part in (
-            F.sum(f"rows_{month}").alias(f"rows_{month}"),
-            F.sum(f"bad_{month}").alias(f"bad_{month}"),
-            F.sum(F.when(bad_by(month), F.col(f"rows_{month}")).otherwise(0)).alias(f"ever_{month}"),
-            F.count_if(F.col("loan_id").isNotNull() & (F.col(f"rows_{month}") > 0)).alias(f"loans_{month}"),
-        )
-    ])
-    curve = F.array(*[
-        F.struct(
+    entries, bad_so_far = [], F.lit(False)
+    for month in months:
+        bad_so_far = bad_so_far | (F.col(f"bad_{month}") > 0)
+        entries.append(F.struct(
             F.lit(month).alias("mob"),
-            F.col(f"loans_{month}").alias("loan_count"),
-            F.try_divide(F.col(f"bad_{month}"), F.col(f"rows_{month}")).alias("bad_rate_at_mob"),
-            F.try_divide(F.col(f"ever_{month}"), F.col(f"rows_{month}")).alias("cumulative_bad_rate"),
+            F.col(f"rows_{month}").alias("rows"),
+            F.col(f"bad_{month}").alias("bad_rows"),
+            bad_so_far.cast("int").alias("ever_bad_by_mob"),
+        ))
+    return per_loan.select("loan_id", F.inline(F.array(*entries))).filter("rows > 0")
+
+
+def performance_curve(
+    loans: DataFrame, dpd: int = 30, first: int = 1, last: int = 10
+) -> DataFrame:
+    """Loans, bad rate and cumulative bad rate per month on book."""
+    rows = F.sum("rows")
+    return (
+        bad_by_month(loans, dpd, first, last).groupBy("mob")
+        .agg(
+            F.count("loan_id").alias("loan_count"),
+            (F.sum("bad_rows") / rows).alias("bad_rate_at_mob"),
+            (F.sum(F.col("rows") * F.col("ever_bad_by_mob")) / rows).alias("cumulative_bad_rate"),
         )
-        for month in months
-    ])
-    return totals.select(F.inline(curve)).filter("bad_rate_at_mob is not null").orderBy("mob")
+        .orderBy("mob")
+    )
 
 
 def _is_bad(dpd: int) -> Column:

@@ -104,13 +104,12 @@ def plan_split(
     buckets = _boundary_rows(
         earlier.withColumn("_value", F.floor(F.col("_hash") / width)), quotas
     )
-    in_bucket = [
-        (F.col("label") == label) & (F.floor(F.col("_hash") / width) == row.value)
-        for label, row in buckets.items()
-    ]
+    in_bucket = F.floor(F.col("_hash") / width) == _by_label(
+        {label: row.value for label, row in buckets.items()}
+    )
     left = {label: quotas[label] - row.before for label, row in buckets.items()}
     exact = _boundary_rows(
-        earlier.filter(_any(in_bucket)).withColumn("_value", F.col("_hash")), left
+        earlier.filter(in_bucket).withColumn("_value", F.col("_hash")), left
     )
     boundaries = {
         label: Boundary(row.value, left[label] - row.before, row.n) for label, row in exact.items()
@@ -124,27 +123,28 @@ def plan_split(
 
 
 def assign_split(loans: DataFrame, plan: SplitPlan) -> DataFrame:
-    """Add ``split``: ``oot``, ``test`` or ``train``. No shuffle in the usual case."""
-    hashed = loans.withColumn("_hash", _hash(plan.seed, plan.identity))
-    chosen, torn = [], []
-    for label, boundary in plan.boundaries.items():
-        of_class = F.col("label") == label
-        at = F.col("_hash") == boundary.hash
-        chosen.append(of_class & (F.col("_hash") < boundary.hash))
-        if boundary.take == boundary.ties:
-            chosen.append(of_class & at)
-        else:
-            torn.append(of_class & at & (F.col("loan_start_date") < F.lit(plan.cutoff)))
-    split = (
-        F.when(F.col("loan_start_date") >= F.lit(plan.cutoff), "oot")
-        .when(_any(chosen), "test")
-        .when(F.col("loan_start_date").isNotNull(), "train")
+    """Add ``split``: ``oot``, ``test`` or ``train``. No shuffle in the usual case.
+
+    Loans without a start date belong to no set.
+    """
+    hashed = loans.filter("loan_start_date is not null").withColumn(
+        "_hash", _hash(plan.seed, plan.identity)
     )
+    # The boundary row itself is a test row unless its copies must be shared out.
+    limit = _by_label({
+        label: b.hash + (1 if b.take == b.ties else 0) for label, b in plan.boundaries.items()
+    })
+    later = F.col("loan_start_date") >= F.lit(plan.cutoff)
+    split = F.when(later, "oot").when(F.col("_hash") < limit, "test").otherwise("train")
+    torn = {label: b.hash for label, b in plan.boundaries.items() if b.take < b.ties}
     if not torn:
-        return hashed.withColumn("split", split).drop("_hash").filter("split is not null")
-    whole = hashed.filter(~F.coalesce(_any(torn), F.lit(False))).withColumn("split", split)
-    shared = _share_copies(hashed.filter(_any(torn)), plan)
-    return whole.unionByName(shared).drop("_hash").filter("split is not null")
+        return hashed.withColumn("split", split).drop("_hash")
+    shared = F.coalesce(~later & (F.col("_hash") == _by_label(torn)), F.lit(False))
+    return (
+        hashed.filter(~shared).withColumn("split", split)
+        .unionByName(_share_copies(hashed.filter(shared), plan))
+        .drop("_hash")
+    )
 
 
 def split_report(rows: DataFrame) -> DataFrame:
@@ -159,11 +159,12 @@ def _hash(seed: int, identity: tuple[str, ...]) -> Column:
     return F.conv(F.left(F.md5(text), F.lit(HASH_DIGITS)), 16, 10).cast("long")
 
 
-def _any(conditions: list[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+def _by_label(values: Mapping[int, int]) -> Column:
+    """The value of a row's label; null for a label without one."""
+    chosen = F.lit(None).cast("long")
+    for label, value in values.items():
+        chosen = F.when(F.col("label") == label, F.lit(value).cast("long")).otherwise(chosen)
+    return chosen
 
 
 @dataclass(frozen=True)
@@ -179,9 +180,7 @@ def _boundary_rows(values: DataFrame, quotas: Mapping[int, int]) -> dict[int, _R
     The window sees one row per label and value: 65,536 hash buckets, and then
     the hashes inside one of them.
     """
-    quota = F.coalesce(*[
-        F.when(F.col("label") == label, F.lit(quota)) for label, quota in quotas.items()
-    ])
+    quota = _by_label(quotas)
     running = F.sum("n").over(Window.partitionBy("label").orderBy("_value"))
     rows = (
         values.groupBy("label", "_value").agg(F.count("*").alias("n"))
@@ -201,10 +200,7 @@ def _share_copies(copies: DataFrame, plan: SplitPlan) -> DataFrame:
     columns = copies.columns
     counted = copies.groupBy(*[quoted(c) for c in columns]).agg(F.count("*").alias("_n"))
     order = Window.partitionBy("label").orderBy(*[quoted(c) for c in columns])
-    take = F.coalesce(*[
-        F.when(F.col("label") == label, F.lit(boundary.take))
-        for label, boundary in plan.boundaries.items()
-    ])
+    take = _by_label({label: boundary.take for label, boundary in plan.boundaries.items()})
     start = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
     blocks = counted.withColumn("_start", F.coalesce(start, F.lit(0))).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES_PER_TASK)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.config import KEYS
+from creditmart.functions.joins import attach
 from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import profile
 from creditmart.operators.assemble import assert_unique_keys
@@ -97,7 +98,7 @@ def income_vs_customer_median(pairs: DataFrame) -> DataFrame:
     own = medians.select(
         "Customer_ID", F.get("Annual_Income", F.lit(0)).alias("customer_median_income")
     )
-    return pairs.join(own, "Customer_ID", "left").withColumn(
+    return attach(pairs, own, ["Customer_ID"]).withColumn(
         "income_vs_customer_median", F.col("Annual_Income") / F.col("customer_median_income")
     )
 

@@ -14,6 +14,7 @@ from creditmart.functions.columns import (
     strip_trailing_underscores,
     strip_underscores,
 )
+from creditmart.functions.joins import attach
 from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import profile
 
@@ -75,12 +76,12 @@ def loan_count_comparison(
         .groupBy(*keys).agg(F.sum(F.size(list_entries())).alias("_listed"))
     )
     stated = rounding_int(strip_trailing_underscores(F.col("Num_of_Loan")))
+    rows = financials.select(
+        *keys, "Type_of_Loan",
+        F.col("Num_of_Loan").alias("raw_num_of_loan"), stated.alias("num_of_loan"),
+    )
     compared = (
-        financials.select(
-            *keys, "Type_of_Loan",
-            F.col("Num_of_Loan").alias("raw_num_of_loan"), stated.alias("num_of_loan"),
-        )
-        .join(listed, list(keys), "left")
+        attach(rows, listed, keys)
         .withColumn("listed_loan_count", F.coalesce("_listed", F.lit(0)))
         .withColumn("count_difference", F.col("num_of_loan") - F.col("listed_loan_count"))
     )

@@ -19,7 +19,13 @@ def get_session(app: str = "creditmart", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.ui.enabled", "false")
+        # The JVM does not compile methods above 8000 bytes; a stage that wide runs
+        # faster as several smaller generated methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Recording the call site of every column slows the building of wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
