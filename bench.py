@@ -39,6 +39,7 @@ HEADLINE = [
     "labelled_features",
     "split_report",
     "encoded_sets",
+    "backfill_features",
     "income_gap_summary",
     "loan_type_frequency",
 ]

@@ -116,11 +116,14 @@ SELECT DISTINCT Customer_ID, CAST(snapshot_date AS DATE) AS snapshot_date,
 FROM clicks_raw
 """
 
-PIECES["attributes_silver"] = f"""
+
+
+def attributes_sql(source: str) -> str:
+    return f"""
 WITH read AS (
   SELECT Customer_ID, Age AS Age_raw, trim(Occupation) AS job, snapshot_date AS snapshot_date_raw,
     regexp_replace(trim(Age), '_+$', '') AS age_text
-  FROM attributes_raw
+  FROM {source}
 ), typed AS (SELECT *, {strict_int('age_text')} AS age FROM read)
 SELECT Customer_ID, Age_raw, snapshot_date_raw, CAST(snapshot_date_raw AS DATE) AS snapshot_date,
   CASE WHEN age >= 1 AND age <= 100 THEN age END AS Age,
@@ -129,6 +132,9 @@ SELECT Customer_ID, Age_raw, snapshot_date_raw, CAST(snapshot_date_raw AS DATE)
 FROM typed
 """
 
+
+PIECES["attributes_silver"] = attributes_sql("attributes_raw")
+
 _FIN_TYPED = []
 for _c in FIN_DOUBLES:
     _FIN_TYPED.append(f"TRY_CAST(regexp_replace(trim({_c}), '^_+|_+$', '', 'g') AS DOUBLE) AS {_c}")
@@ -183,12 +189,18 @@ SELECT * REPLACE (
 FROM bounded
 """
 
-PIECES["attributes_gold"] = """
+
+
+def attributes_gold_sql(source: str) -> str:
+    return f"""
 SELECT Customer_ID, snapshot_date, Age, age_invalid, Occupation IS NULL AS occupation_missing,
        COALESCE(Occupation, 'Unknown') AS Occupation
-FROM attributes_silver
+FROM {source}
 """
 
+
+PIECES["attributes_gold"] = attributes_gold_sql("attributes_silver")
+
 PIECES["financials_gold"] = f"""
 SELECT * EXCLUDE (Num_of_Loan_raw, snapshot_date_raw, Type_of_Loan, Payment_Behaviour, Credit_History_Age)
   REPLACE (COALESCE(Credit_Mix, 'Unknown') AS Credit_Mix, COALESCE(Payment_of_Min_Amount, 'Unknown') AS Payment_of_Min_Amount),
@@ -206,26 +218,46 @@ FROM financials_silver
 """
 
 
-def history_sql(days: list[str]) -> str:
+def history_sql(days: list[str], clicks: str = "clicks_silver") -> str:
     spine = ", ".join(f"(DATE '{day}')" for day in days)
     return f"""
 SELECT c.Customer_ID, {joined_by_comma(*[f"avg({c}) AS {c}_mean" for c in COUNTERS])},
   count(DISTINCT c.snapshot_date) AS clickstream_days, 1 AS has_clickstream, s.day AS snapshot_date
-FROM (VALUES {spine}) s(day) JOIN clicks_silver c ON c.snapshot_date < s.day
+FROM (VALUES {spine}) s(day) JOIN {clicks} c ON c.snapshot_date < s.day
 GROUP BY c.Customer_ID, s.day
 """
 
 
 PIECES["clicks_gold"] = history_sql(["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"])
 
-PIECES["joined"] = """
+
+
+def joined_sql(attr: str, fin: str, click: str) -> str:
+    return f"""
 SELECT * REPLACE (COALESCE(has_attributes, 0) AS has_attributes, COALESCE(has_financials, 0) AS has_financials,
     COALESCE(has_clickstream, 0) AS has_clickstream, COALESCE(clickstream_days, 0) AS clickstream_days)
-FROM (SELECT *, 1 AS has_attributes FROM attributes_gold) a
-FULL OUTER JOIN (SELECT *, 1 AS has_financials FROM financials_gold) f USING (Customer_ID, snapshot_date)
-LEFT JOIN clicks_gold USING (Customer_ID, snapshot_date)
+FROM (SELECT *, 1 AS has_attributes FROM {attr}) a
+FULL OUTER JOIN (SELECT *, 1 AS has_financials FROM {fin}) f USING (Customer_ID, snapshot_date)
+LEFT JOIN {click} USING (Customer_ID, snapshot_date)
 """
 
+
+PIECES["joined"] = joined_sql("attributes_gold", "financials_gold", "clicks_gold")
+
+# The same from the delivered files, by way of the layers: only snapshot rows count.
+FOUR_MONTHS = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+_IN_SPINE = "snapshot_date IN (" + ", ".join(f"DATE '{day}'" for day in FOUR_MONTHS) + ")"
+PIECES["ingested"] = """
+SELECT * REPLACE (left(replace(snapshot_date, 'x', ''), 10) AS snapshot_date) FROM delivered
+WHERE regexp_full_match(replace(snapshot_date, 'x', ''), '2024-0[1-4]-01( 00:00:00)?')
+"""
+PIECES["ingested_silver"] = attributes_sql("ingested")
+PIECES["ingested_gold"] = attributes_gold_sql("ingested_silver")
+PIECES["snapshot_clicks"] = f"SELECT * FROM clicks_silver WHERE {_IN_SPINE}"
+PIECES["snapshot_history"] = history_sql(FOUR_MONTHS, "snapshot_clicks")
+PIECES["snapshot_financials"] = f"SELECT * EXCLUDE (Loan_Personal_Loan) FROM financials_gold WHERE {_IN_SPINE}"
+PIECES["backfilled"] = joined_sql("ingested_gold", "snapshot_financials", "snapshot_history")
+
 PIECES["labelled"] = """
 SELECT l.* EXCLUDE (snapshot_date), l.snapshot_date AS label_snapshot_date,
        f.* EXCLUDE (Customer_ID, snapshot_date), f.snapshot_date AS feature_snapshot_date
@@ -461,6 +493,9 @@ ORACLES: dict[str, str] = {
     "loan_summary": query(
         "SELECT count(*) AS row_count, count(DISTINCT loan_id) AS loan_count, min(mob) AS minimum_mob, max(mob) AS maximum_mob FROM loans_exact"
     ),
+    "first_loan_rows": query(
+        "SELECT loan_id, mob, overdue_amt, dpd FROM loans_exact ORDER BY loan_id, mob LIMIT 5", ["overdue_amt"]
+    ),
     "duplicate_loan_keys": query(
         'SELECT l_orderkey, l_linenumber, count(*) AS "count" FROM lineitem GROUP BY ALL HAVING count(*) > 1'
     ),
@@ -508,6 +543,9 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (WHERE has_clickstream = 0) AS without_clickstream
         FROM joined WHERE snapshot_date BETWEEN DATE '2024-02-01' AND DATE '2024-03-01'"""
     ),
+    "backfill_features": query(
+        "SELECT * FROM backfilled", [*FIN_GOLD_DOUBLES, *[f"{c}_mean" for c in COUNTERS]], ["snapshot_date"]
+    ),
     "joined_audit": query(
         """SELECT count(*) AS feature_rows, count(*) - count(DISTINCT (Customer_ID, snapshot_date)) AS duplicate_customer_date_keys,
         count(*) FILTER (WHERE has_attributes = 0) AS missing_attributes, count(*) FILTER (WHERE has_financials = 0) AS missing_financials,

@@ -22,13 +22,14 @@ from creditmart.operators import (
     quality,
     split,
 )
-from creditmart.plans import gold_reports, prepare, raw_checks
+from creditmart.plans import backfill, gold_reports, prepare, raw_checks
 from creditmart.session import scratch_path
 from creditmart.sources import raw, spine, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
+LOAN_MONTHS = spine.month_starts("1998-01-01", "1998-03-01")
 # As many cutoffs as two years of months, on the one month of activity there is.
 DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 
@@ -196,6 +197,16 @@ def stored_table(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
+def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Delivered CSV files through all layers to the feature store."""
+    sources = {
+        "lms": "loans_raw", "fe_attr": "delivered", "fe_fin": "financials_raw", "fe_click": "clicks_raw",
+    }
+    paths = {dataset: csv_copy(spark, sf, name) for dataset, name in sources.items()}
+    layout = backfill.backfill(spark, paths, scratch_path(spark, "mart"), [*MONTHS, *LOAN_MONTHS])
+    return tables.read_snapshots(spark, layout.gold("joined_features"))
+
+
 def spine_dates(spark: SparkSession, sf: str) -> DataFrame:
     """The spine next to the loans that start on each of its dates."""
     dates = spine.spine_frame(spark, "1997-01-15", "1998-12-01")
@@ -344,6 +355,9 @@ QUERIES: dict[str, Query] = {
     "mob_performance_curve": lambda s, d: loans.performance_curve(exact_loans(s, d)),
     "bad_by_month": lambda s, d: loans.bad_by_month(exact_loans(s, d)),
     "loan_summary": lambda s, d: quality.loan_summary(exact_loans(s, d)),
+    "first_loan_rows": lambda s, d: profile.first_rows(
+        exact_loans(s, d).select("loan_id", "mob", "overdue_amt", "dpd"), ["loan_id", "mob"]
+    ),
     "duplicate_loan_keys": lambda s, d: assemble.duplicate_keys(
         s.read.parquet(f"{d}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]
     ),
@@ -364,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "click_history_monthly": gold_clicks,
     "key_guard_counts": key_guard,
     "joined_features": joined,
+    "backfill_features": backfill_features,
     "joined_audit": lambda s, d: quality.joined_audit(joined(s, d)),
     "labelled_features": labelled,
     # sets

@@ -34,12 +34,14 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     one_task_rows: int = ONE_TASK_ROWS,
     gather_rows: int = GATHER_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles, nulls and NaN left out.
 
     Returns the keys and, per column, ``array<double>`` in the order of
     ``probabilities`` (null for a group without values). Without keys the
-    result is one row.
+    result is one row; a caller that knows how many values the columns hold in
+    ``total`` saves the pass that counts them.
     """
     types, keys = dict(df.dtypes), list(keys)
     values = df.select(
@@ -51,7 +53,9 @@ def exact_quantiles(
     counts = [F.count(quoted(c)) for c in columns]
 
     if not keys:
-        if sum(values.agg(*counts).first()) <= one_task_rows:
+        if total is None:
+            total = sum(values.agg(*counts).first())
+        if total <= one_task_rows:
             return values.agg(*in_one_buffer)
         return _narrowed(values, columns, probabilities, keys, gather_rows)
 

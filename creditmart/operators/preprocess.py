@@ -100,8 +100,10 @@ def train_statistics(train: DataFrame, numeric: Sequence[str]) -> dict[str, dict
             active = F.when(F.col("has_clickstream") == 1, value)
             aggregates.append(F.avg(active).alias(f"active_{i}"))
     seen = train.agg(*aggregates).first()
-    by_median = [c for c in numeric if rules[c] == "median"]
-    medians = exact_quantiles(train, by_median, [0.5]).first() if by_median else {}
+    by_median = {c: seen[f"n_{i}"] for i, c in enumerate(numeric) if rules[c] == "median"}
+    medians = {}
+    if by_median:
+        medians = exact_quantiles(train, list(by_median), [0.5], total=sum(by_median.values())).first()
 
     result = {}
     for i, c in enumerate(numeric):

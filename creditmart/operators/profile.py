@@ -239,6 +239,11 @@ def extremes(
     return df.orderBy(order, *ties).limit(k)
 
 
+def first_rows(df: DataFrame, by: Sequence[str], k: int = 5) -> DataFrame:
+    """The first k rows in the given order, found without sorting the table."""
+    return df.orderBy(*by).limit(k)
+
+
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = 10_000, seed: int = 42) -> DataFrame:
     """At most ``rows`` rows, the same ones for the same seed whatever the partitioning.
 

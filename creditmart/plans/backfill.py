@@ -62,7 +62,10 @@ def run_gold(
     dpd: int = 30,
     mob: int = 6,
 ) -> None:
-    """Labels, the three feature tables, and their join.
+    """Labels, the three feature tables, and their join, for the given snapshots.
+
+    The join matches rows of one snapshot only, so the snapshots of earlier runs
+    stay as they are and a monthly run joins one month.
 
     Without ``loan_types`` the vocabulary is learnt from all silver snapshots,
     later ones included, so that every snapshot has the same columns.
@@ -83,10 +86,10 @@ def run_gold(
     for name, table in outputs.items():
         tables.write_snapshots(table, layout.gold(name))
     joined = assemble.features(*[
-        tables.read_snapshots(spark, layout.gold(name), merge_columns=name == "fe_fin")
+        tables.read_snapshots(spark, layout.gold(name), spine)
         for name in ("fe_attr", "fe_fin", "fe_click")
     ])
-    tables.write_table(joined, layout.gold("joined_features"))
+    tables.write_snapshots(joined, layout.gold("joined_features"))
 
 
 def backfill(

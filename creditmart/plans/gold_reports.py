@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.config import KEYS
@@ -19,21 +19,24 @@ def income_pairs(
     financials: DataFrame, low: float = RATIO_LOW, high: float = RATIO_HIGH
 ) -> DataFrame:
     """Annualised salary against annual income, where both are finite and positive."""
-    income, salary = F.col("Annual_Income"), F.col("Monthly_Inhand_Salary")
-
-    def positive(c):
-        return (c > 0) & ~F.isnan(c) & (c < float("inf"))
-
     ratio = F.col("ratio")
     return (
-        financials.filter(positive(income) & positive(salary))
+        financials.filter(_comparable())
         .select(*KEYS, "Annual_Income", "Monthly_Inhand_Salary")
-        .withColumn("annualized_salary", salary * 12)
-        .withColumn("ratio", F.col("annualized_salary") / income)
+        .withColumn("annualized_salary", F.col("Monthly_Inhand_Salary") * 12)
+        .withColumn("ratio", F.col("annualized_salary") / F.col("Annual_Income"))
         .withColumns({"relative_gap": ratio - 1, "extreme_ratio": (ratio < low) | (ratio > high)})
     )
 
 
+def _comparable() -> Column:
+    def positive(name: str) -> Column:
+        value = F.col(name)
+        return (value > 0) & ~F.isnan(value) & (value < float("inf"))
+
+    return positive("Annual_Income") & positive("Monthly_Inhand_Salary")
+
+
 def income_gap_summary(
     financials: DataFrame, low: float = RATIO_LOW, high: float = RATIO_HIGH
 ) -> DataFrame:
@@ -41,32 +44,33 @@ def income_gap_summary(
 
     Customers are reduced to one row each before they are counted.
     """
-    pairs = income_pairs(financials, low, high)
     ratio = F.col("ratio")
-    per_customer = pairs.groupBy("Customer_ID").agg(
-        F.count("*").alias("pairs"),
+    annual_ratio = F.col("Monthly_Inhand_Salary") * 12 / F.col("Annual_Income")
+    ratios = financials.select("Customer_ID", F.when(_comparable(), annual_ratio).alias("ratio"))
+    per_customer = ratios.groupBy("Customer_ID").agg(
+        F.count("*").alias("total"),
+        F.count("ratio").alias("pairs"),
         F.count_if(ratio.between(0.9, 1.1)).alias("near"),
         F.count_if(ratio < low).alias("low"),
         F.count_if(ratio > high).alias("high"),
-        F.count_if("extreme_ratio").alias("extreme"),
     )
+    extreme = F.col("low") + F.col("high")
     found = per_customer.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "near", "low", "high", "extreme")],
-        F.count_if((F.col("extreme") > 0) & F.col("Customer_ID").isNotNull()).alias("customers"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "pairs", "near", "low", "high")],
+        F.count_if((extreme > 0) & F.col("Customer_ID").isNotNull()).alias("customers"),
     )
-    median = exact_quantiles(pairs, ["ratio"], [0.5]).first()[0]
-    total = financials.count()
-    pairs_count = F.col("pairs")
+    median = exact_quantiles(ratios, ["ratio"], [0.5]).first()[0]
+    pairs = F.col("pairs")
     return found.select(
-        F.lit(total).cast("long").alias("financial_rows"),
-        pairs_count.alias("valid_positive_pairs"),
-        (F.lit(total) - pairs_count).alias("excluded_missing_nonpositive_or_nonfinite"),
+        F.col("total").alias("financial_rows"),
+        pairs.alias("valid_positive_pairs"),
+        (F.col("total") - pairs).alias("excluded_missing_nonpositive_or_nonfinite"),
         F.lit(median[0] if median else None).cast("double").alias("median_ratio"),
         F.col("near").alias("within_10_percent_count"),
-        F.try_divide(F.col("near") * 100.0, pairs_count).alias("within_10_percent_pct"),
+        F.try_divide(F.col("near") * 100.0, pairs).alias("within_10_percent_pct"),
         F.col("low").alias("low_ratio_count"),
         F.col("high").alias("high_ratio_count"),
-        F.try_divide(F.col("extreme") * 100.0, pairs_count).alias("extreme_ratio_pct"),
+        F.try_divide(extreme * 100.0, pairs).alias("extreme_ratio_pct"),
         F.col("customers").alias("customers_with_extreme_ratio"),
     )
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import views
-from creditmart.operators import quality
+from creditmart.operators import features, quality
 from creditmart.plans import backfill, prepare
 from creditmart.session import scratch_path
 from creditmart.sources import spine, tables
@@ -45,8 +45,10 @@ def test_layers(spark, mart):
     assert "Name" not in tables.read_snapshots(spark, layout.silver("fe_attr")).columns
     labels = tables.read_snapshots(spark, layout.gold("label_store"))
     assert labels.select("label_def").distinct().collect()[0][0] == "30dpd_2mob"
-    # Two keys, 5 attribute, 51 financial and 22 click columns.
-    assert len(joined.columns) == 80
+    # Two keys, 5 attribute, 42 financial and 22 click columns, and one per loan type seen.
+    silver = tables.read_snapshots(spark, layout.silver("fe_fin"))
+    loan_types = features.vocabulary_list(features.loan_vocabulary(silver))
+    assert len(loan_types) == 8 and len(joined.columns) == 71 + len(loan_types)
     for dataset in ("lms", "fe_attr", "fe_fin", "fe_click"):
         dates = {r[0] for r in tables.read_snapshots(spark, layout.silver(dataset)).select("snapshot_date").distinct().collect()}
         assert dates <= set(SPINE)
