@@ -29,7 +29,7 @@ from creditmart.sources import raw, spine, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
-LOAN_MONTHS = spine.month_starts("1998-01-01", "1998-03-01")
+LOAN_MONTHS = spine.month_starts("1998-03-01", "1998-03-01")
 # As many cutoffs as two years of months, on the one month of activity there is.
 DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 

@@ -37,7 +37,9 @@ def run_bronze(
     """One scan per source file for all snapshots."""
     for dataset in DATASETS:
         chosen = raw.select_snapshots(raw.read_text_columns(spark, sources[dataset]), spine)
-        tables.write_snapshots(chosen, layout.bronze(dataset), by=raw.SNAPSHOT_PARTITION)
+        tables.write_snapshots(
+            chosen, layout.bronze(dataset), by=raw.SNAPSHOT_PARTITION, dates=spine
+        )
 
 
 def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date]) -> None:
@@ -51,7 +53,7 @@ def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date])
         text = tables.read_snapshots(
             spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION
         ).drop(raw.SNAPSHOT_PARTITION)
-        tables.write_snapshots(rule(text), layout.silver(dataset))
+        tables.write_snapshots(rule(text), layout.silver(dataset), dates=spine)
 
 
 def run_gold(
@@ -84,12 +86,12 @@ def run_gold(
         "fe_click": history.asof_history(silver("fe_click", None), spine),
     }
     for name, table in outputs.items():
-        tables.write_snapshots(table, layout.gold(name))
+        tables.write_snapshots(table, layout.gold(name), dates=spine)
     joined = assemble.features(*[
         tables.read_snapshots(spark, layout.gold(name), spine)
         for name in ("fe_attr", "fe_fin", "fe_click")
     ])
-    tables.write_snapshots(joined, layout.gold("joined_features"))
+    tables.write_snapshots(joined, layout.gold("joined_features"), dates=spine)
 
 
 def backfill(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,21 +18,44 @@ CSV_OPTIONS = {
 
 
 def write_snapshots(
-    df: DataFrame, path: str, by: str = "snapshot_date", fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    by: str = "snapshot_date",
+    fmt: str = "parquet",
+    dates: Iterable[str | date] = (),
 ) -> None:
     """Replace the snapshots present in ``df``; every other snapshot stays.
 
     The rebalance hint lets adaptive execution cut each snapshot into files of
     the advisory size: no task holds a whole month, and no task leaves one small
-    file per month.
+    file per month. A snapshot listed in ``dates`` that has no rows becomes an
+    empty one, so that every date of a run can be read and a second run leaves
+    nothing of the first behind.
     """
-    writer = (
+    spark, options = df.sparkSession, CSV_OPTIONS if fmt == "csv" else {}
+    folders = [f"{path}/{by}={day}" for day in as_dates(dates)]
+    before = {folder: _files(spark, folder) for folder in folders}
+    (
         df.hint("rebalance", F.col(by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
+        .options(**options).format(fmt).save(path)
     )
-    writer.options(**CSV_OPTIONS if fmt == "csv" else {}).format(fmt).save(path)
+    for folder in folders:
+        if _files(spark, folder) == before[folder]:
+            nothing = spark.createDataFrame([], df.drop(by).schema)
+            nothing.write.mode("overwrite").options(**options).format(fmt).save(folder)
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """File names below a folder, none if there is no such folder. Lists, reads nothing."""
+    try:
+        return set(spark.read.format("text").load(folder).inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
 
 
 def read_snapshots(

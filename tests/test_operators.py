@@ -207,6 +207,10 @@ def test_one_snapshot_rewritten(spark):
     tables.write_snapshots(spark.createDataFrame([("D", month(2))], table.schema), path)
     assert sorted(tuple(r) for r in tables.read_snapshots(spark, path).collect()) == [("A", month(1)), ("D", month(2))]
     assert tables.read_snapshots(spark, path, [month(1)]).count() == 1
+    tables.write_snapshots(spark.createDataFrame([], table.schema), path, dates=["2023-02-01", "2023-03-01"])
+    assert [tuple(r) for r in tables.read_snapshots(spark, path).collect()] == [("A", month(1))]
+    tables.write_snapshots(spark.createDataFrame([("E", month(2))], table.schema), path, dates=["2023-02-01"])
+    assert sorted(r.k for r in tables.read_snapshots(spark, path).collect()) == ["A", "E"]
     assert tables.between_dates(tables.read_snapshots(spark, path), start="2023-02-01").count() == 1
 
 

@@ -54,6 +54,13 @@ def test_layers(spark, mart):
         assert dates <= set(SPINE)
 
 
+def test_dates_without_rows(spark, mart):
+    """No click history lies before the first cutoff, yet its snapshot can be read."""
+    layout, _ = mart
+    history = tables.read_snapshots(spark, f"{layout.gold('fe_click')}/snapshot_date=2024-01-01")
+    assert history.count() == 0 and "fe_1_mean" in history.columns
+
+
 def test_second_run_changes_nothing(spark, mart):
     layout, paths = mart
     before = spark.read.parquet(layout.gold("joined_features"))
