@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +33,9 @@ def write_snapshots(
     empty one, so that every date of a run can be read and a second run leaves
     nothing of the first behind.
     """
-    spark, options = df.sparkSession, CSV_OPTIONS if fmt == "csv" else {}
-    folders = [f"{path}/{by}={day}" for day in as_dates(dates)]
-    before = {folder: _files(spark, folder) for folder in folders}
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    asked = [f"{by}={day}" for day in as_dates(dates)]
+    before = _files(df.sparkSession, path, asked)
     (
         df.hint("rebalance", F.col(by))
         .write.mode("overwrite")
@@ -42,20 +43,27 @@ def write_snapshots(
         .partitionBy(by)
         .options(**options).format(fmt).save(path)
     )
-    for folder in folders:
-        if _files(spark, folder) == before[folder]:
-            nothing = spark.createDataFrame([], df.drop(by).schema)
-            nothing.write.mode("overwrite").options(**options).format(fmt).save(folder)
-
-
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    """File names below a folder, none if there is no such folder. Lists, reads nothing."""
-    try:
-        return set(spark.read.format("text").load(folder).inputFiles())
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return set()
-        raise
+    after = _files(df.sparkSession, path, asked)
+    for folder in asked:
+        if after[folder] == before[folder]:
+            nothing = df.drop(by).limit(0)
+            nothing.write.mode("overwrite").options(**options).format(fmt).save(f"{path}/{folder}")
+
+
+def _files(spark: SparkSession, path: str, folders: list[str]) -> dict[str, set[str]]:
+    """File names in some folders of a table. Lists those folders only, reads nothing."""
+    found: dict[str, set[str]] = {folder: set() for folder in folders}
+    if folders:
+        try:
+            listed = spark.read.format("text").load(f"{path}/{{{','.join(folders)}}}").inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            listed = []
+        for file in listed:
+            folder, name = file.rsplit("/", 2)[1:]
+            found[unquote(folder)].add(name)
+    return found
 
 
 def read_snapshots(
