@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creditmart.llm import decontaminate
+from creditmart.llm import decontaminate, languages, mixing, quality, secrets, tokens, url_rules
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+#: Shares of the tokens; values that are not named divide what is left.
+MIX_TARGETS = {
+    "source": {"src0": 0.1},
+    "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+    "topic": {"article": 0.5, "long": 0.3, "brief": 0.1, "tabular": 0.1},
+}
+MIX_BUDGET = 0.5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +37,137 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("row.doc_id", *found.columns[1:])
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule that decides each page's url."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_rules.filter_urls(pages, url_rules.rules_frame(spark, URL_RULES))
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and spans of the secrets in each document."""
+    found = secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main language of each document, learned from four fifths of them."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = languages.learn(documents, ~held_out & F.col("doc_id").isNotNull())
+    rows = documents.select("doc_id", "text", held_out.alias("held_out"))
+    found = languages.identify(rows, model)
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score", "mixture")
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is drawn into a mix of half the tokens."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = mixing.mix(documents, MIX_TARGETS, MIX_BUDGET)
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document, and whether they are more than 4096."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tokens.count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether it is kept."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    found = quality.judge(documents, model)
+    return found.select("row.doc_id", *found.columns[1:])
+
+
 LLM_QUERIES = {
+    "op4_url_filter": op4_url_filter,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
+    "op7_source_mix": op7_source_mix,
+    "op8_token_counts": op8_token_counts,
+    "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    return f"""
+WITH rules(verdict, host, path) AS (VALUES {rules}),
+rest AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), hosts AS (
+    SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host FROM rest
+), parts AS (
+    SELECT page_id,
+        translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path
+    FROM hosts
+), fits AS (
+    SELECT p.page_id, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) AS top
+    FROM parts p JOIN rules r
+        ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.page_id
+)
+SELECT p.page_id, p.host, p.path, f.top.rule AS rule, coalesce(f.top.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f USING (page_id)"""
+
+
+def _mix_sql() -> str:
+    steps = []
+    for name, target in MIX_TARGETS.items():
+        named = " ".join(f"WHEN '{value}' THEN {share}::DOUBLE" for value, share in target.items())
+        rest = max(0.0, 1.0 - sum(target.values()))
+        steps.append(f"""
+totals_{name} AS (
+    SELECT {name}, sum(weight) AS tokens, CASE {name} {named} END AS named FROM cells GROUP BY {name}
+), shares_{name} AS (
+    SELECT {name}, coalesce(named, {rest!r}::DOUBLE * tokens / sum(CASE WHEN named IS NULL THEN tokens END) OVER ())
+        / (coalesce(sum(named) OVER (), 0)
+            + CASE WHEN count(*) FILTER (WHERE named IS NULL) OVER () > 0 THEN {rest!r}::DOUBLE ELSE 0 END) AS share
+    FROM totals_{name}
+)""")
+    last = "cells_0"
+    steps.append("cells_0 AS (SELECT *, weight AS mixed FROM cells)")
+    for number in range(mixing.ROUNDS):
+        for name in MIX_TARGETS:
+            following = f"after_{number}_{name}"
+            steps.append(f"""{following} AS (
+    SELECT c.* REPLACE (c.mixed * s.share / sum(c.mixed) OVER (PARTITION BY c.{name}) AS mixed)
+    FROM {last} c JOIN shares_{name} s USING ({name})
+)""")
+            last = following
+    return f"""
+WITH counted AS (
+    SELECT doc_id, coalesce(source, '?') AS source, coalesce(lang, '?') AS lang, text,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
+    FROM documents
+), rows AS (
+    SELECT doc_id, source, lang, n_tokens,
+        CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'tabular' WHEN n_tokens < 100 THEN 'brief'
+            WHEN n_tokens < 1000 THEN 'article' ELSE 'long' END AS topic,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '\\N')), 1, 13))::BIGINT / {float(16**13)!r}::DOUBLE AS draw
+    FROM counted
+), cells AS MATERIALIZED (
+    SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS weight FROM rows GROUP BY ALL HAVING sum(n_tokens) > 0
+), {",".join(steps)},
+per_cell AS (
+    SELECT source, lang, topic, round({MIX_BUDGET} * (SELECT sum(weight) FROM cells) * mixed / weight, {mixing.DIGITS}) AS expected
+    FROM {last}
+), joined AS (
+    SELECT r.*, CASE WHEN n_tokens > 0 THEN coalesce(c.expected, 0) ELSE 0 END AS expected
+    FROM rows r LEFT JOIN per_cell c USING (source, lang, topic)
+)
+SELECT doc_id, n_tokens, source, lang, topic, expected,
+    (floor(expected) + CASE WHEN draw < expected - floor(expected) THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM joined"""
+
+
+LLM_ORACLES: dict[str, str] = {
+    "op4_url_filter": _url_sql(),
+    "op7_source_mix": _mix_sql(),
+}
