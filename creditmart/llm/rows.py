@@ -114,16 +114,18 @@ class Words:
     def __init__(self, texts: Texts, kind: np.ndarray, lower: bool = False, hashed: bool = True):
         texts = texts.fill_null("") if texts.null_count else texts
         offsets = offsets_of(texts).astype(np.int64)
-        base = int(offsets[0])
-        data = texts.buffers()[2]
-        self.data = (
-            np.frombuffer(data, np.uint8)[base : int(offsets[-1])]
-            if data is not None
-            else np.empty(0, np.uint8)
-        )
-        if lower:
-            self.data = LOWER[self.data]
-        self.offsets = offsets - base
+        buffer = texts.buffers()[2]
+        data = np.empty(0, np.uint8) if buffer is None else np.frombuffer(buffer, np.uint8)
+        self._divide(data[offsets[0] : offsets[-1]], offsets - offsets[0], kind, lower, hashed)
+
+    def divided(self, kind: np.ndarray, lower: bool = False) -> Words:
+        """The same texts, divided otherwise."""
+        other = Words.__new__(Words)
+        other._divide(self.data, self.offsets, kind, lower, True)
+        return other
+
+    def _divide(self, data, offsets, kind, lower, hashed) -> None:
+        self.data, self.offsets = LOWER[data] if lower else data, offsets
         inside = kind[self.data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]

@@ -36,3 +36,25 @@ def contamination(documents, benchmark, window=10):
                     hit.update(range(i, i + size))
         result[doc] = (len(words), len(hit), len(items), sha(",".join(sorted(items))), bool(hit))
     return result
+
+
+def base_quality(documents):
+    """{doc_id: (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)}"""
+    result = {}
+    for doc, text in documents:
+        text = text or ""
+        words = WORD.findall(text)
+        seen, dups = set(), 0
+        for line in text.split("\n"):
+            if WORD.search(line):
+                dups += line in seen
+                seen.add(line)
+        at = {}
+        for i in range(len(words) - 2):
+            at.setdefault(tuple(words[i : i + 3]), []).append(i)
+        repeated = {j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + 3)}
+        failed = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
+        result[doc] = (
+            len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dups, len(repeated), failed
+        )
+    return result
