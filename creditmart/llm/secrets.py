@@ -69,14 +69,14 @@ def matches(text: str) -> list[tuple[str, int, int]]:
 def scan(text: str, budget: int | None = None) -> tuple[list, list, bool]:
     """Base matches, all (kind, start, end, path) with those of decoded layers, and completeness.
 
-    The worklist holds layers still to be unwrapped. A layer whose text was seen
-    before is not entered again, so the list ends at a fixpoint even where
-    decoding runs in a circle.
+    The worklist holds layers still to be unwrapped. A text that came from the
+    same place before is not entered again, so the list ends at a fixpoint even
+    where decoding runs in a circle.
     """
     budget = DECODED_BYTES if budget is None else budget
     base = matches(text)
     found = {span: () for span in base}
-    seen, complete = {text}, True
+    seen, complete = {(text, None)}, True
     work = deque([Layer(text, (), range(len(text)), range(1, len(text) + 1))])
     while work:
         layer = work.popleft()
@@ -84,13 +84,14 @@ def scan(text: str, budget: int | None = None) -> tuple[list, list, bool]:
             if inner is None:
                 complete = False
                 continue
-            if inner.text in seen:
+            place = (inner.starts[0], inner.ends[0]) if len(inner.starts) == 1 else None
+            if (inner.text, place) in seen:
                 continue
             budget -= len(inner.text)
             if budget < 0:
                 complete = False
                 break
-            seen.add(inner.text)
+            seen.add((inner.text, place))
             for kind, start, end in matches(inner.text):
                 found.setdefault((kind, *inner.span(start, end)), inner.path)
             work.append(inner)

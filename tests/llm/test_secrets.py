@@ -65,6 +65,8 @@ def test_layers():
     assert ("assign", packed, "base64/gzip/base64") in every(f'blob "{packed}"')
     wrapped = urllib.parse.quote(base64.b64encode(quoted.encode() + b"9").decode(), safe="")
     assert any(p == "url/base64/url" and t == wrapped for _, t, p in every(f"a {wrapped} b"))
+    twice = secrets.scan(f"{coded} and {coded}")[1]
+    assert len([x for x in twice if x[3] == ("base64",)]) == 2
 
 
 def test_circles_bombs_and_bad_layers_end():
