@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import decontaminate, languages, mixing, quality, secrets, tokens, url_rules
+from creditmart.llm import (
+    decontaminate,
+    languages,
+    licenses,
+    mixing,
+    passages,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+    url_rules,
+)
+from creditmart.session import ensure_checkpoint_dir
 
 URL_RULES = [
     ("allow", "com", "/"),
@@ -37,6 +49,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("row.doc_id", *found.columns[1:])
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in each document, and where."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.summary(licenses.find_licenses(documents))
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that repeat fifty words of an earlier one."""
+    found = passages.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document, and the first document of its group."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ensure_checkpoint_dir(spark)
+    prints = simhash.fingerprints(documents).select("row.doc_id", "fingerprint").checkpoint()
+    found = simhash.grouped(prints, F.col("doc_id"))
+    return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule that decides each page's url."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -83,6 +117,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,

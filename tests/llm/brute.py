@@ -58,3 +58,21 @@ def base_quality(documents):
             len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dups, len(repeated), failed
         )
     return result
+
+
+def without_repeats(documents, window=50):
+    """{doc_id: (n_words, n_removed, kept_sha256)}"""
+    words = {doc: WORD.findall(text or "") for doc, text in documents}
+    first = {}
+    for doc in sorted(words):
+        w = words[doc]
+        for i in range(len(w) - window + 1):
+            first.setdefault(tuple(w[i : i + window]), doc)
+    result = {}
+    for doc, w in words.items():
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < doc:
+                gone.update(range(i, i + window))
+        result[doc] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+    return result
