@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from creditmart.functions.joins import attach
 from creditmart.llm.rows import NOT_SPACE, Words, inside_texts, pieces, window_hashes
@@ -35,7 +34,7 @@ HOT = 1000
 # Words of pieces under one automaton.
 SHARD_WORDS = 200_000
 
-_SUMMARY = "n_words bigint, kept_sha256 string, anchors array<bigint>"
+_SUMMARY = "key bigint, digest bigint, n_words bigint, kept_sha256 string, anchors array<bigint>"
 _RANGES = "array<struct<start: int, end: int>>"
 
 
@@ -312,8 +311,7 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     ensure_checkpoint_dir(spark)
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     rows = rows.select("key", F.xxhash64("text").alias("digest"), "text")
-    schema = StructType([*rows.schema.fields[:2], *StructType.fromDDL(_SUMMARY).fields])
-    summaries = rows.mapInArrow(_summaries(window), schema).checkpoint()
+    summaries = rows.mapInArrow(_summaries(window), _SUMMARY).checkpoint()
     anchors = summaries.where("key is not null").select("key", F.explode("anchors").alias("anchor"))
     recurring = (
         anchors.groupBy("anchor")
@@ -328,10 +326,9 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     rows.join(wanted, "key").select("key", "digest", "text", "wanted", "hot").write.parquet(path)
     repeated = spark.read.parquet(path)
 
-    kinds = StructType([
-        StructField("anchor", LongType()), StructField("piece", StringType()), *repeated.schema.fields[:2],
-    ]).add("start", "int").add("hot", "boolean")
-    cut = repeated.mapInArrow(_cut(window), kinds)
+    cut = repeated.mapInArrow(
+        _cut(window), "anchor bigint, piece string, key bigint, digest bigint, start int, hot boolean"
+    )
     met = cut.where("not hot").select("anchor", "piece", "key", "digest", "start").repartition("anchor")
     found = met.sortWithinPartitions("anchor").mapInArrow(
         _located(window), f"key bigint, digest bigint, spans {_RANGES}"
@@ -361,8 +358,7 @@ def _without(batches):
 
 def without_repeats(repeated: DataFrame) -> DataFrame:
     """``key``, ``digest``, ``n_removed`` and ``kept`` words, joined by spaces, of the repeated texts."""
-    schema = StructType(repeated.schema.fields[:2]).add("n_removed", "bigint").add("kept", "string")
-    return repeated.mapInArrow(_without, schema)
+    return repeated.mapInArrow(_without, "key bigint, digest bigint, n_removed bigint, kept string")
 
 
 def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
