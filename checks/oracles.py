@@ -20,9 +20,13 @@ FIN_GOLD_DOUBLES = [
     *FIN_DOUBLES, "months12_to_annual_income_ratio", "EMI_to_Salary_Ratio", "Debt_to_Income",
     "Disposable_Income", *[f"{c}_log1p" for c in config.LOG_COLUMNS],
 ]
-LOAN_TYPE_COLUMNS = [
-    "Loan_" + name.replace(" ", "_").replace("-", "_") for name in config.LOAN_TYPES
-]
+
+
+def loan_type_column(name: str) -> str:
+    return "Loan_" + name.replace(" ", "_").replace("-", "_")
+
+
+LOAN_TYPE_COLUMNS = [loan_type_column(name) for name in config.LOAN_TYPES]
 ATTR_GOLD = ["Customer_ID", "snapshot_date", "Age", "Occupation", "age_invalid", "occupation_missing"]
 FIN_GOLD = [
     "Customer_ID", "snapshot_date", *FIN_GOLD_DOUBLES, *FIN_INTS, *FIN_FLAGS, "Credit_Mix",
@@ -67,39 +71,57 @@ LIST_PARTS = "string_split_regex(Type_of_Loan, ',\\s*')"
 
 PIECES: dict[str, str] = {name: view_sql(name) for name in VIEWS}
 
-PIECES["loans_silver"] = f"""
+
+
+def missed_sql(overdue: str = "overdue_amt", due: str = "due_amt") -> str:
+    """Any overdue share of a known instalment counts as one; the column ends at 2^31 - 1."""
+    return f"""CASE WHEN {overdue} = 0 THEN 0 WHEN {due} > 0 AND {overdue} > 0
+        THEN CAST(least(greatest(ceil(round({overdue} / {due}, 9)), 1), 2147483647) AS INTEGER)
+        WHEN {due} > 0 THEN CAST(ceil(round({overdue} / {due}, 9)) AS INTEGER) END"""
+
+
+def first_missed_sql(missed: str) -> str:
+    """Not before the first year."""
+    return f"""CASE WHEN {missed} > 0 THEN CAST(snapshot_date - INTERVAL '1' MONTH
+        * CAST(least({missed}, (year(snapshot_date) - 1) * 12 + month(snapshot_date) - 1) AS INTEGER) AS DATE) END"""
+
+
+def loans_silver_sql(source: str) -> str:
+    return f"""
 WITH typed AS (
   SELECT loan_id, Customer_ID, TRY_CAST(loan_start_date AS DATE) AS loan_start_date,
     {whole_part('tenure')} AS tenure, {whole_part('installment_num')} AS installment_num,
     {joined_by_comma(*[f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in ("loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance")])},
     TRY_CAST(snapshot_date AS DATE) AS snapshot_date
-  FROM loans_raw
+  FROM {source}
 ), missed AS (
-  SELECT *, installment_num AS mob,
-    CASE WHEN overdue_amt = 0 THEN 0
-         WHEN due_amt > 0 THEN CAST(ceil(round(overdue_amt / due_amt, 9)) AS INTEGER) END AS installments_missed
-  FROM typed
+  SELECT *, installment_num AS mob, {missed_sql()} AS installments_missed FROM typed
 ), dated AS (
-  SELECT *, CASE WHEN installments_missed > 0
-    THEN CAST(snapshot_date - INTERVAL '1' MONTH * installments_missed AS DATE) END AS first_missed_date
-  FROM missed
+  SELECT *, {first_missed_sql('installments_missed')} AS first_missed_date FROM missed
 )
 SELECT *, CAST(CASE WHEN overdue_amt > 0 THEN date_diff('day', first_missed_date, snapshot_date) ELSE 0 END AS INTEGER) AS dpd
 FROM dated
 """
 
-PIECES["loans_exact"] = """
+
+def loans_exact_sql(source: str) -> str:
+    return f"""
 WITH missed AS (
-  SELECT *, installment_num AS mob,
-    CASE WHEN overdue_amt = 0 THEN 0 WHEN due_amt > 0 THEN CAST(ceil(round(overdue_amt / due_amt, 9)) AS INTEGER) END AS m
-  FROM loans
+  SELECT *, installment_num AS mob, {missed_sql()} AS installments_missed FROM {source}
+), dated AS (
+  SELECT *, {first_missed_sql('installments_missed')} AS first_missed_date FROM missed
 )
-SELECT *, CASE WHEN overdue_amt > 0 THEN CAST(date_diff('day',
-    CAST(snapshot_date - INTERVAL '1' MONTH * (CASE WHEN m > 0 THEN m END) AS DATE), snapshot_date) AS INTEGER) ELSE 0 END AS dpd
-FROM missed
+SELECT *, CAST(CASE WHEN overdue_amt > 0 THEN date_diff('day', first_missed_date, snapshot_date) ELSE 0 END AS INTEGER) AS dpd
+FROM dated
 """
 
 
+PIECES["loans_silver"] = loans_silver_sql("loans_raw")
+PIECES["delivered_silver"] = f"SELECT * FROM ({loans_silver_sql('loans_delivered')}) silver WHERE snapshot_date <= DATE '2024-10-01'"
+PIECES["loans_exact"] = loans_exact_sql("loans")
+PIECES["extremes"] = loans_exact_sql("loans_extreme")
+
+
 def label_sql(source: str, dpd: int = 30, mob: int = 6) -> str:
     return f"""
 SELECT loan_id, Customer_ID, loan_start_date, CASE WHEN dpd >= {dpd} THEN 1 ELSE 0 END AS label,
@@ -110,13 +132,17 @@ FROM {source} WHERE mob = {mob}
 
 PIECES["loan_labels"] = label_sql("loans_exact")
 
-PIECES["clicks_silver"] = f"""
+def clicks_silver_sql(source: str) -> str:
+    return f"""
 SELECT DISTINCT Customer_ID, CAST(snapshot_date AS DATE) AS snapshot_date,
   {joined_by_comma(*[f"{strict_int(c)} AS {c}" for c in COUNTERS])}
-FROM clicks_raw
+FROM {source}
 """
 
 
+PIECES["clicks_silver"] = clicks_silver_sql("clicks_raw")
+
+
 
 def attributes_sql(source: str) -> str:
     return f"""
@@ -151,13 +177,16 @@ _RANGED = {
         for c, (low, high) in config.SALARY_RATIO_RANGES.items()
     },
 }
-PIECES["financials_silver"] = f"""
+
+
+def financials_silver_sql(source: str) -> str:
+    return f"""
 WITH typed AS (
   SELECT Customer_ID, {joined_by_comma(*_FIN_TYPED)},
     Num_of_Loan AS Num_of_Loan_raw, snapshot_date AS snapshot_date_raw, CAST(snapshot_date AS DATE) AS snapshot_date,
     nullif(regexp_replace(trim(Type_of_Loan), ',\\s*and\\s+', ', ', 'g'), '') AS Type_of_Loan,
     Credit_Mix, Payment_of_Min_Amount, Payment_Behaviour, Credit_History_Age
-  FROM financials_raw
+  FROM {source}
 ), counted AS (
   SELECT *, Type_of_Loan IS NULL AS loan_types_missing,
     CASE WHEN Type_of_Loan IS NOT NULL
@@ -190,6 +219,10 @@ FROM bounded
 """
 
 
+PIECES["financials_silver"] = financials_silver_sql("financials_raw")
+PIECES["grown_silver"] = financials_silver_sql("financials_grown")
+
+
 
 def attributes_gold_sql(source: str) -> str:
     return f"""
@@ -201,7 +234,8 @@ FROM {source}
 
 PIECES["attributes_gold"] = attributes_gold_sql("attributes_silver")
 
-PIECES["financials_gold"] = f"""
+def financials_gold_sql(source: str, types: list[str]) -> str:
+    return f"""
 SELECT * EXCLUDE (Num_of_Loan_raw, snapshot_date_raw, Type_of_Loan, Payment_Behaviour, Credit_History_Age)
   REPLACE (COALESCE(Credit_Mix, 'Unknown') AS Credit_Mix, COALESCE(Payment_of_Min_Amount, 'Unknown') AS Payment_of_Min_Amount),
   CASE WHEN Annual_Income > 0 THEN Monthly_Inhand_Salary * 12 / Annual_Income END AS months12_to_annual_income_ratio,
@@ -209,15 +243,18 @@ SELECT * EXCLUDE (Num_of_Loan_raw, snapshot_date_raw, Type_of_Loan, Payment_Beha
   CASE WHEN Annual_Income > 0 THEN Outstanding_Debt / Annual_Income END AS Debt_to_Income,
   Monthly_Inhand_Salary - Total_EMI_per_month - Amount_invested_monthly AS Disposable_Income,
   {joined_by_comma(*[
-      f"CASE WHEN NOT loan_types_missing THEN CAST(len(list_filter({LIST_PARTS}, lambda x: trim(x) = '{name}')) AS INTEGER) END AS {column}"
-      for name, column in zip(config.LOAN_TYPES, LOAN_TYPE_COLUMNS, strict=True)])},
+      f"CASE WHEN NOT loan_types_missing THEN CAST(len(list_filter({LIST_PARTS}, lambda x: trim(x) = '{name}')) AS INTEGER) END AS {loan_type_column(name)}"
+      for name in types])},
   COALESCE(split_part(Payment_Behaviour, '_', 1), 'Unknown') AS Spending_Behaviour,
   COALESCE(split_part(Payment_Behaviour, '_', 3), 'Unknown') AS Payments_Size,
   {joined_by_comma(*[f"CASE WHEN {c} >= 0 THEN ln(1 + {c}) END AS {c}_log1p" for c in config.LOG_COLUMNS])}
-FROM financials_silver
+FROM {source}
 """
 
 
+PIECES["financials_gold"] = financials_gold_sql("financials_silver", config.LOAN_TYPES)
+
+
 def history_sql(days: list[str], clicks: str = "clicks_silver") -> str:
     spine = ", ".join(f"(DATE '{day}')" for day in days)
     return f"""
@@ -253,10 +290,23 @@ WHERE regexp_full_match(replace(snapshot_date, 'x', ''), '2024-0[1-4]-01( 00:00:
 """
 PIECES["ingested_silver"] = attributes_sql("ingested")
 PIECES["ingested_gold"] = attributes_gold_sql("ingested_silver")
-PIECES["snapshot_clicks"] = f"SELECT * FROM clicks_silver WHERE {_IN_SPINE}"
-PIECES["snapshot_history"] = history_sql(FOUR_MONTHS, "snapshot_clicks")
-PIECES["snapshot_financials"] = f"SELECT * EXCLUDE (Loan_Personal_Loan) FROM financials_gold WHERE {_IN_SPINE}"
+ALL_MONTHS = [f"2024-{month:02d}-01" for month in range(1, 11)]
+_IN_ALL = "snapshot_date IN (" + ", ".join(f"DATE '{day}'" for day in ALL_MONTHS) + ")"
+# Loan types as the lists have them, the blank entry included.
+SEEN_TYPES = ["", *[t for t in config.LOAN_TYPES if t != "Personal Loan"]]
+PIECES["delivered_clicks"] = clicks_silver_sql("clicks_delivered")
+PIECES["snapshot_clicks"] = f"SELECT * FROM delivered_clicks WHERE {_IN_ALL}"
+PIECES["snapshot_history"] = history_sql(ALL_MONTHS, "snapshot_clicks")
+PIECES["seen_financials"] = financials_gold_sql("financials_silver", SEEN_TYPES)
+PIECES["snapshot_financials"] = f"SELECT * FROM seen_financials WHERE {_IN_ALL}"
 PIECES["backfilled"] = joined_sql("ingested_gold", "snapshot_financials", "snapshot_history")
+# Two runs: the second knows one more loan type and click column.
+_EARLY = "snapshot_date <= DATE '2024-02-01'"
+PIECES["grown_clicks"] = f"SELECT DISTINCT * REPLACE (CASE WHEN {_EARLY} THEN NULL ELSE fe_20 END AS fe_20) FROM delivered_clicks WHERE {_IN_SPINE}"
+PIECES["grown_history"] = history_sql(FOUR_MONTHS, "grown_clicks")
+PIECES["grown_gold"] = financials_gold_sql("grown_silver", SEEN_TYPES)
+PIECES["grown_financials"] = f"SELECT * REPLACE (CASE WHEN {_EARLY} THEN NULL ELSE Loan_Payday_Loan END AS Loan_Payday_Loan) FROM grown_gold WHERE {_IN_SPINE}"
+PIECES["second_run"] = joined_sql("ingested_gold", "grown_financials", "grown_history")
 
 PIECES["labelled"] = """
 SELECT l.* EXCLUDE (snapshot_date), l.snapshot_date AS label_snapshot_date,
@@ -392,10 +442,11 @@ def histogram(source: str, value: str, bins: int, where: str = "TRUE", ends: tup
         f"""
 WITH vals AS (SELECT CAST({value} AS DOUBLE) AS v FROM {source} WHERE {where}),
 edges AS (SELECT CAST({low} AS DOUBLE) AS lo, CAST({high} AS DOUBLE) AS hi {'' if ends else 'FROM vals'}),
-hits AS (SELECT least(CAST(floor((v - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin, count(*) AS n
-         FROM vals, edges WHERE v BETWEEN lo AND hi GROUP BY 1)
-SELECT b.bin, lo + b.bin * ((hi - lo) / {bins}) AS bin_low, lo + (b.bin + 1) * ((hi - lo) / {bins}) AS bin_high, COALESCE(n, 0) AS "rows"
-FROM range({bins}) b(bin) CROSS JOIN edges LEFT JOIN hits ON hits.bin = b.bin
+bins AS (SELECT b.bin, lo, hi, lo + b.bin * ((hi - lo) / {bins}) AS bin_low, lo + (b.bin + 1) * ((hi - lo) / {bins}) AS bin_high
+         FROM range({bins}) b(bin) CROSS JOIN edges),
+hits AS (SELECT bin, count(*) AS n FROM vals JOIN bins ON v BETWEEN lo AND hi AND (bin = 0 OR v >= bin_low)
+         AND (bin = {bins - 1} OR v < bin_high) GROUP BY bin)
+SELECT b.bin, bin_low, bin_high, COALESCE(n, 0) AS "rows" FROM bins b LEFT JOIN hits ON hits.bin = b.bin
 """,
         ["bin_low", "bin_high"],
     )
@@ -471,6 +522,8 @@ ORACLES: dict[str, str] = {
     "loan_delinquency": query("SELECT * FROM loans_silver", LOAN_DOUBLES, [*LOAN_DATES, "first_missed_date"]),
     "default_label": query(label_sql("loans_silver"), dates=LOAN_DATES),
     "default_label_other_terms": query(label_sql("loans_silver", 60, 3), dates=LOAN_DATES),
+    "delinquency_extremes": query("SELECT * FROM extremes", LOAN_DOUBLES, [*LOAN_DATES, "first_missed_date"]),
+    "default_label_extremes": query(label_sql("extremes"), dates=LOAN_DATES),
     "default_rate_by_cohort": query(
         "SELECT loan_start_date, count(*) AS loans, avg(label) AS default_rate FROM loan_labels GROUP BY loan_start_date",
         ["default_rate"], ["loan_start_date"],
@@ -546,6 +599,10 @@ ORACLES: dict[str, str] = {
     "backfill_features": query(
         "SELECT * FROM backfilled", [*FIN_GOLD_DOUBLES, *[f"{c}_mean" for c in COUNTERS]], ["snapshot_date"]
     ),
+    "backfill_labels": query(label_sql("delivered_silver"), dates=LOAN_DATES),
+    "backfill_second_run": query(
+        "SELECT * FROM second_run", [*FIN_GOLD_DOUBLES, *[f"{c}_mean" for c in COUNTERS]], ["snapshot_date"]
+    ),
     "joined_audit": query(
         """SELECT count(*) AS feature_rows, count(*) - count(DISTINCT (Customer_ID, snapshot_date)) AS duplicate_customer_date_keys,
         count(*) FILTER (WHERE has_attributes = 0) AS missing_attributes, count(*) FILTER (WHERE has_financials = 0) AS missing_financials,
@@ -656,6 +713,9 @@ ORACLES: dict[str, str] = {
     "invested_histogram": histogram(
         "financials_raw", number("Amount_invested_monthly"), 50, "trim(Amount_invested_monthly) <> '__10000__'", (0, 10000)
     ),
+    "invested_placeholder_histogram": histogram(
+        "financials_raw", number("Amount_invested_monthly"), 50, "trim(Amount_invested_monthly) = '__10000__'", (0, 10000)
+    ),
     "inquiry_decimals": query(
         """SELECT count(*) AS "rows", count(*) FILTER (WHERE Num_Credit_Inquiries LIKE '%.%') AS stored_with_decimal,
         count(*) FILTER (WHERE Num_Credit_Inquiries LIKE '%.0') AS ending_in_point_zero FROM financials_raw"""
@@ -735,7 +795,7 @@ ORACLES: dict[str, str] = {
         ["median_ratio", "extreme_pct"], ["snapshot_date"],
     ),
     "repeat_customers": query(
-        "SELECT count(*) AS customers_with_multiple_snapshots FROM (SELECT Customer_ID FROM labelled GROUP BY Customer_ID HAVING count(*) > 1)"
+        "SELECT count(*) AS customers_with_multiple_snapshots FROM (SELECT Customer_ID FROM income_pairs GROUP BY Customer_ID HAVING count(*) > 1)"
     ),
     "income_vs_customer_median": query(
         """SELECT p.*, m.mid AS customer_median_income, Annual_Income / m.mid AS income_vs_customer_median
@@ -764,9 +824,20 @@ ORACLES: dict[str, str] = {
         "financials_gold", "Disposable_Income", 40,
         "Disposable_Income BETWEEN (SELECT quantile_cont(Disposable_Income, 0.01) FROM financials_gold) AND (SELECT quantile_cont(Disposable_Income, 0.99) FROM financials_gold)",
     ),
+    **{
+        name: histogram(
+            "financials_gold", c, 40,
+            f"{c} BETWEEN (SELECT quantile_cont({c}, 0.01) FROM financials_gold) AND (SELECT quantile_cont({c}, 0.99) FROM financials_gold)",
+        )
+        for name, c in (
+            ("trimmed_histogram_instalments", "EMI_to_Salary_Ratio"), ("trimmed_histogram_debt", "Debt_to_Income"),
+            ("trimmed_histogram_history", "Credit_History_Months"),
+        )
+    },
+    "tenth_histogram": histogram("lineitem", "l_discount", 100, ends=(0, 1)),
     "age_histogram": histogram("attributes_gold", "Age", 30, "Age IS NOT NULL"),
     "click_days_histogram": histogram("clicks_gold", "clickstream_days", 30),
-    "describe_click_history": described("clicks_gold", [f"fe_{k}_mean" for k in (1, 2, 3, 20)], [0.25, 0.5, 0.75]),
+    "describe_click_history": described("clicks_gold", [f"{c}_mean" for c in COUNTERS], [0.25, 0.5, 0.75]),
     "financial_flag_rates": query(
         "\nUNION ALL\n".join(
             f"SELECT '{c}' AS flag, avg(CASE WHEN {c} THEN 1.0E0 WHEN NOT {c} THEN 0.0E0 END) * 100 AS flagged_pct FROM financials_gold"
@@ -801,5 +872,8 @@ ORACLES["snapshot_ingest"] = query(
     WHERE day IN ('2024-01-01', '2024-02-01', '2024-01-01 00:00:00', '2024-02-01 00:00:00')""",
     dates=["snapshot"],
 )
-# The sample is any 10,000 of the rows; below that it is all of them.
-ORACLES["income_sample"] = query("SELECT * FROM income_pairs", PAIR_DOUBLES, ["snapshot_date"])
+ORACLES["income_sample"] = query(
+    """SELECT * FROM income_pairs ORDER BY md5(concat_ws('|', '42', Customer_ID, CAST(snapshot_date AS VARCHAR))),
+    Customer_ID, snapshot_date LIMIT 100""",
+    PAIR_DOUBLES, ["snapshot_date"],
+)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import TABLES, view, view_sql
+from checks.views import STORED_FILES, TABLES, view, view_sql
 from creditmart import config
 from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import (
@@ -29,7 +29,7 @@ from creditmart.sources import raw, spine, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
-LOAN_MONTHS = spine.month_starts("1998-03-01", "1998-03-01")
+ALL_MONTHS = spine.month_starts("2024-01-01", "2024-10-01")
 # As many cutoffs as two years of months, on the one month of activity there is.
 DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 
@@ -136,6 +136,8 @@ def parameters(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_copy(spark: SparkSession, sf: str, name: str) -> str:
     """A view written out as the CSV file a source system would deliver."""
+    if (sf, name) in STORED_FILES:
+        return STORED_FILES[sf, name]
     path = scratch_path(spark, name)
     tables.write_csv(view(spark, sf, name), path)
     return path
@@ -197,14 +199,37 @@ def stored_table(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
+DELIVERED = {
+    "lms": "loans_delivered", "fe_attr": "delivered", "fe_fin": "financials_raw", "fe_click": "clicks_delivered",
+}
+
+
+def delivered_files(spark: SparkSession, sf: str) -> dict[str, str]:
+    return {dataset: csv_copy(spark, sf, name) for dataset, name in DELIVERED.items()}
+
+
+def backfilled(spark: SparkSession, sf: str) -> backfill.Layout:
+    """Delivered CSV files through all layers."""
+    return backfill.backfill(spark, delivered_files(spark, sf), scratch_path(spark, "mart"), ALL_MONTHS)
+
+
 def backfill_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Delivered CSV files through all layers to the feature store."""
-    sources = {
-        "lms": "loans_raw", "fe_attr": "delivered", "fe_fin": "financials_raw", "fe_click": "clicks_raw",
-    }
-    paths = {dataset: csv_copy(spark, sf, name) for dataset, name in sources.items()}
-    layout = backfill.backfill(spark, paths, scratch_path(spark, "mart"), [*MONTHS, *LOAN_MONTHS])
-    return tables.read_snapshots(spark, layout.gold("joined_features"))
+    return tables.read_snapshots(spark, backfilled(spark, sf).gold("joined_features"))
+
+
+def backfill_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_snapshots(spark, backfilled(spark, sf).gold("label_store"))
+
+
+def backfill_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A later run that brings a loan type and a click column the first run did not have."""
+    root, paths = scratch_path(spark, "mart"), delivered_files(spark, sf)
+    paths["fe_fin"] = csv_copy(spark, sf, "financials_grown")
+    early = scratch_path(spark, "early_clicks")
+    tables.write_csv(view(spark, sf, "clicks_delivered").drop("fe_20"), early)
+    backfill.backfill(spark, {**paths, "fe_click": early}, root, MONTHS[:2])
+    layout = backfill.backfill(spark, paths, root, MONTHS[2:])
+    return tables.read_snapshots(spark, layout.gold("joined_features"), merge_columns=True)
 
 
 def spine_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,23 +245,6 @@ def spine_dates(spark: SparkSession, sf: str) -> DataFrame:
 # -- reports over several columns ----------------------------------------
 
 
-def stacked_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
-        profile.frequency(df, c).select(
-            F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), "counts"
-        )
-        for c in columns
-    ])
-
-
-def value_spreads(spark: SparkSession, sf: str) -> DataFrame:
-    financials = raw_financials(spark, sf)
-    return reduce(DataFrame.unionByName, [
-        raw_checks.value_spread(financials, c).select(F.lit(c).alias("column"), "value", "rows")
-        for c in config.VALUE_RANGES
-    ])
-
-
 def key_guard(spark: SparkSession, sf: str) -> DataFrame:
     clicks = silver_clicks(spark, sf)
     return assemble.all_key_counts({
@@ -350,6 +358,8 @@ QUERIES: dict[str, Query] = {
     "loan_delinquency": silver_loans,
     "default_label": lambda s, d: loans.default_label(silver_loans(s, d)),
     "default_label_other_terms": lambda s, d: loans.default_label(silver_loans(s, d), dpd=60, mob=3),
+    "delinquency_extremes": lambda s, d: loans.delinquency(view(s, d, "loans_extreme")),
+    "default_label_extremes": lambda s, d: loans.default_label(loans.delinquency(view(s, d, "loans_extreme"))),
     "default_rate_by_cohort": lambda s, d: loans.default_rate(labels(s, d), "loan_start_date"),
     "default_rate_by_label_date": lambda s, d: loans.default_rate(labels(s, d)),
     "mob_performance_curve": lambda s, d: loans.performance_curve(exact_loans(s, d)),
@@ -379,6 +389,8 @@ QUERIES: dict[str, Query] = {
     "key_guard_counts": key_guard,
     "joined_features": joined,
     "backfill_features": backfill_features,
+    "backfill_labels": backfill_labels,
+    "backfill_second_run": backfill_second_run,
     "joined_audit": lambda s, d: quality.joined_audit(joined(s, d)),
     "labelled_features": labelled,
     # sets
@@ -392,11 +404,11 @@ QUERIES: dict[str, Query] = {
     "encoded_sets": encoded_sets,
     "encoded_new_loans": encoded_new_loans,
     # raw checks
-    "raw_frequencies": lambda s, d: stacked_frequencies(raw_financials(s, d), [
+    "raw_frequencies": lambda s, d: profile.frequencies(raw_financials(s, d), [
         "Credit_Mix", "Payment_Behaviour", "Type_of_Loan", "Num_Credit_Inquiries", "Interest_Rate",
     ]),
     "occupation_frequency": lambda s, d: profile.frequency(raw_attributes(s, d), "Occupation"),
-    "loan_term_frequencies": lambda s, d: stacked_frequencies(
+    "loan_term_frequencies": lambda s, d: profile.frequencies(
         view(s, d, "loans"), ["tenure", "installment_num"]
     ),
     "valid_age_frequency": lambda s, d: raw_checks.valid_age_frequency(raw_attributes(s, d)),
@@ -413,9 +425,10 @@ QUERIES: dict[str, Query] = {
     "field_validity": lambda s, d: raw_checks.field_validity(raw_financials(s, d)),
     "invested_distribution": lambda s, d: raw_checks.invested_distribution(raw_financials(s, d)),
     "invested_histogram": lambda s, d: raw_checks.invested_histogram(raw_financials(s, d)),
+    "invested_placeholder_histogram": lambda s, d: raw_checks.invested_histogram(raw_financials(s, d), True),
     "inquiry_decimals": lambda s, d: raw_checks.inquiry_decimals(raw_financials(s, d)),
     "range_summary": lambda s, d: raw_checks.range_summary(raw_financials(s, d)),
-    "value_spreads": value_spreads,
+    "value_spreads": lambda s, d: raw_checks.value_spreads(raw_financials(s, d), list(config.VALUE_RANGES)),
     "salary_ratio_summary": lambda s, d: raw_checks.salary_ratio_summary(raw_financials(s, d)),
     "emi_log_histogram": lambda s, d: raw_checks.log_ratio_histogram(
         raw_checks.salary_ratios(raw_financials(s, d)), "emi_to_salary"
@@ -439,10 +452,10 @@ QUERIES: dict[str, Query] = {
     "highest_income_ratios": lambda s, d: profile.extremes(
         pairs(s, d), "ratio", 10, ascending=False, ties=config.KEYS
     ),
-    "income_sample": lambda s, d: profile.seeded_sample(pairs(s, d), config.KEYS),
+    "income_sample": lambda s, d: profile.seeded_sample(pairs(s, d), config.KEYS, rows=100),
     "income_ratio_log_histogram": lambda s, d: raw_checks.log_ratio_histogram(pairs(s, d), "ratio"),
     "income_gap_monthly": lambda s, d: gold_reports.income_gap_monthly(pairs(s, d)),
-    "repeat_customers": lambda s, d: gold_reports.repeat_customers(labelled(s, d)),
+    "repeat_customers": lambda s, d: gold_reports.repeat_customers(pairs(s, d)),
     "income_vs_customer_median": lambda s, d: gold_reports.income_vs_customer_median(pairs(s, d)),
     "most_unusual_incomes": lambda s, d: gold_reports.most_unusual_incomes(pairs(s, d)),
     "lowest_ratio_customer": lambda s, d: gold_reports.lowest_ratio_customer(pairs(s, d)),
@@ -451,12 +464,24 @@ QUERIES: dict[str, Query] = {
     "trimmed_histogram": lambda s, d: profile.trimmed_histogram(
         gold_financials(s, d), "Disposable_Income", 40
     ),
+    "trimmed_histogram_instalments": lambda s, d: profile.trimmed_histogram(
+        gold_financials(s, d), "EMI_to_Salary_Ratio", 40
+    ),
+    "trimmed_histogram_debt": lambda s, d: profile.trimmed_histogram(
+        gold_financials(s, d), "Debt_to_Income", 40
+    ),
+    "trimmed_histogram_history": lambda s, d: profile.trimmed_histogram(
+        gold_financials(s, d), "Credit_History_Months", 40
+    ),
+    "tenth_histogram": lambda s, d: profile.histogram(
+        s.read.parquet(f"{d}/lineitem.parquet"), F.col("l_discount").cast("double"), 100, 0, 1
+    ),
     "age_histogram": lambda s, d: profile.histogram(gold_attributes(s, d), F.col("Age"), 30),
     "click_days_histogram": lambda s, d: profile.histogram(
         gold_clicks(s, d), F.col("clickstream_days"), 30
     ),
     "describe_click_history": lambda s, d: profile.describe_numbers(
-        gold_clicks(s, d), [f"fe_{k}_mean" for k in (1, 2, 3, 20)]
+        gold_clicks(s, d), [f"fe_{k}_mean" for k in range(1, 21)]
     ),
     "financial_flag_rates": lambda s, d: profile.flag_percentages(
         gold_financials(s, d),

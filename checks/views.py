@@ -56,6 +56,34 @@ UNION ALL
 SELECT {_CLICK_COLUMNS} FROM {{events}} WHERE event_id % 10 = 0
 """
 
+# Clicks as they are delivered, most of them on a snapshot date of four months.
+CLICKS_DELIVERED = f"""
+SELECT Customer_ID,
+       CASE WHEN CAST(Customer_ID AS BIGINT) % 5 = 0 THEN snapshot_date
+            ELSE CAST(CAST(DATE '2024-01-01' + INTERVAL '1' MONTH * CAST(CAST(Customer_ID AS BIGINT) % 3 + CASE WHEN fe_4 LIKE '-%' THEN 1 ELSE 0 END AS INT) AS DATE) AS STRING) END AS snapshot_date,
+       {", ".join(f"fe_{k}" for k in range(1, 21))}
+FROM ({CLICKS_RAW}) clicks
+"""
+
+# Loans with extreme terms: a tiny overdue share, and more missed months than a calendar has.
+LOANS_EXTREME = f"""
+SELECT loan_id, Customer_ID, loan_start_date, tenure, installment_num, loan_amt,
+       CASE WHEN CAST(loan_id AS BIGINT) % 3 = 0 THEN 3.0E7 WHEN CAST(loan_id AS BIGINT) % 3 = 1 THEN 0.001E0 ELSE due_amt END AS due_amt,
+       paid_amt,
+       CASE WHEN CAST(loan_id AS BIGINT) % 3 = 0 THEN 0.01E0 WHEN CAST(loan_id AS BIGINT) % 3 = 1 THEN 7.0E10 ELSE overdue_amt END AS overdue_amt,
+       balance, snapshot_date
+FROM ({LOANS}) loans
+"""
+
+# The raw loans as a file delivers them, on the snapshot dates of the other files.
+LOANS_DELIVERED = f"""
+SELECT loan_id, Customer_ID,
+       CAST(CAST(DATE '2024-01-01' + INTERVAL '1' MONTH * CAST(CAST(Customer_ID AS BIGINT) % 3 AS INT) AS DATE) AS STRING) AS loan_start_date,
+       tenure, installment_num, loan_amt, due_amt, paid_amt, overdue_amt, balance,
+       CAST(CAST(DATE '2024-01-01' + INTERVAL '1' MONTH * CAST(CAST(Customer_ID AS BIGINT) % 3 + CAST(CAST(installment_num AS DOUBLE) AS INT) AS INT) AS DATE) AS STRING) AS snapshot_date
+FROM ({LOANS_RAW}) loans
+"""
+
 ATTRIBUTES_RAW = """
 SELECT CAST(c_custkey AS STRING) AS Customer_ID, c_name AS Name,
        '000-00-' || CAST(c_custkey AS STRING) AS SSN,
@@ -75,7 +103,7 @@ SELECT CAST(id AS STRING) AS Customer_ID,
        CAST(k % 40 AS STRING) AS Interest_Rate,
        CAST(k % 6 - 1 AS STRING) || CASE WHEN k % 8 = 0 THEN '_' ELSE '' END AS Num_of_Loan,
        CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Auto Loan' WHEN 2 THEN 'Auto Loan, and Payday Loan'
-            WHEN 3 THEN 'Student Loan, Auto Loan, and Auto Loan' WHEN 4 THEN 'Credit-Builder Loan, Not Specified,  Home Equity Loan , and Mortgage Loan'
+            WHEN 3 THEN CASE WHEN k % 2 = 0 THEN 'Student Loan, Auto Loan, and Auto Loan' ELSE 'Student Loan,, Auto Loan, ' END WHEN 4 THEN 'Credit-Builder Loan, Not Specified,  Home Equity Loan , and Mortgage Loan'
             WHEN 5 THEN 'Debt Consolidation Loan' ELSE '' END AS Type_of_Loan,
        CAST(k % 60 - 5 AS STRING) AS Delay_from_due_date,
        CAST(k % 33 - 2 AS STRING) || CASE WHEN k % 10 = 3 THEN '_' ELSE '' END AS Num_of_Delayed_Payment,
@@ -95,6 +123,12 @@ FROM (SELECT c_custkey AS id, c_custkey AS k, 0 AS later FROM {customer}
       UNION ALL SELECT c_custkey, c_custkey + 11, 1 FROM {customer} WHERE c_custkey % 3 = 0) snapshots
 """
 
+# Financials of which the first two months know no payday loan.
+FINANCIALS_GROWN = f"""
+SELECT * FROM ({FINANCIALS_RAW}) financials
+WHERE snapshot_date > '2024-02-01' OR Type_of_Loan IS NULL OR Type_of_Loan NOT LIKE '%Payday%'
+"""
+
 # Attributes as a source file delivers them: stray letters, other days, bad dates.
 DELIVERED = f"""
 SELECT Customer_ID, Name, SSN, Age, Occupation,
@@ -109,9 +143,11 @@ SELECT Customer_ID, Name, SSN, Age, Occupation,
 FROM ({ATTRIBUTES_RAW}) attributes
 """
 
-# Feature rows for the loans above, with every kind of model column.
+# Feature rows for the loans above, with every kind of model column. The dates of a
+# ninth of the customers lie years after their loans, so these find no features.
 FEATURE_ROWS = """
-SELECT CAST(o_custkey AS STRING) AS Customer_ID, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
+SELECT CAST(o_custkey AS STRING) AS Customer_ID,
+       CAST(CAST(date_trunc('month', o_orderdate) AS DATE) + INTERVAL '1' MONTH * (CASE WHEN o_custkey % 9 = 0 THEN 200 ELSE 0 END) AS DATE) AS snapshot_date,
        CAST(COUNT(*) AS INT) AS Num_Bank_Accounts,
        CASE WHEN MAX(o_orderkey) % 6 = 0 THEN NULL ELSE CAST(MAX(o_orderkey) % 80 + 1 AS INT) END AS Age,
        CASE WHEN MIN(o_orderkey) % 9 = 0 THEN NULL ELSE MAX(CAST(floor(o_totalprice) AS INT)) END AS Outstanding_Debt,
@@ -121,7 +157,7 @@ SELECT CAST(o_custkey AS STRING) AS Customer_ID, CAST(date_trunc('month', o_orde
        MAX(o_orderkey) % 5 = 0 AS loan_types_missing,
        CASE WHEN MAX(o_orderstatus) = 'O' THEN 1 ELSE 0 END AS has_clickstream,
        CASE WHEN MAX(o_orderstatus) = 'O' THEN MAX(o_orderkey % 50) * 1.0E0 END AS fe_1_mean
-FROM {orders} WHERE o_orderstatus <> 'P'
+FROM {orders}
 GROUP BY o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE)
 """
 
@@ -129,6 +165,10 @@ VIEWS = {
     "loans": LOANS,
     "loans_raw": LOANS_RAW,
     "clicks_raw": CLICKS_RAW,
+    "loans_extreme": LOANS_EXTREME,
+    "clicks_delivered": CLICKS_DELIVERED,
+    "loans_delivered": LOANS_DELIVERED,
+    "financials_grown": FINANCIALS_GROWN,
     "attributes_raw": ATTRIBUTES_RAW,
     "financials_raw": FINANCIALS_RAW,
     "delivered": DELIVERED,
@@ -138,6 +178,8 @@ VIEWS = {
 
 # Views written out for timing, by (folder of the test tables, name).
 STORED: dict[tuple[str, str], str] = {}
+# CSV files of views, likewise.
+STORED_FILES: dict[tuple[str, str], str] = {}
 
 
 def store(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -79,6 +79,9 @@ PAYMENT_BEHAVIOUR_PATTERN = r"^(High|Low)_spent_(Small|Medium|Large)_value_payme
 CREDIT_HISTORY_PATTERN = r"^\d+ Years? and \d+ Months?$"
 
 # Default loan types; the backfill learns the list from the cleaned data.
+# Output columns that one vocabulary or all categories together may become.
+MAX_COLUMNS = 10_000
+
 LOAN_TYPES = [
     "Auto Loan",
     "Credit-Builder Loan",

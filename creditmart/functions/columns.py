@@ -12,6 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Control characters that no list of loans holds.
+ENTRY_START, ENTRY_END = "\x01", "\x02"
+
+
 def quoted(name: str) -> Column:
     """A column whose name may hold dots, spaces or backticks."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -75,13 +79,14 @@ def listed_entries(loans: Column) -> Column:
 
 
 def padded_list(loans: Column) -> Column:
-    """``A, B`` -> ``,A,,B,``: each entry stands between its own two commas."""
-    return F.concat(F.lit(","), F.regexp_replace(F.trim(loans), r" *,\s*", ",,"), F.lit(","))
+    """``A, B`` with a start mark before and an end mark behind each entry, blank ones too."""
+    inner = F.regexp_replace(F.trim(loans), r" *,\s*", ENTRY_END + ENTRY_START)
+    return F.concat(F.lit(ENTRY_START), inner, F.lit(ENTRY_END))
 
 
 def entry_count(padded: Column, entry: str) -> Column:
     """How often ``entry`` occurs in a padded list, by the length it takes up."""
-    token = f",{entry},"
+    token = f"{ENTRY_START}{entry}{ENTRY_END}"
     left_over = F.length(F.replace(padded, F.lit(token), F.lit("")))
     return ((F.length(padded) - left_over) / F.lit(len(token))).cast("int")
 

@@ -3,15 +3,15 @@
 Spark's own ``percentile`` keeps every distinct value of a group in one buffer.
 That is the fastest way for ordinary groups and is what they get here. A group
 above ``one_task_rows`` values is narrowed instead: each pass counts the values
-of the current range in equal-width buckets (combined before the shuffle), keeps
-the bucket that holds the wanted rank, and goes on inside it, so the range
-shrinks by ``BUCKETS`` per pass until the few values left can be gathered. Ranks
-are exact counts throughout; no pass shuffles the values themselves.
+of the current range in buckets (combined before the shuffle), keeps the bucket
+that holds the wanted rank, and goes on inside it, until the few values left can
+be gathered. Buckets have equal widths within a factor of two, and equal
+ratios in wider ranges, so magnitudes cost no passes of their own. Ranks are
+exact counts throughout; no pass shuffles the values themselves.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +24,8 @@ ONE_TASK_ROWS = 1_000_000
 GATHER_ROWS = 10_000
 BROADCAST_GROUPS = 100_000
 BUCKETS = 512
-LARGEST = sys.float_info.max
+# Above minus the logarithm of the least double, and above that of the largest plus this.
+LOG_SHIFT, LOG_INFINITY = 746.0, 1500.0
 
 
 def exact_quantiles(
@@ -91,12 +92,11 @@ def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
     """The ranges are rows (keys, column number, target number); see the module text."""
     spark = values.sparkSession
     target = [*keys, "_c", "_t"]
-    clamped = F.greatest(F.least(F.col("_v"), F.lit(LARGEST)), F.lit(-LARGEST))
     long = (
         values.select(*keys, F.inline(F.array(*[
             F.struct(F.lit(i).alias("_c"), quoted(c).alias("_v")) for i, c in enumerate(columns)
         ])))
-        .filter("_v is not null").withColumn("_v", clamped)
+        .filter("_v is not null")
     )
 
     def pin(state: DataFrame) -> DataFrame:
@@ -144,9 +144,7 @@ def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
                 for end, rank in (("_below", "_lower"), ("_above", "_upper"))
             }).drop("_values"))
             break
-        # Quarters keep the differences finite for the widest doubles.
-        width = F.col("_hi") / 4 - F.col("_lo") / 4
-        bucket = F.floor((F.col("_v") / 4 - F.col("_lo") / 4) / width * BUCKETS)
+        bucket = F.floor(_position("_v") * BUCKETS)
         carried = [F.first(c).alias(c) for c in ("_before", "_lower", "_upper", "_position")]
         counted = (
             inside(state).groupBy(*target, bucket.alias("_bucket"))
@@ -179,10 +177,7 @@ def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
     value = F.when(F.col("_below") == F.col("_above"), F.col("_below")).otherwise(
         F.col("_below") * (1 - share) + F.col("_above") * share
     )
-    infinite = F.signum("_below") * F.lit(float("inf"))
-    results = state.select(
-        *target, F.when(F.abs("_below") >= LARGEST, infinite).otherwise(value).alias("_q")
-    )
+    results = state.select(*target, value.alias("_q"))
 
     def quantile(i: int, t: int) -> Column:
         return F.max(F.when((F.col("_c") == i) & (F.col("_t") == t), F.col("_q")))
@@ -196,6 +191,21 @@ def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
     ])
 
 
+def _logarithm(name: str) -> Column:
+    """A logarithm that keeps signs and order, with zero at zero and finite ends."""
+    size = F.abs(name)
+    scaled = F.when(size == 0, 0.0).when(size == float("inf"), LOG_INFINITY).otherwise(F.log(size) + LOG_SHIFT)
+    return F.signum(name) * scaled
+
+
+def _position(name: str) -> Column:
+    """Where a value lies between the ends of its range, 0 to 1, never falling."""
+    low, high = F.col("_lo"), F.col("_hi")
+    narrow = ((low > 0) & (high / 2 <= low)) | ((high < 0) & (low / 2 >= high))
+    by_ratio = (_logarithm(name) - _logarithm("_lo")) / (_logarithm("_hi") - _logarithm("_lo"))
+    return F.when(narrow & (high - low < float("inf")), (F.col(name) - low) / (high - low)).otherwise(by_ratio)
+
+
 def _settled_ends(below: Column | None = None, above: Column | None = None) -> dict[str, Column]:
     """A range of one value answers both neighbours; else both stay as given."""
     single = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))

@@ -48,16 +48,16 @@ def assert_unique_keys(tables: Mapping[str, DataFrame], keys: Sequence[str] = KE
             raise ValueError(f"{row.table}: {row.duplicate_keys} duplicate join keys in {list(keys)}")
 
 
-def features(attr: DataFrame, fin: DataFrame, click: DataFrame, guard: bool = True) -> DataFrame:
-    """One row per customer and date known to attributes or financials.
-
-    The full outer join is written as left joins onto the union of both key
-    sets: a full outer join loses its partitioning and would shuffle the wide
-    joined rows again for the click join; here each table is shuffled once and
-    only the narrow keys twice. Keys are unique and not null, as guarded.
+def features(attr: DataFrame, fin: DataFrame, click: DataFrame) -> DataFrame:
+    """Attributes, financials and click history side by side, for every key of the first two.
+
+    All keys of attributes and financials are collected first and the tables
+    joined onto them from the left. An outer join of the two loses its
+    partitioning and would shuffle the wide joined rows again for the click join; here each
+    table is shuffled once and only the narrow keys twice. Null and repeated
+    keys are refused.
     """
-    if guard:
-        assert_unique_keys({"attributes": attr, "financials": fin, "clickstream": click})
+    assert_unique_keys({"attributes": attr, "financials": fin, "clickstream": click})
     known = attr.select(*KEYS).union(fin.select(*KEYS)).distinct()
     return (
         known.join(attr.withColumn("has_attributes", F.lit(1)), KEYS, "left")

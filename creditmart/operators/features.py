@@ -74,5 +74,11 @@ def loan_vocabulary(clean: DataFrame) -> DataFrame:
 
 
 def vocabulary_list(vocabulary: DataFrame) -> list[str]:
-    """The vocabulary as column names need it: one entry per output column."""
-    return [row.loan_type for row in vocabulary.collect()]
+    """The vocabulary as column names need it: one entry per output column.
+
+    More than ``config.MAX_COLUMNS`` entries raise an error, none is left out.
+    """
+    found = [row.loan_type for row in vocabulary.limit(config.MAX_COLUMNS + 1).collect()]
+    if len(found) > config.MAX_COLUMNS:
+        raise ValueError(f"Type_of_Loan has more than {config.MAX_COLUMNS} loan types")
+    return found

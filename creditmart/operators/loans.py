@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from creditmart.config import LOAN_COLUMNS
 from creditmart.functions.columns import quoted, truncating_int
 
-# Month arithmetic beyond five million years overflows a date.
-MONTHS_LIMIT = 60_000_000
+# The most instalments the column can hold.
+MOST_MISSED = 2**31 - 1
 
 
 def typed(raw: DataFrame, types: dict[str, str] = LOAN_COLUMNS) -> DataFrame:
@@ -26,17 +26,20 @@ def delinquency(loans: DataFrame) -> DataFrame:
 
     Days past due are calendar days since the first missed instalment, so one
     missed instalment is 28 to 31 days. The ratio is rounded to nine digits
-    before the ceiling: three instalments of 880.1 are three, not four.
+    before the ceiling: three instalments of 880.1 are three, not four. Any
+    overdue share of a known instalment is at least one. Counts end at
+    ``MOST_MISSED``, and the date at the first year of the calendar.
     """
     overdue, due = F.col("overdue_amt"), F.col("due_amt")
-    missed = F.ceil(F.round(F.try_divide(overdue, due), 9)).try_cast("int")
+    ratio = F.greatest(F.ceil(F.round(F.try_divide(overdue, due), 9)).cast("double"), F.lit(1.0))
+    missed = F.least(ratio, F.lit(float(MOST_MISSED))).cast("int")
+    none = F.ceil(F.round(F.try_divide(overdue, due), 9)).try_cast("int")
     counted = loans.withColumns({
         "mob": F.col("installment_num").cast("int"),
-        "installments_missed": F.when(overdue == 0, 0).when(due > 0, missed),
+        "installments_missed": F.when(overdue == 0, 0).when((due > 0) & (overdue > 0), missed).when(due > 0, none),
     })
-    back = F.when(
-        F.col("installments_missed").between(1, MONTHS_LIMIT), -F.col("installments_missed")
-    )
+    calendar = (F.year("snapshot_date") - 1) * 12 + F.month("snapshot_date") - 1
+    back = F.when(F.col("installments_missed") > 0, -F.least("installments_missed", calendar))
     dated = counted.withColumn("first_missed_date", F.add_months("snapshot_date", back))
     days = F.datediff("snapshot_date", "first_missed_date")
     return dated.withColumn("dpd", F.when(overdue > 0, days).otherwise(0))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditmart.config import MEAN_FILL_COLUMNS, METADATA_COLUMNS
+from creditmart.config import MAX_COLUMNS, MEAN_FILL_COLUMNS, METADATA_COLUMNS
 from creditmart.functions.columns import quoted, usable
 from creditmart.functions.quantiles import exact_quantiles
 
@@ -132,7 +132,10 @@ def _after_filling(rows: int, n: int, mean: float, var: float, fill: float) -> d
 
 
 def train_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted categories per column: the output columns, so they fit the driver."""
+    """Sorted categories per column: the output columns.
+
+    More than ``MAX_COLUMNS`` of them raise an error that names the columns with most.
+    """
     found: dict[str, list[str]] = {c: [] for c in columns}
     if columns:
         types = dict(train.dtypes)
@@ -141,8 +144,11 @@ def train_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list
             for c in columns
         ])
         seen = train.select(F.inline(pairs)).filter("category is not null").distinct()
-        for row in seen.collect():
+        for row in seen.limit(MAX_COLUMNS + 1).collect():
             found[row.source_col].append(row.category)
+        if sum(map(len, found.values())) > MAX_COLUMNS:
+            sizes = seen.groupBy("source_col").count().orderBy(F.desc("count")).limit(3).collect()
+            raise ValueError(f"more than {MAX_COLUMNS} categories: {[tuple(row) for row in sizes]}")
     return {c: sorted(values) for c, values in found.items()}
 
 

@@ -12,11 +12,23 @@ from creditmart.functions.columns import quoted, usable
 from creditmart.functions.quantiles import exact_quantiles
 
 
+# Hex digits of a hash that name its bucket in a sample: 65,536 buckets.
+SAMPLE_DIGITS = 4
+
+
 def frequency(df: DataFrame, column: str, count_as: str = "counts") -> DataFrame:
     """Known values counted per value; the group of nulls counts zero."""
     return df.groupBy(column).agg(F.count(quoted(column)).alias(count_as)).orderBy(column)
 
 
+def frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``frequency`` of several columns, stacked, from one scan."""
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns
+    ])
+    return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("value").alias("counts"))
+
+
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Rows per value with nulls as a value of their own, most frequent first."""
     counts = df.groupBy(column).agg(F.count("*").alias("rows"))
@@ -24,14 +36,19 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return ranked if top is None else ranked.limit(top)
 
 
-def values_between(df: DataFrame, value: Column, low: float, high: float) -> DataFrame:
-    """Row counts of the values inside a closed range.
+def values_between(
+    df: DataFrame, values: Mapping[str, Column], low: float, high: float
+) -> DataFrame:
+    """Row counts of each column's values inside a closed range, from one scan.
 
     A condition on the group key is the same before grouping, and cheaper.
     """
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("column"), value.alias("value")) for name, value in values.items()
+    ])
     return (
-        df.select(value.alias("value")).filter(F.col("value").between(low, high))
-        .groupBy("value").agg(F.count("*").alias("rows"))
+        df.select(F.inline(pairs)).filter(F.col("value").between(low, high))
+        .groupBy("column", "value").agg(F.count("*").alias("rows"))
     )
 
 
@@ -198,19 +215,29 @@ def histogram(
     if low == high:
         low, high = low - 0.5, high + 0.5
     low, high = float(low), float(high)
-    position = F.floor((F.col("v") - low) / (high - low) * bins)
+    width = (high - low) / bins
+
+    def edge(number: Column) -> Column:
+        return F.lit(low) + number * F.lit(width)
+
+    guess = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
+    # The division may miss the edges as reported by one bin.
+    position = (
+        F.when(F.col("v") < edge(F.col("guess")), F.greatest(F.col("guess") - 1, F.lit(0)))
+        .when(F.col("v") >= edge(F.col("guess") + 1), F.least(F.col("guess") + 1, F.lit(bins - 1)))
+        .otherwise(F.col("guess"))
+    )
     counts = (
-        values.filter(F.col("v").between(low, high))
-        .groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.count("*").alias("rows"))
+        values.filter(F.col("v").between(low, high)).withColumn("guess", guess)
+        .groupBy(position.alias("bin")).agg(F.count("*").alias("rows"))
     )
-    width = (high - low) / bins
     return (
         df.sparkSession.range(bins).withColumnRenamed("id", "bin")
         .join(counts, "bin", "left").fillna(0, ["rows"])
         .select(
             "bin",
-            (F.lit(low) + F.col("bin") * F.lit(width)).alias("bin_low"),
-            (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),
+            edge(F.col("bin")).alias("bin_low"),
+            edge(F.col("bin") + 1).alias("bin_high"),
             "rows",
         )
         .orderBy("bin")
@@ -247,16 +274,18 @@ def first_rows(df: DataFrame, by: Sequence[str], k: int = 5) -> DataFrame:
 def seeded_sample(df: DataFrame, keys: Sequence[str], rows: int = 10_000, seed: int = 42) -> DataFrame:
     """At most ``rows`` rows, the same ones for the same seed whatever the partitioning.
 
-    The rows with the smallest hashes are the sample. A hash limit that leaves
-    about four times as many rows as wanted is applied first, so that a large
-    table does not send ``rows`` candidates from every task to the last one.
+    The rows with the smallest hashes are the sample. Counts per hash bucket,
+    combined before they leave the tasks, tell which bucket fills it, so that only the
+    rows up to there are sorted.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *[quoted(key) for key in keys]))
-    total = df.count()
-    if total > 100 * rows:
-        limit = int(2**64 * 4 * rows / total) - 2**63
-        likely = hashed.filter(F.col("_hash") <= limit)
-        # Repeated keys share a hash, so the limit may leave too few rows.
-        if likely.count() >= rows:
-            hashed = likely
+    text = F.concat_ws("|", F.lit(str(seed)), *[quoted(key).cast("string") for key in keys])
+    hashed = df.withColumn("_hash", F.md5(text))
+    bucket = F.left("_hash", F.lit(SAMPLE_DIGITS))
+    counts = hashed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.orderBy("bucket"))
+    # One row per bucket, however many rows there are.
+    filled = counts.withColumn("upto", running).filter(F.col("upto") >= rows)
+    last = filled.agg(F.min("bucket")).first()[0]
+    if last is not None:
+        hashed = hashed.filter(bucket <= last)
     return hashed.orderBy("_hash", *keys).limit(rows).drop("_hash")

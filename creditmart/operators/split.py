@@ -46,6 +46,8 @@ def class_quotas(counts: Mapping[int, int], test_size: float) -> dict[int, int]:
     """Test rows per class: ceil(test_size * n) in all, by largest remainder."""
     total, classes = sum(counts.values()), len(counts)
     test_rows = math.ceil(test_size * total)
+    if not counts:
+        raise ValueError("no rows are left to split into train and test")
     if any(count < 2 for count in counts.values()):
         raise ValueError("every label needs at least two rows to be split")
     if test_rows < classes or total - test_rows < classes:
@@ -82,24 +84,17 @@ def plan_split(
 ) -> SplitPlan:
     """Cutoff date and test boundaries, from three narrow counting passes.
 
-    What reaches the driver is one row per start date and label, then one row
-    per label.
+    What reaches the driver is the cutoff, then one row per label.
     """
-    cells = loans.groupBy("loan_start_date", "label").agg(F.count("*").alias("n")).collect()
-    dates = sorted({row.loan_start_date for row in cells if row.loan_start_date is not None})
-    if not dates:
+    cutoff = oot_dates(loans, oot_fraction).agg(F.min("loan_start_date")).first()[0]
+    if cutoff is None:
         raise ValueError("no dated loans to split")
-    cutoff = dates[-math.ceil(len(dates) * oot_fraction)]
-    counts: dict[int, int] = {}
-    for row in cells:
-        if row.loan_start_date is not None and row.loan_start_date < cutoff:
-            counts[row.label] = counts.get(row.label, 0) + row.n
+    before = loans.filter(F.col("loan_start_date") < F.lit(cutoff))
+    per_label = before.groupBy("label").agg(F.count("*").alias("n")).collect()
+    counts = {row.label: row.n for row in per_label}
     quotas = class_quotas(counts, test_size)
 
-    earlier = (
-        loans.filter(F.col("loan_start_date") < F.lit(cutoff))
-        .select("label", _hash(seed, identity).alias("_hash"))
-    )
+    earlier = before.select("label", _hash(seed, identity).alias("_hash"))
     width = 16 ** (HASH_DIGITS - BUCKET_DIGITS)
     buckets = _boundary_rows(
         earlier.withColumn("_value", F.floor(F.col("_hash") / width)), quotas

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from creditmart.operators import assemble, clean, features, history, loans
@@ -31,16 +34,25 @@ class Layout:
         return f"{self.root}/gold/{name}"
 
 
+def _together(spark: SparkSession, jobs: Iterable[Callable[[], None]]) -> None:
+    """Run independent writes at the same time; Spark shares its cores among them."""
+    with ThreadPoolExecutor(len(DATASETS)) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()
+
+
 def run_bronze(
     spark: SparkSession, sources: Mapping[str, str], layout: Layout, spine: Iterable[str | date]
 ) -> None:
     """One scan per source file for all snapshots."""
-    for dataset in DATASETS:
+    def write(dataset: str) -> None:
         chosen = raw.select_snapshots(raw.read_text_columns(spark, sources[dataset]), spine)
         tables.write_snapshots(
             chosen, layout.bronze(dataset), by=raw.SNAPSHOT_PARTITION, dates=spine
         )
 
+    _together(spark, [partial(write, dataset) for dataset in DATASETS])
+
 
 def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date]) -> None:
     rules = {
@@ -49,11 +61,14 @@ def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date])
         "fe_fin": clean.financials,
         "fe_click": clean.clicks,
     }
-    for dataset, rule in rules.items():
+
+    def write(dataset: str) -> None:
         text = tables.read_snapshots(
-            spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION
+            spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION, merge_columns=True
         ).drop(raw.SNAPSHOT_PARTITION)
-        tables.write_snapshots(rule(text), layout.silver(dataset), dates=spine)
+        tables.write_snapshots(rules[dataset](text), layout.silver(dataset), dates=spine)
+
+    _together(spark, [partial(write, dataset) for dataset in DATASETS])
 
 
 def run_gold(
@@ -75,7 +90,7 @@ def run_gold(
     spine = as_dates(spine)
 
     def silver(dataset: str, dates: Iterable[date] | None = spine) -> DataFrame:
-        return tables.read_snapshots(spark, layout.silver(dataset), dates)
+        return tables.read_snapshots(spark, layout.silver(dataset), dates, merge_columns=True)
 
     if loan_types is None:
         loan_types = features.vocabulary_list(features.loan_vocabulary(silver("fe_fin", None)))
@@ -85,10 +100,12 @@ def run_gold(
         "fe_fin": features.financials(silver("fe_fin"), loan_types),
         "fe_click": history.asof_history(silver("fe_click", None), spine),
     }
-    for name, table in outputs.items():
-        tables.write_snapshots(table, layout.gold(name), dates=spine)
+    _together(spark, [
+        partial(tables.write_snapshots, table, layout.gold(name), dates=spine)
+        for name, table in outputs.items()
+    ])
     joined = assemble.features(*[
-        tables.read_snapshots(spark, layout.gold(name), spine)
+        tables.read_snapshots(spark, layout.gold(name), spine, merge_columns=True)
         for name in ("fe_attr", "fe_fin", "fe_click")
     ])
     tables.write_snapshots(joined, layout.gold("joined_features"), dates=spine)
@@ -103,7 +120,11 @@ def backfill(
     dpd: int = 30,
     mob: int = 6,
 ) -> Layout:
-    """Run all layers for the given snapshots; other snapshots are left alone."""
+    """Run all layers for the given snapshots; other snapshots are left alone.
+
+    Columns that a later run adds, by a new source column or loan type, are null
+    in earlier snapshots: every layer is read by the columns of all its snapshots.
+    """
     layout, spine = Layout(root), as_dates(spine)
     run_bronze(spark, sources, layout, spine)
     run_silver(spark, layout, spine)

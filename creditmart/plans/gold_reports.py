@@ -11,7 +11,7 @@ from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import profile
 from creditmart.operators.assemble import assert_unique_keys
 
-# Thresholds for a closer look, not cleaning rules.
+# Ratios outside these bounds are flagged; nothing is removed for them.
 RATIO_LOW, RATIO_HIGH = 0.5, 1.5
 
 

@@ -10,6 +10,9 @@ from creditmart.operators import assemble, preprocess, split
 from creditmart.sources import tables
 
 
+SETS = ("train", "test", "oot")
+
+
 @dataclass(frozen=True)
 class Prepared:
     plan: split.SplitPlan
@@ -52,16 +55,19 @@ def prepare_tables(
     """From the stored label and feature tables to stored sets and parameters.
 
     ``output_path`` receives ``labelled`` (the join, read by every later pass),
-    ``sets`` partitioned by ``split``, and ``preprocessor``.
+    ``sets`` partitioned by ``split``, and ``preprocessor``. All three sets are
+    replaced, by an empty one where no rows fall into it. Snapshots without a
+    feature column of later ones have nulls there.
     """
     joined = assemble.labelled_features(
-        tables.read_snapshots(spark, labels_path), spark.read.parquet(features_path)
+        tables.read_snapshots(spark, labels_path, merge_columns=True),
+        tables.read_snapshots(spark, features_path, merge_columns=True),
     )
     tables.write_table(joined, f"{output_path}/labelled")
     prepared = prepare(
         spark.read.parquet(f"{output_path}/labelled"), oot_fraction, test_size, seed
     )
-    tables.write_snapshots(prepared.encoded, f"{output_path}/sets", by="split")
+    tables.write_snapshots(prepared.encoded, f"{output_path}/sets", by="split", values=SETS)
     tables.write_table(
         preprocess.parameters_frame(spark, prepared.fields), f"{output_path}/preprocessor"
     )
@@ -70,7 +76,8 @@ def prepare_tables(
 
 def load_set(spark: SparkSession, output_path: str, name: str) -> DataFrame:
     """One of ``train``, ``test`` and ``oot``; the other sets are not read."""
-    return spark.read.parquet(f"{output_path}/sets").filter(f"split = '{name}'").drop("split")
+    path = f"{output_path}/sets"
+    return spark.read.option("basePath", path).parquet(f"{path}/split={name}").drop("split")
 
 
 def encode_new_loans(spark: SparkSession, output_path: str, rows: DataFrame) -> DataFrame:

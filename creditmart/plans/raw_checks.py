@@ -186,9 +186,9 @@ def range_summary(financials: DataFrame) -> DataFrame:
     )
 
 
-def value_spread(financials: DataFrame, column: str) -> DataFrame:
-    """Row counts of the values from -5 to 40."""
-    return profile.values_between(financials, number(column), -5, 40)
+def value_spreads(financials: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Row counts of each column's values from -5 to 40."""
+    return profile.values_between(financials, {c: number(c) for c in columns}, -5, 40)
 
 
 def salary_ratios(financials: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ def get_session(app: str = "creditmart", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.ui.enabled", "false")
+        # Files of checkpoints go when their last reference does.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # The JVM does not compile methods above 8000 bytes; a stage that wide runs
         # faster as several smaller generated methods.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")

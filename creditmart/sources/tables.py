@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart.sources.spine import as_dates
@@ -24,46 +23,41 @@ def write_snapshots(
     by: str = "snapshot_date",
     fmt: str = "parquet",
     dates: Iterable[str | date] = (),
+    values: Iterable[str] = (),
 ) -> None:
     """Replace the snapshots present in ``df``; every other snapshot stays.
 
     The rebalance hint lets adaptive execution cut each snapshot into files of
     the advisory size: no task holds a whole month, and no task leaves one small
-    file per month. A snapshot listed in ``dates`` that has no rows becomes an
-    empty one, so that every date of a run can be read and a second run leaves
-    nothing of the first behind.
+    file per month. A snapshot listed in ``dates`` (or, for another column, in
+    ``values``) that has no rows becomes an empty one, so that every date of a run
+    can be read and a second run leaves nothing of the first behind. Which have rows is observed
+    by the write itself. Empty ones follow it; a run that fails in between is to be
+    repeated.
     """
     options = CSV_OPTIONS if fmt == "csv" else {}
-    asked = [f"{by}={day}" for day in as_dates(dates)]
-    before = _files(df.sparkSession, path, asked)
+    asked = {str(value) for value in [*as_dates(dates), *values]}
+    seen = Observation()
+    rows = df.observe(seen, F.collect_set(F.col(by).cast("string")).alias("seen")) if asked else df
     (
-        df.hint("rebalance", F.col(by))
+        rows.hint("rebalance", F.col(by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
         .options(**options).format(fmt).save(path)
     )
-    after = _files(df.sparkSession, path, asked)
-    for folder in asked:
-        if after[folder] == before[folder]:
-            nothing = df.drop(by).limit(0)
-            nothing.write.mode("overwrite").options(**options).format(fmt).save(f"{path}/{folder}")
-
-
-def _files(spark: SparkSession, path: str, folders: list[str]) -> dict[str, set[str]]:
-    """File names in some folders of a table. Lists those folders only, reads nothing."""
-    found: dict[str, set[str]] = {folder: set() for folder in folders}
-    if folders:
-        try:
-            listed = spark.read.format("text").load(f"{path}/{{{','.join(folders)}}}").inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            listed = []
-        for file in listed:
-            folder, name = file.rsplit("/", 2)[1:]
-            found[unquote(folder)].add(name)
-    return found
+    for value in sorted(asked - _present(df, by, seen)) if asked else ():
+        nothing = df.drop(by).limit(0)
+        nothing.write.mode("overwrite").options(**options).format(fmt).save(f"{path}/{by}={value}")
+
+
+def _present(df: DataFrame, by: str, seen: Observation) -> set[str]:
+    """The snapshots a write has seen. A frame that turned out to be empty while it ran may
+    leave no observation; its snapshots are then counted, from the one column."""
+    try:
+        return set(seen.get["seen"])
+    except Py4JJavaError:
+        return {row[0] for row in df.select(F.col(by).cast("string")).distinct().collect()}
 
 
 def read_snapshots(

@@ -48,7 +48,7 @@ def test_layers(spark, mart):
     # Two keys, 5 attribute, 42 financial and 22 click columns, and one per loan type seen.
     silver = tables.read_snapshots(spark, layout.silver("fe_fin"))
     loan_types = features.vocabulary_list(features.loan_vocabulary(silver))
-    assert len(loan_types) == 8 and len(joined.columns) == 71 + len(loan_types)
+    assert len(loan_types) == 9 and len(joined.columns) == 71 + len(loan_types)
     for dataset in ("lms", "fe_attr", "fe_fin", "fe_click"):
         dates = {r[0] for r in tables.read_snapshots(spark, layout.silver(dataset)).select("snapshot_date").distinct().collect()}
         assert dates <= set(SPINE)
@@ -83,3 +83,21 @@ def test_sets_from_the_mart(spark, mart):
     test = prepare.load_set(spark, f"{layout.root}/model", "test")
     assert test.count() == prepared.plan.sizes["test"]
     assert joined.count() > 0
+
+    # Two labels only, one of each set kind: the sets of the first run must not stay.
+    few = spread.filter("loan_start_date > DATE'2024-03-01'").withColumn(
+        "loan_start_date", F.expr("CASE WHEN CAST(loan_id AS INT) % 8 = 3 THEN DATE'2024-04-01' ELSE DATE'2024-03-01' END")
+    )
+    tables.write_table(few, f"{layout.root}/few")
+    again = prepare.prepare_tables(spark, layout.gold("joined_features"), f"{layout.root}/few", f"{layout.root}/model")
+    for name in ("train", "test"):
+        assert prepare.load_set(spark, f"{layout.root}/model", name).count() == again.plan.sizes[name]
+
+
+def test_a_set_without_rows_is_empty(spark):
+    path = scratch_path(spark, "sets")
+    rows = spark.createDataFrame([(1, "train"), (2, "oot")], "k int, split string")
+    tables.write_snapshots(rows, path, by="split", values=prepare.SETS)
+    tables.write_snapshots(rows.filter("k = 1"), path, by="split", values=prepare.SETS)
+    assert [r.k for r in spark.read.parquet(path).collect()] == [1]
+    assert spark.read.parquet(f"{path}/split=oot").count() == 0

@@ -98,6 +98,8 @@ def test_entry_counts(spark):
     assert one_column(
         spark, texts, lambda c: rule.entry_count(rule.padded_list(c), "Auto Loan")
     ) == [2, 1, 0, 2, None]
+    blank = ["A, B", "A,, B", "A, ", ",A", "A,  ,B", "A"]
+    assert one_column(spark, blank, lambda c: rule.entry_count(rule.padded_list(c), "")) == [0, 1, 1, 1, 1, 0]
 
 
 def test_credit_history(spark):
@@ -212,7 +214,9 @@ def test_vocabulary(spark):
     ("2023-05-01", "100", "100", 1, dt.date(2023, 4, 1), 30),
     ("2023-03-31", "100", "100", 1, dt.date(2023, 2, 28), 31),
     ("2023-05-01", "2640.3", "880.1", 3, dt.date(2023, 2, 1), 89),
-    ("2023-05-01", "1e12", "0.01", None, None, None),
+    ("2023-05-01", "1e12", "0.01", 2**31 - 1, dt.date(1, 1, 1), (dt.date(2023, 5, 1) - dt.date(1, 1, 1)).days),
+    ("2023-05-01", "7e10", "1000", 70_000_000, dt.date(1, 1, 1), (dt.date(2023, 5, 1) - dt.date(1, 1, 1)).days),
+    ("2023-05-01", "0.01", "3e7", 1, dt.date(2023, 4, 1), 30),
 ])
 def test_delinquency(spark, snapshot, overdue, due, missed, first, dpd):
     text = spark.createDataFrame(

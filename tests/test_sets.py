@@ -49,6 +49,8 @@ def test_quotas():
             assert all(abs(quotas[c] - n * sum(quotas.values()) / (zeros + ones)) < 1 for c, n in ((0, zeros), (1, ones)))
     with pytest.raises(ValueError):
         split.class_quotas({0: 10, 1: 1}, 0.2)
+    with pytest.raises(ValueError):
+        split.class_quotas({}, 0.2)
     with pytest.raises(ValueError):
         split.class_quotas({0: 2, 1: 2}, 0.2)
 
