@@ -15,6 +15,7 @@ from creditmart.llm import (
     quality,
     secrets,
     simhash,
+    sql,
     tokens,
     url_rules,
 )
@@ -205,6 +206,8 @@ FROM joined"""
 
 
 LLM_ORACLES: dict[str, str] = {
+    "op2_substring_dedup": sql.repeats(passages.WINDOW),
     "op4_url_filter": _url_sql(),
     "op7_source_mix": _mix_sql(),
+    "op10_benchmark_decontamination": sql.leaks(decontaminate.WINDOW),
 }
