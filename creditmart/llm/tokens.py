@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.llm.rows import extend, packed
+from creditmart.session import ensure_checkpoint_dir
 
 # Entries of the broadcast table, and the longest pre-token in it: 65,536 x 48
 # characters bound its size, whatever the corpus.
 FREQUENT = 1 << 16
 LONGEST = 48
 # What one task reports to the table, and counts at most before it drops the rare half.
-REPORTED = 1 << 15
+REPORTED = 1 << 13
 COUNTED = 1 << 18
 # Misses a worker remembers before it starts anew.
 CACHED = 1 << 18
@@ -104,9 +105,17 @@ def frequent_units(documents: DataFrame, text: str = "text") -> list[str]:
         if top:
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top]), pa.array([n for _, n in top])], ["unit", "n"])
 
+    ensure_checkpoint_dir(documents.sparkSession)
     reported = documents.select(F.col(text)).mapInArrow(report, "unit string, n bigint")
-    best = reported.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(FREQUENT)
-    return [row.unit for row in best.select("unit").collect()]
+    counted = reported.groupBy("unit").agg(F.sum("n").alias("n")).checkpoint()
+    # The lowest power of two that no more than FREQUENT counts reach.
+    size = F.floor(F.log2("n")).cast("int").alias("size")
+    sizes = dict(counted.groupBy(size).count().collect())
+    least, total = max(sizes, default=0) + 1, 0
+    while least > 0 and total + sizes.get(least - 1, 0) <= FREQUENT:
+        least -= 1
+        total += sizes.get(least, 0)
+    return [row.unit for row in counted.where(F.col("n") >= 2**least).select("unit").collect()]
 
 
 def count_tokens(
