@@ -154,6 +154,17 @@ def test_parameters_come_from_train_only(spark, loans):
     assert preprocess.fit(changed.filter("split = 'train'"), kinds) == before
 
 
+def test_one_start_date_cannot_be_split(loans):
+    with pytest.raises(ValueError, match="no rows are left"):
+        split.plan_split(loans.filter("loan_start_date = DATE'2023-03-01'"))
+
+
+def test_too_many_categories_are_refused(loans, monkeypatch):
+    monkeypatch.setattr(preprocess, "MAX_COLUMNS", 2)
+    with pytest.raises(ValueError, match=r"more than 2 categories.*'k'"):
+        preprocess.train_categories(loans, ["k"])
+
+
 def test_stored_sets_and_parameters(spark, loans):
     path = scratch_path(spark, "prepare")
     labels = loans.select(
