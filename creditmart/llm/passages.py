@@ -1,5 +1,7 @@
 """Substring deduplication: recurring passages, compiled into automata and found in all texts.
 
+0. Texts of equal words are one: the one with the least key stands for all, and every
+   other of them is a single passage that recurs as a whole.
 1. Every text is reduced to anchors: of the phrases in each window the one with
    the least hash. Equal windows have equal anchors, about one for twenty words.
 2. Anchors in two or more documents recur. A text is cut into pieces, one per
@@ -298,9 +300,10 @@ def _hot_spans(cut: DataFrame, window: int) -> DataFrame:
 def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """Summaries of all texts, and the repeated texts with the words to remove.
 
-    Summaries have ``key``, ``digest`` (of the text), ``n_words`` and
-    ``kept_sha256`` of all words; repeated texts have ``key``, ``digest``, ``text`` and
-    ``spans`` of words, not merged.
+    Summaries have ``key``, ``digest`` (of the text), ``n_words``, ``kept_sha256`` of
+    all words, and ``copy``: whether all words are those of a text with a lesser
+    key, so that all are to be removed. Of the other texts, the repeated ones have ``key``,
+    ``digest``, ``text`` and ``spans`` of words, not merged.
 
     A word is to be removed if a window of ``window`` words around it also
     starts in a text with a lesser integer key. Texts with a null key are left
@@ -312,7 +315,15 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     rows = rows.select("key", F.xxhash64("text").alias("digest"), "text")
     summaries = rows.mapInArrow(_summaries(window), _SUMMARY).checkpoint()
-    anchors = summaries.where("key is not null").select("key", F.explode("anchors").alias("anchor"))
+    # A text without an anchor is shorter than a window: no copy of it is removed.
+    long = summaries.where("key is not null and size(anchors) > 0")
+    first = long.groupBy("kept_sha256").agg(F.min("key").alias("first"))
+    copy = (F.col("key") > F.col("first")) & (F.size("anchors") > 0)
+    summaries = attach(summaries, first, ["kept_sha256"]).withColumn("copy", F.coalesce(copy, F.lit(False)))
+    summaries = summaries.drop("first").checkpoint()
+    anchors = summaries.where("key is not null and not copy").select(
+        "key", F.explode("anchors").alias("anchor")
+    )
     recurring = (
         anchors.groupBy("anchor")
         .agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count("*").alias("n"))
@@ -368,7 +379,8 @@ def deduplicated(documents: DataFrame, key: str = "doc_id", text: str = "text",
         "key", "digest", "n_removed", F.sha2("kept", 256).alias("changed")
     ).dropDuplicates(["key", "digest"])
     same = [summaries[c] == changed[c] for c in ("key", "digest")]
+    removed = F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
+    kept = F.when(F.col("copy"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("changed", "kept_sha256"))
     return summaries.join(changed, same, "left").select(
-        summaries["key"], "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("changed", "kept_sha256").alias("kept_sha256"),
+        summaries["key"], "n_words", removed.cast("bigint").alias("n_removed"), kept.alias("kept_sha256")
     )

@@ -52,3 +52,10 @@ def test_null_keys_repeated_rows_and_empty_tables(spark, dirty):
     assert got == [((False, 0), 60, 0)] * 2 + [((False, 1), 60, 60), ((False, 2), 61, 60)]
     assert [r.n_removed for r in passages.deduplicated(rows).collect() if r.key is None] == [0]
     assert passages.deduplicated(dirty([])).count() == 0
+
+
+def test_texts_of_equal_words(spark, dirty):
+    """Equal words in another spacing are copies; short ones stay, and a part of one is found."""
+    text = " ".join(f"w{i}" for i in range(80))
+    given = ["short one", text.replace(" ", "\n"), "short  one", text, text + " ", " ".join(text.split()[10:75]), None, None]
+    assert results(passages.deduplicated(dirty(given))) == without_repeats(enumerate(given))
