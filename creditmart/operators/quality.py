@@ -65,33 +65,30 @@ def loan_summary(loans: DataFrame) -> DataFrame:
 
 
 def table_overview(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Rows, customers, columns, date span and surplus rows per table and its keys."""
+    """Rows, customers, columns, date span and surplus rows per table and its keys.
+
+    One scan per table: every row counts for its key and once more for its
+    customer, both combined before the shuffle.
+    """
 
     def overview(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        grouping = list(dict.fromkeys([*keys, *KEYS]))
-        cells = df.groupBy(*grouping).agg(F.count("*").alias("n"))
-        by_key = cells.groupBy(*keys).agg(
-            F.sum("n").alias("n"),
-            F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"),
-        )
-        customers = cells.groupBy("Customer_ID").agg(F.lit(1).alias("one")).agg(
-            F.count("Customer_ID").alias("customers")
+        by_key = F.col("_part") == 0
+        named = [F.when(by_key, F.col(key)).alias(f"_key_{i}") for i, key in enumerate(keys)]
+        cells = (
+            df.withColumn("_part", F.explode(F.array(F.lit(0), F.lit(1))))
+            .groupBy("_part", *named, F.when(~by_key, F.col("Customer_ID")).alias("_customer"))
+            .agg(
+                F.count("*").alias("n"),
+                F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"),
+            )
         )
-        counts = by_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        return cells.agg(
+            F.lit(name).alias("table"),
+            F.coalesce(F.sum(F.when(by_key, F.col("n"))), F.lit(0)).alias("rows"),
+            F.count("_customer").alias("customers"),
+            F.lit(len(df.columns)).alias("columns"),
             F.min("first").alias("first_date"), F.max("last").alias("last_date"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_key_rows"),
-        )
-        # Two one-row results side by side.
-        return (
-            counts.withColumn("customers", F.lit(None).cast("long"))
-            .unionByName(customers, allowMissingColumns=True)
-            .agg(*[F.max(c).alias(c) for c in [*counts.columns, "customers"]])
-            .select(
-                F.lit(name).alias("table"), "rows", "customers",
-                F.lit(len(df.columns)).alias("columns"),
-                "first_date", "last_date", "duplicate_key_rows",
-            )
+            F.coalesce(F.sum(F.when(by_key, F.col("n") - 1)), F.lit(0)).alias("duplicate_key_rows"),
         )
 
     return reduce(
