@@ -343,7 +343,13 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     met = cut.where("not hot").select("anchor", "piece", "key", "digest", "start").repartition("anchor")
     found = met.sortWithinPartitions("anchor").mapInArrow(
         _located(window), f"key bigint, digest bigint, spans {_RANGES}"
-    ).unionByName(_hot_spans(cut.where("hot"), window))
+    )
+    # Their pieces are read several times, so they are cut once.
+    path = scratch_path(spark, "hot")
+    cut.where("hot").drop("hot").write.parquet(path)
+    hot = spark.read.parquet(path)
+    if not hot.isEmpty():
+        found = found.unionByName(_hot_spans(hot, window))
     per_text = found.groupBy("key", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return summaries.drop("anchors"), repeated.drop("wanted", "hot").join(per_text, ["key", "digest"])
 
