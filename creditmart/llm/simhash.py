@@ -183,7 +183,9 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= bits <= MAX_BITS:
         raise ValueError(f"bits must be 0 to {MAX_BITS}")
-    spread = prints.mapInArrow(_spread, "key bigint, print bigint")
+    # A hundred rows come of each: as many tasks as a shuffle has, not as its input has.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = prints.repartition(tasks, prints.columns[0]).mapInArrow(_spread, "key bigint, print bigint")
     dealt = spread.repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(_link(bits), "a bigint, b bigint").distinct()
 
