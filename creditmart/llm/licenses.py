@@ -19,6 +19,7 @@ CONTAINMENT = 0.8
 # Chance that a window with enough of a template is not retrieved.
 MISS = 1e-6
 ROWS = 2
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 # Shingles of all templates together; they are sent to every task.
 MAX_SHINGLES = 1_000_000
 
@@ -92,13 +93,19 @@ class Index:
             table = self.tables[group] = defaultdict(list)
             for i in members:
                 own = self.templates[i]
-                signature = self.signatures(own.shingles, np.array([0]))[0]
+                signature = self.signatures(own.shingles, np.array([0]), np.array([len(own.shingles)]))[0]
                 for band in range(own.bands):
                     table[band, *signature[ROWS * band : ROWS * band + ROWS].tolist()].append(i)
 
-    def signatures(self, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Least hash under each seed, per group of values."""
-        return np.stack([np.minimum.reduceat(mixed(values ^ seed), starts) for seed in self.seeds], axis=1)
+    def signatures(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Least hash under each seed, per range of values; ranges may overlap.
+
+        The values are hashes already, so one multiplication orders them anew.
+        """
+        low, high = int(starts.min()), int(ends.max())
+        edges = np.stack([starts, ends], axis=1).ravel() - low
+        padded = np.append(values[low:high], np.uint64(0))
+        return np.stack([np.minimum.reduceat((padded ^ seed) * _ODD, edges)[::2] for seed in self.seeds], axis=1)
 
     def matches(self, words: Words) -> list[list[tuple[str, int, int, float]]]:
         """Per text: (license, first word, word after the last, share found), by place."""
@@ -135,10 +142,7 @@ class Index:
         return np.flatnonzero((words.counts > 0) & (near | (width < SHINGLE)))
 
     def _verified(self, own, starts, ends, group, width):
-        sizes = ends - starts
-        first = np.cumsum(sizes) - sizes
-        index = np.repeat(starts - first, sizes) + np.arange(sizes.sum())
-        signatures, table = self.signatures(own[index], first), self.tables[group]
+        signatures, table = self.signatures(own, starts, ends), self.tables[group]
         bands = max(self.templates[i].bands for i in self.by_size[group])
         for start, end, signature in zip(starts.tolist(), ends.tolist(), signatures.tolist(), strict=True):
             retrieved = set()
