@@ -12,7 +12,7 @@
 4. What was found goes back to the documents as spans of words.
 
 Anchors in very many documents would meet in one task. Their pieces are combined
-before the shuffle, equal ones into one, and confirmed window by window (``_hot_spans``).
+before the shuffle, equal ones into one, and confirmed window by window (``_hot_ranges``).
 """
 
 from __future__ import annotations
@@ -134,21 +134,21 @@ class Shard:
 
     def __init__(self, window: int):
         self.window, self.symbols = window, {}
-        #: Piece: its least and greatest key, its text as one character per word, its places.
-        self.pieces: dict[str, tuple[list, str, list]] = {}
+        #: Piece: its least and greatest key, its text as one character per word, its names.
+        self.pieces: dict[str, tuple[list, str, tuple]] = {}
         self.words = 0
 
-    def add(self, piece: str, key: int, digest: int, start: int) -> None:
+    def add(self, piece: str, key: int, anchor: int, hashed: int) -> None:
         known = self.pieces.get(piece)
         if known is None:
             words = piece.split(" ")
             signs = [self.symbols.setdefault(w, len(self.symbols)) for w in words]
             # The code points of surrogates are left out.
             text = "".join([chr(s + 1 if s < 0xD7FF else s + 0x801) for s in signs])
-            known = self.pieces[piece] = ([key, key], text, [])
+            self.pieces[piece] = ([key, key], text, (anchor, hashed))
             self.words += len(words)
-        known[0][0], known[0][1] = min(known[0][0], key), max(known[0][1], key)
-        known[2].append((key, digest, start))
+        else:
+            known[0][0], known[0][1] = min(known[0][0], key), max(known[0][1], key)
 
     def passages(self) -> dict[str, int]:
         """Recurring passages and the least key each window of them occurs under.
@@ -203,43 +203,39 @@ class Shard:
         return result
 
     def found(self):
-        """(key, digest, spans) of every place: windows that also occur under a lesser key."""
+        """Of every piece (anchor, hash, least key, ranges): windows that also occur under a lesser key."""
         automaton = ahocorasick.Automaton()
         for passage, least in self.passages().items():
             automaton.add_word(passage, (least, len(passage)))
-        if not len(automaton):
-            return
-        automaton.make_automaton()
-        for _, text, places in self.pieces.values():
-            found = [(last + 1 - n, last + 1, least) for last, (least, n) in automaton.iter(text)]
-            for key, digest, start in places:
-                spans = [(a + start, b + start) for a, b, least in found if least < key]
-                if spans:
-                    yield key, digest, spans
+        if len(automaton):
+            automaton.make_automaton()
+        for (own, _), text, names in self.pieces.values():
+            places = automaton.iter(text) if len(automaton) else ()
+            yield *names, own, [(last + 1 - n, last + 1) for last, (least, n) in places if least < own]
 
 
 _KIND = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _located(window: int):
-    """From pieces sorted by anchor to spans: as many automata as the pieces need."""
+    """From pieces sorted by anchor to their ranges: as many automata as the pieces need."""
 
     def done(shard: Shard):
         found = list(shard.found())
         return pa.RecordBatch.from_arrays([
-            pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
-            pa.array([[{"start": a, "end": b} for a, b in f[2]] for f in found], _KIND),
-        ], ["key", "digest", "spans"])
+            *(pa.array([f[i] for f in found], pa.int64()) for i in range(3)),
+            pa.array([[{"start": a, "end": b} for a, b in f[3]] for f in found], _KIND),
+        ], ["anchor", "hash", "least", "ranges"])
 
     def run(batches):
         shard, last = Shard(window), None
         for batch in batches:
-            for anchor, *place in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for piece, key, anchor, hashed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if anchor != last and shard.words >= SHARD_WORDS:
                     yield done(shard)
                     shard = Shard(window)
                 last = anchor
-                shard.add(*place)
+                shard.add(piece, key, anchor, hashed)
         yield done(shard)
 
     return run
@@ -265,30 +261,30 @@ def _windows_of(window: int):
     return run
 
 
-def _hot_spans(cut: DataFrame, window: int) -> DataFrame:
+def _hot_ranges(hot: DataFrame, window: int) -> DataFrame:
     """As :func:`_located`, for pieces of anchors in very many documents.
 
     Equal pieces become one before the shuffle. Each of their windows goes its own way: its
     least key is combined before the shuffle and joined back, both by 128 bits of
-    hashes. A document after a piece's first one loses all of the piece.
+    hashes.
     """
-    distinct = (
-        cut.groupBy("anchor", "piece").agg(F.min("key").alias("least"), F.max("key").alias("greatest"))
-        .select("anchor", F.xxhash64("piece").alias("hash"), "least", "greatest", "piece")
-    )
+    distinct = hot.groupBy("anchor", "hash", "piece").agg(
+        F.min("key").alias("least"), F.max("key").alias("greatest")
+    ).select("anchor", "hash", "least", "greatest", "piece")
     rows = distinct.mapInArrow(
         _windows_of(window), "anchor bigint, hash bigint, least bigint, greatest bigint, start int, window bigint"
     )
     first = rows.groupBy("anchor", "window").agg(F.min("least").alias("first"))
     span = F.struct(F.col("start"), (F.col("start") + window).cast("int").alias("end"))
     # A piece has few windows, all of one anchor.
-    ranges = attach(rows, first, ["anchor", "window"]).groupBy("anchor", "hash", "least").agg(
+    return attach(rows, first, ["anchor", "window"]).groupBy("anchor", "hash", "least").agg(
         F.collect_list(F.when(F.col("first") < F.col("least"), span)).cast(_RANGES).alias("ranges")
     )
-    places = cut.select(
-        "anchor", F.xxhash64("piece").alias("hash"), "key", "digest", "start",
-        (F.regexp_count("piece", F.lit(" ")) + 1).cast("int").alias("size"),
-    )
+
+
+def _spans(cut: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Spans of words per place of a piece. A document after a piece's first one loses all of it."""
+    places = cut.select("anchor", "hash", "key", "digest", "start", "size")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end")))
     spans = F.transform(
         F.when(F.col("key") > F.col("least"), whole.cast(_RANGES)).otherwise(F.col("ranges")),
@@ -340,16 +336,19 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     cut = repeated.mapInArrow(
         _cut(window), "anchor bigint, piece string, key bigint, digest bigint, start int, hot boolean"
     )
-    met = cut.where("not hot").select("anchor", "piece", "key", "digest", "start").repartition("anchor")
-    found = met.sortWithinPartitions("anchor").mapInArrow(
-        _located(window), f"key bigint, digest bigint, spans {_RANGES}"
+    # Cut once; read for the automata, for the hot anchors, and for the places.
+    path = scratch_path(spark, "pieces")
+    size = (F.regexp_count("piece", F.lit(" ")) + 1).cast("int")
+    cut.withColumns({"hash": F.xxhash64("piece"), "size": size}).write.parquet(path)
+    cut = spark.read.parquet(path)
+    met = cut.where("not hot").select("piece", "key", "anchor", "hash").repartition("anchor")
+    ranges = met.sortWithinPartitions("anchor").mapInArrow(
+        _located(window), f"anchor bigint, hash bigint, least bigint, ranges {_RANGES}"
     )
-    # Their pieces are read several times, so they are cut once.
-    path = scratch_path(spark, "hot")
-    cut.where("hot").drop("hot").write.parquet(path)
-    hot = spark.read.parquet(path)
+    hot = cut.where("hot")
     if not hot.isEmpty():
-        found = found.unionByName(_hot_spans(hot, window))
+        ranges = ranges.unionByName(_hot_ranges(hot, window))
+    found = _spans(cut, ranges).where("size(spans) > 0")
     per_text = found.groupBy("key", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return summaries.drop("anchors"), repeated.drop("wanted", "hot").join(per_text, ["key", "digest"])
 
