@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -146,7 +146,7 @@ def find_benchmark(
             before = result.select(F.struct("row", "spans", "items", F.col(f"row.{text}").alias("text")).alias("row"))
             result = _searched(before, "text", sent).select(
                 "row.row", "n_words",
-                F.concat("row.spans", "spans").alias("spans"),
+                merged_spans(F.concat("row.spans", "spans")).alias("spans"),
                 F.array_sort(F.array_union("row.items", "items")).alias("items"),
             )
     return result
@@ -158,8 +158,8 @@ def _searched(rows: DataFrame, text: str, sent) -> DataFrame:
 
 def judged(found: DataFrame) -> DataFrame:
     """``row`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``."""
-    inside = F.aggregate("merged", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
-    return found.withColumn("merged", merged_spans("spans")).select(
+    inside = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
         "row", "n_words", inside.alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -167,19 +167,12 @@ def judged(found: DataFrame) -> DataFrame:
     )
 
 
-def merged_spans(spans: str):
-    """Sorted spans, cut so that none overlaps the spans before it."""
-    kind = "array<struct<start: int, end: int>>"
-    return F.aggregate(
-        F.array_sort(F.col(spans)),
-        F.array().cast(kind),
-        lambda done, s: F.when(
-            F.size(done) == 0, F.array(s)
-        ).otherwise(F.concat(done, F.array(F.struct(
-            F.greatest(s["start"], F.element_at(done, -1)["end"]).alias("start"),
-            F.greatest(s["end"], F.element_at(done, -1)["end"]).alias("end"),
-        )))),
-    )
+def merged_spans(spans: Column) -> Column:
+    """The runs of the words in any of some non-empty spans, in order."""
+    hit = F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["end"] - 1))))
+    after = F.transform(hit, lambda word: word + 1)
+    ranges = F.arrays_zip(F.array_sort(F.array_except(hit, after)), F.array_sort(F.array_except(after, hit)))
+    return ranges.cast("array<struct<start: int, end: int>>")
 
 
 def without_benchmark(documents: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:

@@ -49,6 +49,31 @@ def test_cut_texts(spark, dirty):
     assert rows[0].row == "x" and rows[0].spans == 1
 
 
+def test_cut_texts_in_blocks(spark, dirty, monkeypatch):
+    random.seed(5)
+    signs = "abcdefghijkl"
+    items = [(i, " ".join(random.choices(signs, k=random.randint(2, 4)))) for i in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    texts = [" ".join(random.choices(signs, k=random.randint(1, 80))) for _ in range(120)]
+
+    def cut(text):
+        words, hit = text.split(" "), set()
+        for _, phrase in items:
+            size = len(phrase.split(" "))
+            for at in range(len(words) - size + 1):
+                if " ".join(words[at : at + size]) == phrase:
+                    hit.update(range(at, at + size))
+        # A run goes from its first to its last byte: the spaces around it stay.
+        return " ".join("" if i in hit else w for i, w in enumerate(words) if not (i in hit and i - 1 in hit))
+
+    want = [cut(text) for text in texts]
+    assert sum(a != b for a, b in zip(texts, want, strict=True)) > 50
+    for limit in (decontaminate.BLOCK_BYTES, 30):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
+        rows = decontaminate.without_benchmark(dirty(texts), benchmark).orderBy("doc_id").collect()
+        assert [r.text for r in rows] == want
+
+
 def test_index_counts_and_places():
     random.seed(1)
     symbols = np.array([0] + [random.choice([0, 1, 2, 3]) for _ in range(3000)] + [1, 2] * 200 + [0])
