@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import html
@@ -29,13 +28,27 @@ PATTERNS = {
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 MASK = "[secret]"
+# No match is shorter, nor what a match was encoded to.
+SHORTEST = 12
 # Bytes one text's layers may decode to, in all; a text that needs more is marked incomplete.
 DECODED_BYTES = 64 << 20
+UNPACKED_AT_ONCE = 1 << 14
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _CODE = re.compile(r"\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}+={0,2}")
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+_STANDARD = str.maketrans("-_", "+/")
+_MAGIC = re.compile(rb"(\x1f\x8b\x08)|(\x78[\x01\x5e\x9c\xda])|(BZh[1-9](?:1AY&SY|\x17rE8P\x90))|(\xfd7zXZ\x00)", re.S)
+_UNPACKERS = (
+    ("gzip", lambda: zlib.decompressobj(31)), ("zlib", zlib.decompressobj),
+    ("bzip2", bz2.BZ2Decompressor), ("xz", lzma.LZMADecompressor),
+)
+# Text in bytes decoded with surrogates for what is not UTF-8: no odd control characters.
+_STRETCH = re.compile(r"[^\x00-\x08\x0E-\x1F\x7F\uD800-\uDFFF]{%d,}" % SHORTEST)
 
 
 @dataclass(frozen=True)
@@ -73,22 +86,22 @@ def scan(text: str, budget: int | None = None) -> tuple[list, list, bool]:
     same place before is not entered again, so the list ends at a fixpoint even
     where decoding runs in a circle.
     """
-    budget = DECODED_BYTES if budget is None else budget
+    left = [DECODED_BYTES if budget is None else budget]
     base = matches(text)
     found = {span: () for span in base}
     seen, complete = {(text, None)}, True
     work = deque([Layer(text, (), range(len(text)), range(1, len(text) + 1))])
     while work:
         layer = work.popleft()
-        for inner in _unwrapped(layer, budget):
+        for inner in _unwrapped(layer, left):
             if inner is None:
                 complete = False
                 continue
             place = (inner.starts[0], inner.ends[0]) if len(inner.starts) == 1 else None
             if (inner.text, place) in seen:
                 continue
-            budget -= len(inner.text)
-            if budget < 0:
+            left[0] -= len(inner.text)
+            if left[0] < 0:
                 complete = False
                 break
             seen.add((inner.text, place))
@@ -99,7 +112,7 @@ def scan(text: str, budget: int | None = None) -> tuple[list, list, bool]:
     return base, [(kind, start, end, path) for start, _, end, kind, path in spans], complete
 
 
-def _unwrapped(layer: Layer, budget: int):
+def _unwrapped(layer: Layer, left: list[int]):
     """Layers one step below; None stands for one that is too large."""
     text = layer.text
     if "%" in text:
@@ -107,18 +120,12 @@ def _unwrapped(layer: Layer, budget: int):
     if "\\" in text or "&#" in text:
         yield _replaced(layer, "unicode", _UNICODE, _from_unicode)
     for m in _BASE64.finditer(text):
-        for start, end, raw in _from_base64(m[0]):
-            path, plain = (*layer.path, "base64"), raw
-            try:
-                while (unpacked := _decompressed(plain, budget)) is not None:
-                    path, plain = (*path, unpacked[0]), unpacked[1]
-            except MemoryError:
-                yield None
-                continue
-            decoded = _as_text(plain)
-            if decoded:
-                first, last = layer.span(m.start() + start, m.start() + end)
-                yield Layer(decoded, path, [first], [last])
+        yield from _from_base64(layer, m[0], range(m.start(), m.end()), left)
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            places = [i for i in range(m.start(), m.end()) if text[i] not in " \t\r\n"]
+            if len(places) >= SHORTEST:
+                yield from _from_base64(layer, "".join(text[i] for i in places), places, left)
 
 
 def _replaced(layer: Layer, name: str, pattern: re.Pattern, decode) -> Layer:
@@ -186,46 +193,87 @@ def _from_unicode(match: str) -> list[tuple[str, int, int]] | None:
         return None
 
 
-def _from_base64(match: str):
-    """(start, end, bytes) of what decodes: the whole, else its longest leading multiple of four."""
-    body = match.rstrip("=")
-    size = len(body) if len(body) % 4 != 1 else len(body) - 1
-    body = body[:size].replace("-", "+").replace("_", "/")
-    try:
-        yield 0, min(len(match), size + (-size) % 4), base64.b64decode(body + "=" * (-size % 4), validate=True)
-    except binascii.Error:
-        return
-
-
-def _decompressed(raw: bytes, budget: int) -> tuple[str, bytes] | None:
-    """The name of the compression and the bytes; MemoryError beyond the budget."""
-    if raw[:2] == b"\x1f\x8b":
-        name, make = "gzip", lambda: zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        name, make = "zlib", zlib.decompressobj
-    elif raw[:3] == b"BZh":
-        name, make = "bzip2", bz2.BZ2Decompressor
-    elif raw[:6] == b"\xfd7zXZ\0":
-        name, make = "xz", lzma.LZMADecompressor
-    else:
-        return None
-    unpacker = make()
-    try:
-        plain = unpacker.decompress(raw, max(1, budget) + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(plain) > budget:
-        raise MemoryError
-    return (name, plain) if plain else None
+def _from_base64(layer: Layer, run: str, places: range | list[int], left: list[int]):
+    """Layers out of a run of base64 whose characters lie at ``places``; None for one that is too large.
+
+    The run is decoded from each of its first four characters, so that whatever
+    stands before the encoded part, some try is aligned with it.
+    """
+    body = run.rstrip("=").translate(_STANDARD)
+    wrapped = isinstance(places, list)
+    for skipped in range(4):
+        size = len(body) - skipped
+        size -= size % 4 == 1
+        if size < SHORTEST:
+            break
+        raw = binascii.a2b_base64(body[skipped : skipped + size] + "=" * (-size % 4))
+        for found in _texts(raw, left):
+            if found is None:
+                yield None
+                continue
+            low, high, path, text = found
+            low, high = skipped + low // 3 * 4, min(len(run), skipped + -(-high // 3) * 4)
+            # What lies in one line is found in that line's own run.
+            if wrapped and places[high - 1] - places[low] == high - 1 - low:
+                continue
+            first, last = layer.span(places[low], places[high - 1] + 1)
+            yield Layer(text, (*layer.path, "base64", *path), [first], [last])
 
 
-def _as_text(raw: bytes) -> str | None:
-    """Decoded bytes as text, if they are text without odd control characters."""
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if re.search(r"[\x00-\x08\x0E-\x1F\x7F]", text) else text
+def _texts(raw: bytes, left: list[int]):
+    """(start, end, path, text) of each stretch of text in the bytes, also in what they unpack to.
+
+    None stands for data that unpacks to more than is left.
+    """
+    work, seen = [(raw, None, ())], {raw}
+    while work:
+        data, outer, path = work.pop()
+        text, at, last = data.decode(errors="surrogateescape"), 0, 0
+        for m in _STRETCH.finditer(text):
+            low = at + len(text[last : m.start()].encode(errors="surrogateescape"))
+            at, last = low + len(m[0].encode()), m.end()
+            yield *(outer or (low, at)), path, m[0]
+        start = 0
+        while m := _MAGIC.search(data, start):
+            name, plain, end, whole = _unpacked(data, m, left[0])
+            start = max(end, m.start() + 1)
+            left[0] -= len(plain)
+            if not whole:
+                yield None
+            if plain and plain not in seen:
+                seen.add(plain)
+                work.append((plain, outer or (m.start(), end), (*path, name)))
+
+
+def _unpacked(data: bytes, magic: re.Match, limit: int) -> tuple[str, bytes, int, bool]:
+    """Name and content of the members that begin at ``magic``, their end, and whether the limit held.
+
+    Broken data gives what came before the break, and ends where it begins.
+    """
+    which = magic.lastindex
+    name, make = _UNPACKERS[which - 1]
+    parts, size, start, done = [], 0, magic.start(), magic.start()
+    while True:
+        unpacker = make()
+        try:
+            while start < len(data) and not unpacker.eof:
+                given = data[start : start + UNPACKED_AT_ONCE]
+                parts.append(unpacker.decompress(given, max(0, limit - size) + 1))
+                size += len(parts[-1])
+                start += len(given)
+                if size > limit:
+                    return name, b"".join(parts)[: max(0, limit)], len(data), False
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return name, b"".join(parts), done, True
+        if not unpacker.eof:
+            return name, b"".join(parts), len(data), True
+        done = start - len(unpacker.unused_data)
+        start = done
+        while data[start : start + 1] == b"\0":
+            start += 1
+        following = _MAGIC.match(data, start)
+        if following is None or following.lastindex != which:
+            return name, b"".join(parts), done, True
 
 
 def masked(text: str, spans: list[tuple[int, int]]) -> str:

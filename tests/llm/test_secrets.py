@@ -1,9 +1,12 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
+import zlib
 
 from creditmart.llm import secrets
 from creditmart.llm.queries import LLM_QUERIES
@@ -78,6 +81,40 @@ def test_circles_bombs_and_bad_layers_end():
     assert secrets.scan(f"{bomb} x")[2]
 
 
+PLAIN = "password=hunter2secret"
+
+
+def test_base64_beside_other_characters():
+    coded = base64.b64encode(PLAIN.encode()).decode()
+    for before in ("https://x.example/cb/", "key-", "/", "a_", "ab+", "a/b-c_"):
+        for after in ("", " x", "/rest", "-z"):
+            found = secrets.scan(f"{before}{coded.rstrip('=')}{after}")[1]
+            assert any(a < len(before) + 4 and b >= len(before + coded.rstrip("=")) and p == ("base64",) for _, a, b, p in found)
+    # Bytes that are not text, before and after.
+    mixed = base64.b64encode(b"\xff\x00\x01" + PLAIN.encode() + b"\x00\xfe").decode()
+    assert [(k, p) for k, _, _, p in secrets.scan(mixed)[1]] == [("assign", ("base64",))]
+
+
+def test_wrapped_base64():
+    long = "x, y; " * 8 + PLAIN + ", " * 20 + "token=abcdef777 " + "z, " * 30
+    for line_end in ("\n", "\r\n", "\n  "):
+        text = "head: " + base64.encodebytes(long.encode()).decode().replace("\n", line_end) + "."
+        assert {k for k, _, _, p in secrets.scan(text)[1] if p == ("base64",)} == {"assign"}
+        clean = secrets.masked(text, [(a, b) for _, a, b, _ in secrets.scan(text)[1]])
+        assert clean.startswith("head: [secret]")
+    noise = random.Random(4).randbytes(200).hex().upper()
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        text = base64.encodebytes(pack((noise + PLAIN).encode())).decode()
+        assert any(k == "assign" and p[0] == "base64" and len(p) == 2 for k, _, _, p in secrets.scan(text)[1])
+
+
+def test_compressed_members():
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        members = pack(b"first " + PLAIN[:8].encode()) + pack(PLAIN[8:].encode()) + b"\0\0\0\0"
+        found = secrets.scan("/" + base64.b64encode(members).decode())
+        assert found[2] and [k for k, _, _, p in found[1] if len(p) == 2] == ["assign"]
+
+
 def test_dirt_and_masks(spark, dirty):
     texts = [None, "", "é token = \"abcdef123\" end", "token=abc", "word " * 20_000 + "AKIA" + "A1" * 8]
     rows = secrets.digest(secrets.find_secrets(dirty(texts))).select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans").collect()
