@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import deque
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,10 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 MASK = "[secret]"
 # No match is shorter, nor what a match was encoded to.
 SHORTEST = 12
-# Bytes one text's layers may decode to, in all; a text that needs more is marked incomplete.
+# What one encoded stretch may decode to in all: so many bytes, or so many times its
+# length. Layers beyond that are left out, and the text is marked incomplete.
 DECODED_BYTES = 64 << 20
+EXPANSION = 16
 UNPACKED_AT_ONCE = 1 << 14
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -49,6 +52,15 @@ _UNPACKERS = (
 )
 # Text in bytes decoded with surrogates for what is not UTF-8: no odd control characters.
 _STRETCH = re.compile(r"[^\x00-\x08\x0E-\x1F\x7F\uD800-\uDFFF]{%d,}" % SHORTEST)
+# What neither a match nor a run of base64 can cross, whatever escapes beside it stand for:
+# other characters, blank lines, spaces away from the sign of an assignment, and line
+# ends without base64 on both sides.
+_BREAK = re.compile(
+    r"""[^A-Za-z0-9+/_.=:"'%\\&#;{}\s-]|\n[ \t]*+\r?\n"""
+    r"""|(?<![\s:=;}0-9A-Fa-f])[ \t]++(?![\s:=%\\&])"""
+    r"""|(?<![\sA-Za-z0-9+/_:=;}-])\s++(?![\s:=%\\&])|(?<![\s:=;}0-9A-Fa-f])\s++(?![\sA-Za-z0-9+/_:=%\\&-])""",
+    re.A,
+)
 
 
 @dataclass(frozen=True)
@@ -84,80 +96,104 @@ def scan(text: str, budget: int | None = None) -> tuple[list, list, bool]:
 
     The worklist holds layers still to be unwrapped. A text that came from the
     same place before is not entered again, so the list ends at a fixpoint even
-    where decoding runs in a circle.
+    where decoding runs in a circle. Each encoded stretch of the text has an
+    allowance of its own for all layers below it.
     """
-    left = [DECODED_BYTES if budget is None else budget]
+    budget = DECODED_BYTES if budget is None else budget
     base = matches(text)
     found = {span: () for span in base}
-    seen, complete = {(text, None)}, True
-    work = deque([Layer(text, (), range(len(text)), range(1, len(text) + 1))])
+    seen, complete = set(), True
+    work = deque([(Layer(text, (), range(len(text)), range(1, len(text) + 1)), None)])
     while work:
-        layer = work.popleft()
-        for inner in _unwrapped(layer, left):
+        layer, left = work.popleft()
+        for inner, left_below in _unwrapped(layer, left, budget):
             if inner is None:
                 complete = False
                 continue
-            place = (inner.starts[0], inner.ends[0]) if len(inner.starts) == 1 else None
-            if (inner.text, place) in seen:
+            place = (inner.text, inner.starts[0], inner.ends[-1])
+            if place in seen:
                 continue
-            left[0] -= len(inner.text)
-            if left[0] < 0:
+            if left_below[0] < len(inner.text):
                 complete = False
-                break
-            seen.add((inner.text, place))
+                continue
+            left_below[0] -= len(inner.text)
+            seen.add(place)
             for kind, start, end in matches(inner.text):
                 found.setdefault((kind, *inner.span(start, end)), inner.path)
-            work.append(inner)
+            work.append((inner, left_below))
     spans = sorted((start, KINDS.index(kind), end, kind, path) for (kind, start, end), path in found.items())
     return base, [(kind, start, end, path) for start, _, end, kind, path in spans], complete
 
 
-def _unwrapped(layer: Layer, left: list[int]):
-    """Layers one step below; None stands for one that is too large."""
+def _unwrapped(layer: Layer, left: list[int] | None, budget: int):
+    """Layers one step below, and what is left of their allowance; None stands for one that is too large."""
     text = layer.text
+
+    def allowance(size: int) -> list[int]:
+        return [max(budget, EXPANSION * size)] if left is None else left
+
+    kinds = []
     if "%" in text:
-        yield _replaced(layer, "url", _URL, _from_url)
+        kinds.append(("url", _URL, _from_url))
     if "\\" in text or "&#" in text:
-        yield _replaced(layer, "unicode", _UNICODE, _from_unicode)
+        kinds.append(("unicode", _UNICODE, _from_unicode))
+    for kind in kinds:
+        for inner in _replaced(layer, *kind):
+            yield inner, allowance(len(inner.text))
     for m in _BASE64.finditer(text):
-        yield from _from_base64(layer, m[0], range(m.start(), m.end()), left)
+        below = allowance(len(m[0]))
+        for inner in _from_base64(layer, m[0], range(m.start(), m.end()), below):
+            yield inner, below
     if "\n" in text:
         for m in _WRAPPED.finditer(text):
             places = [i for i in range(m.start(), m.end()) if text[i] not in " \t\r\n"]
             if len(places) >= SHORTEST:
-                yield from _from_base64(layer, "".join(text[i] for i in places), places, left)
-
-
-def _replaced(layer: Layer, name: str, pattern: re.Pattern, decode) -> Layer:
-    """The whole text with each match decoded in place; what cannot be decoded stays."""
-    parts, starts, ends, last = [], [], [], 0
-
-    def keep(low: int, high: int) -> None:
-        parts.append(layer.text[low:high])
-        if len(layer.starts) > 1:
-            starts.extend(layer.starts[low:high])
-            ends.extend(layer.ends[low:high])
-
-    for m in pattern.finditer(layer.text):
-        keep(last, m.start())
-        last = m.end()
-        decoded = decode(m[0])
-        if decoded is None:
-            keep(m.start(), m.end())
-            continue
-        for char, low, high in decoded:
-            parts.append(char)
+                below = allowance(len(places))
+                for inner in _from_base64(layer, "".join(text[i] for i in places), places, below):
+                    yield inner, below
+
+
+def _replaced(layer: Layer, name: str, pattern: re.Pattern, decode):
+    """Stretches of the text with each match decoded in place; what cannot be decoded stays.
+
+    A stretch goes from break to break and has something decoded in it.
+    """
+    text = layer.text
+    escapes = ((m, decoded) for m in pattern.finditer(text) if (decoded := decode(m[0])) is not None)
+    escape = next(escapes, None)
+    if escape is None:
+        return
+    low = 0
+    for high, after in chain((m.span() for m in _BREAK.finditer(text)), [(len(text), len(text))]):
+        parts, starts, ends, last = [], [], [], low
+
+        def keep(first: int, end: int, parts=parts, starts=starts, ends=ends) -> None:
+            parts.append(text[first:end])
             if len(layer.starts) > 1:
-                first, end = layer.span(m.start() + low, m.start() + high)
-                starts.append(first)
-                ends.append(end)
-    keep(last, len(layer.text))
-    if len(layer.starts) == 1:
-        starts, ends = layer.starts, layer.ends
-    elif len(starts) == 1:
-        # One character is no longer told apart from an opaque layer, and is the same.
-        starts, ends = starts[:1], ends[:1]
-    return Layer("".join(parts), (*layer.path, name), starts, ends)
+                starts.extend(layer.starts[first:end])
+                ends.extend(layer.ends[first:end])
+
+        while escape is not None and escape[0].start() < high:
+            m, decoded = escape
+            keep(last, m.start())
+            last = m.end()
+            for char, first, end in decoded:
+                parts.append(char)
+                if len(layer.starts) > 1:
+                    start, end = layer.span(m.start() + first, m.start() + end)
+                    starts.append(start)
+                    ends.append(end)
+            escape = next(escapes, None)
+        if parts:
+            keep(last, high)
+            decoded_text = "".join(parts)
+            if len(decoded_text) >= SHORTEST:
+                if len(layer.starts) == 1:
+                    starts, ends = layer.starts, layer.ends
+                yield Layer(decoded_text, (*layer.path, name), starts, ends)
+        if escape is None:
+            return
+        low = after
 
 
 def _from_url(match: str) -> list[tuple[str, int, int]] | None:
@@ -298,8 +334,9 @@ def find_secrets(documents: DataFrame, text: str = "text") -> DataFrame:
 
     Positions count code points of the original text, ends exclusive. ``path``
     names the layers a secret was found under, empty for the text itself. A null
-    text is empty and stays null when masked. A text whose layers decode to more
-    than ``DECODED_BYTES`` is not complete; its other layers are scanned all the same.
+    text is empty and stays null when masked. A text with an encoded stretch that
+    decodes to more than ``DECODED_BYTES`` and ``EXPANSION`` times its length is not
+    complete; what is within, and all other stretches, are scanned all the same.
     Texts are scanned one by one, whole, without any shuffle; repeated rows each.
     """
 

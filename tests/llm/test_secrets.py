@@ -115,6 +115,33 @@ def test_compressed_members():
         assert found[2] and [k for k, _, _, p in found[1] if len(p) == 2] == ["assign"]
 
 
+def test_long_texts_with_escapes_are_whole():
+    coded = base64.b64encode(PLAIN.encode()).decode()
+    quoted = urllib.parse.quote(PLAIN, safe="")
+    text = "one%41escape " + "lorem ipsum, " * 500 + f"{quoted}, {coded} &#65; \\x41 "
+    base_, found, complete = secrets.scan(text, budget=1000)
+    assert complete and not base_
+    assert {(text[a:b], p) for _, a, b, p in found} == {(quoted, ("url",)), (coded, ("base64",))}
+    # One stretch that grows too large costs only itself.
+    bomb = base64.b64encode(gzip.compress(b"x " * 500_000)).decode()
+    text = f"{bomb} {quoted} {bomb} {coded}"
+    found = secrets.scan(text, budget=10_000)
+    assert not found[2] and {text[a:b] for _, a, b, _ in found[1]} == {quoted, coded}
+
+
+def test_stretches_hold_all_that_the_whole_text_would(monkeypatch):
+    random.seed(11)
+    coded = base64.b64encode(PLAIN.encode()).decode()
+    signs = ["token", "secret", "=", ":", " ", " ", "  ", '"', "abcdef", "xyz", "%3D", "%20", "%41", "&#61;", "&#32;", "\\x3d",
+             "\\u0020", ",", "é", "\n", "\n\n", "\t", "%0A", "%2B", coded, coded[:13], coded[13:], "AKIAABCDEFGH", "0123456789ab"]
+    texts = ["".join(random.choices(signs, k=random.randint(1, 30))) for _ in range(3000)]
+    divided = [secrets.scan(text) for text in texts]
+    monkeypatch.setattr(secrets, "_BREAK", re.compile("(?!)"))
+    spans = lambda found: {x[:3] for x in found[1]}
+    for text, found in zip(texts, divided, strict=True):
+        assert spans(found) == spans(secrets.scan(text)), text
+
+
 def test_dirt_and_masks(spark, dirty):
     texts = [None, "", "é token = \"abcdef123\" end", "token=abc", "word " * 20_000 + "AKIA" + "A1" * 8]
     rows = secrets.digest(secrets.find_secrets(dirty(texts))).select("row.doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans").collect()
