@@ -88,22 +88,20 @@ def _repeated_words(words: Words) -> np.ndarray:
 
 
 def _buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of lower-case words and of three consecutive bytes, and the texts' bounds in each."""
+    """Buckets of lower-case words and of three consecutive bytes of one text, and the texts' bounds in each."""
     lower = words.divided(NOT_SPACE, lower=True)
     word = (lower.hashes >> np.uint64(64 - BITS)).astype(np.int32)
     data = words.data.astype(np.uint32)
-    if len(data) < 3:
-        data = np.r_[data, np.zeros(3 - len(data), np.uint32)]
-    # A window that runs into the next text belongs to the text it starts in.
-    key = data[:-2] | (data[1:-1] << 8) | (data[2:] << 16)
+    fits = inside_texts(words.offsets, 3)
+    key = (data[:-2] | (data[1:-1] << 8) | (data[2:] << 16))[fits] if len(data) > 2 else data[:0]
     chars = ((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int32) + BUCKETS
-    return word, lower.bounds, chars, np.clip(words.offsets, 0, len(chars))
+    return word, lower.bounds, chars, _before(fits)[np.clip(words.offsets, 0, len(fits))]
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(values) + 1)
-    np.cumsum(values, out=total[1:])
-    return np.diff(total[bounds])
+    """Sums per text, each added up by itself, so that no other text shows in its rounding."""
+    count = len(bounds) - 1
+    return np.bincount(np.repeat(np.arange(count), np.diff(bounds)), values, count)
 
 
 def raw_scores(words: Words, model: Model) -> np.ndarray:

@@ -1,7 +1,12 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 from brute import base_quality
 
 from creditmart.llm import quality
 from creditmart.llm.queries import LLM_QUERIES
+from creditmart.llm.rows import NOT_SPACE, Words
 
 SF = "sf0.1"
 
@@ -36,3 +41,16 @@ def test_dirt(spark, dirty):
     assert all(r.score is None and r.kept == (not r.base_failed) for r in found)
     empty = dirty([])
     assert quality.judge(empty, quality.train(empty, labels)).count() == 0
+
+
+def test_neighbours_do_not_count():
+    random.seed(2)
+    texts = ["", "a", "ab", None, "abc"] + ["".join(random.choices("abcé  \n", k=random.randint(1, 60))) for _ in range(200)] + ["x", ""]
+    weights = np.random.default_rng(1).normal(size=2 * quality.BUCKETS).astype(np.float32)
+    model = quality.Model(weights, 0.1, 1.0, 0.0)
+    together = quality.raw_scores(Words(pa.array(texts), NOT_SPACE), model)
+    alone = [quality.raw_scores(Words(pa.array([t], pa.string()), NOT_SPACE), model)[0] for t in texts]
+    assert together.tolist() == alone
+    at, share = (x.to_pylist() for x in quality._features()(pa.array(texts)))
+    for i, text in enumerate(texts):
+        assert [x.to_pylist()[0] for x in quality._features()(pa.array([text], pa.string()))] == [at[i], share[i]]
