@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart.llm import (
+    alignment,
+    compression,
     decontaminate,
+    divergence,
     languages,
     licenses,
     mixing,
@@ -117,6 +120,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *found.columns[1:])
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers share the bytes of each document."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.alignment(documents, *paths, keep=["doc_id"])
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are from each other, and the terms that stand out."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document by how it compresses, learned from three quarters of the labels."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    known = table(spark, sf_dir, "labels").where(~held_out & F.col("doc_id").isNotNull())
+    model = compression.train(documents, known)
+    found = compression.judge(documents.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "score", "predicted")
+
+
 LLM_QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_substring_dedup": op2_substring_dedup,
@@ -128,6 +154,9 @@ LLM_QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_quality_score": op13_quality_score,
 }
 
 
@@ -210,4 +239,5 @@ LLM_ORACLES: dict[str, str] = {
     "op4_url_filter": _url_sql(),
     "op7_source_mix": _mix_sql(),
     "op10_benchmark_decontamination": sql.leaks(decontaminate.WINDOW),
+    "op12_source_divergence": sql.divergences(divergence.LEAST_DOCUMENTS, divergence.TOP_TERMS),
 }

@@ -31,15 +31,19 @@ def extend(
     make: Callable[[], Callable[[Texts], list]],
     fields: str,
     limit: int = PIECE_BYTES,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add columns computed from ``row.<text>``.
 
     ``rows`` comes from :func:`packed`; further columns beside ``row`` are dropped. ``make`` is
     called once per task and gives a function from texts (nulls kept) to one
-    array per added column; it sees about ``limit`` bytes of text at once.
+    array per added column; it sees about ``limit`` bytes of text at once. With
+    ``keep``, ``row`` comes back with these columns only, so that texts go one way.
     """
-    names = rows.schema["row"].dataType.names
+    whole_row = rows.schema["row"].dataType
+    names = whole_row.names
     at = names.index(text)
+    kept = list(range(len(names))) if keep is None else [names.index(name) for name in keep]
     added = StructType.fromDDL(fields)
     out_names = ["row", *added.names]
 
@@ -48,11 +52,14 @@ def extend(
         for batch in batches:
             whole = batch.column(0)
             texts = whole.field(at)
+            if keep is not None:
+                whole = pa.StructArray.from_arrays([whole.field(i) for i in kept], [names[i] for i in kept])
             for low, high in pieces(texts, limit):
                 columns = apply(texts.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([whole.slice(low, high - low), *columns], out_names)
 
-    schema = StructType([StructField("row", rows.schema["row"].dataType, True), *added.fields])
+    row = StructType([whole_row.fields[i] for i in kept])
+    schema = StructType([StructField("row", row, True), *added.fields])
     return rows.select("row").mapInArrow(run, schema)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -62,3 +63,50 @@ WITH texts AS ({split('doc_id', 'documents')}
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM texts LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+def divergences(least: int = 10, top: int = 10) -> str:
+    """Source divergence: every kept term of every two sources of a language, all in whole numbers."""
+    lower = f"translate(unnest(regexp_extract_all(text, '{LETTERS}')), '{UPPER}', '{UPPER.lower()}')"
+    share = "1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v)"
+    apart = "((p - q) * (p - q)) // (p + q)"
+    return f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS place, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+    FROM documents
+), spread AS (
+    SELECT place, lang, source, {lower} AS term FROM texts
+), kept AS (
+    SELECT lang, term, count(*) AS n_lang FROM spread GROUP BY lang, term HAVING count(DISTINCT place) >= {least}
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n_lang) AS total FROM kept GROUP BY lang
+), counted AS (
+    SELECT lang, source, term, count(*) AS n, any_value(n_lang) AS n_lang
+    FROM spread JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+    SELECT lang, source, coalesce(total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM texts)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counted GROUP BY lang, source) USING (lang, source)
+), dense AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, {share.format(n="coalesce(c.n, 0)", total="g.total")} AS p
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), shares AS (
+    SELECT c.lang, c.source, c.term AS item, {share.format(n="c.n", total="g.total")} AS p, {share.format(n="c.n_lang", total="l.total")} AS q
+    FROM counted c JOIN groups g USING (lang, source) JOIN langs l USING (lang)
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+    FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, ({apart})::BIGINT AS value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY {apart} DESC, item) AS rank
+    FROM shares WHERE p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= {top}"""
