@@ -25,6 +25,8 @@ from creditmart.llm.rows import extend, list_array, offsets_of, packed
 from creditmart.llm.tokens import check_vocabulary, processor
 from creditmart.session import scratch_path
 
+# Stretches a worker remembers, and their bytes, before it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 1 << 18, 1 << 24
 # Pairs a task counts before it passes them on.
 COUNTED = 1 << 18
 # Pairs whose counts are broadcast, the most frequent ones: 16 bytes each, whatever the corpus.
@@ -54,7 +56,34 @@ class Tokenizer:
         return list_array(pa.array(ids), sizes)
 
 
-_LOADED: dict[tuple[str, str], tuple[Tokenizer, Tokenizer]] = {}
+class Encoder:
+    """Both tokenizers, and the tokens of stretches met before."""
+
+    def __init__(self, *sides: Tokenizer):
+        self.sides = sides
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.bytes = 0
+        self.lists = [pa.array([], pa.list_(pa.int32())) for _ in self.sides]
+
+    def places_of(self, stretches: pa.StringArray) -> pa.Array:
+        """Where in ``lists`` the tokens of different stretches are; valid until the next call."""
+        if len(self.places) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
+            self._forget()
+        found = stretches.to_pylist()
+        new = [x for x in found if x not in self.places]
+        if new:
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+            self.bytes += sum(map(len, new))
+            self.lists = [
+                pa.concat_arrays([old, side.lists(new)]) for old, side in zip(self.lists, self.sides, strict=True)
+            ]
+        return pa.array([self.places[x] for x in found], pa.int32())
+
+
+_LOADED: dict[tuple[str, str], Encoder] = {}
 
 
 def _byte_signs() -> dict[str, int]:
@@ -97,10 +126,10 @@ def _pieces(path: str) -> Tokenizer:
     return Tokenizer(lambda x: tokenizer.encode([s[1:] for s in x], num_threads=1), pa.array(spelled, pa.binary()))
 
 
-def load(a_path: str, b_path: str) -> tuple[Tokenizer, Tokenizer]:
+def load(a_path: str, b_path: str) -> Encoder:
     """Both tokenizers, once per worker: a byte-level one, and one of pieces that adds the space itself."""
     if (a_path, b_path) not in _LOADED:
-        _LOADED[a_path, b_path] = _byte_level(a_path), _pieces(b_path)
+        _LOADED[a_path, b_path] = Encoder(_byte_level(a_path), _pieces(b_path))
     return _LOADED[a_path, b_path]
 
 
@@ -119,16 +148,18 @@ def stretches(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     at = np.flatnonzero(data == 0x20)
     at = at[(at > 1) & (at < len(data) - 1)]
     before = _SIGN[data[at - 1]] | ((data[at - 1] & 0xC0 == 0x80) & _TWO_BYTES[data[at - 2]])
-    edges = np.union1d(at[before & _BEGINS[data[at + 1]]], offsets)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at[before & _BEGINS[data[at + 1]]]] = True
+    edge[offsets] = True
+    edges = np.flatnonzero(edge)
     found = pa.StringArray.from_buffers(
         len(edges) - 1, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))
     )
     return found, np.searchsorted(offsets, edges[:-1], "right") - 1
 
 
-def _tokens(tokenizer: Tokenizer, different: list[str], which: pa.Array, inside: pa.Array, texts: pa.StringArray):
+def _tokens(tokenizer: Tokenizer, lists: pa.ListArray, inside: pa.Array, texts: pa.StringArray):
     """Ids, texts and ends of all tokens in order, ends counted from the start of each text; and which texts are spelled by them."""
-    lists = tokenizer.lists(different).take(which)
     ids = pc.list_flatten(lists)
     text = inside.take(pc.list_parent_indices(lists))
     sizes = pc.binary_length(tokenizer.spelled).cast(pa.int64()).take(ids)
@@ -147,10 +178,11 @@ def _tokens(tokenizer: Tokenizer, different: list[str], which: pa.Array, inside:
     return ids, text, pa.array(ends), np.array(same, bool)
 
 
-def _numbered(key: pa.Array, shared: pa.Array) -> pa.Array:
+def _numbered(key: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """The number of each token's group: how many shared ends lie before the token's own."""
-    ends = pc.is_in(key, shared).cast(pa.int64())
-    return pc.subtract(pc.cumulative_sum(ends), ends)
+    ends = np.zeros(len(key), np.int64)
+    ends[np.searchsorted(key, shared)] = 1
+    return np.cumsum(ends) - ends
 
 
 def _per_text(values: np.ndarray, count: int) -> np.ndarray:
@@ -161,14 +193,17 @@ def _joined_text(ids: pa.Array, group: np.ndarray, groups: int) -> pa.Array:
     return pc.binary_join(list_array(ids.cast(pa.string()), _per_text(group, groups)), ",")
 
 
-def align_texts(texts: pa.StringArray, a: Tokenizer, b: Tokenizer) -> list[pa.Array]:
+def align_texts(texts: pa.StringArray, encoder: Encoder) -> list[pa.Array]:
     """Per text: tokens of both, groups, links, the groups as text, and each linked pair with how often."""
     count = len(texts)
     texts = spaced(texts)
     found, inside = stretches(texts)
     coded = found.dictionary_encode()
-    different, which, inside = coded.dictionary.to_pylist(), coded.indices, pa.array(inside)
-    sides = [_tokens(x, different, which, inside, texts) for x in (a, b)]
+    which, inside = encoder.places_of(coded.dictionary).take(coded.indices), pa.array(inside)
+    sides = [
+        _tokens(side, lists.take(which), inside, texts)
+        for side, lists in zip(encoder.sides, encoder.lists, strict=True)
+    ]
     good = pa.array(sides[0][3] & sides[1][3])
 
     def table(ids, text, ends) -> pa.Table:
@@ -184,9 +219,9 @@ def align_texts(texts: pa.StringArray, a: Tokenizer, b: Tokenizer) -> list[pa.Ar
 
     numbered, written = [], []
     for side in (left, right):
-        key, ids = side["key"].combine_chunks(), side["id"].combine_chunks()
-        group = _numbered(key, pa.array(shared))
-        written.append(_joined_text(ids, group.to_numpy(), len(shared)))
+        ids = side["id"].combine_chunks()
+        group = _numbered(side["key"].to_numpy(), shared)
+        written.append(_joined_text(ids, group, len(shared)))
         counted = pa.table({"group": group, "id": ids.cast(pa.int64())})
         numbered.append(counted.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")]))
     groups = pc.binary_join(list_array(pc.binary_join_element_wise(*written, "|"), n_groups), ";")
@@ -224,8 +259,8 @@ def align(
     load(a_path, b_path)
 
     def make():
-        a, b = load(a_path, b_path)
-        return lambda texts: align_texts(texts, a, b)
+        encoder = load(a_path, b_path)
+        return lambda texts: align_texts(texts, encoder)
 
     fields = (
         "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "
