@@ -27,6 +27,8 @@ UNIT = 1_000_000_000
 # About so many sources and terms to a block.
 SOURCE_BLOCK = 64
 TERM_BLOCK = 4096
+# Parts that the rows of one source are divided into where they meet its totals.
+SALTS = 32
 # Distinct counts a task gathers before it passes them on.
 COUNTED = 1 << 18
 
@@ -109,10 +111,6 @@ def share(n, total, terms):
     return F.lit(1) + F.call_function("div", over * F.lit(UNIT).cast("decimal(10,0)"), under)
 
 
-def _blocks(name: str, blocks: str):
-    return F.pmod(F.xxhash64(name), F.col(blocks)).cast("int")
-
-
 def _shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """``share`` of counts over totals below 2**53, by long division in steps of a thousand."""
     left, whole = counts + 2, np.zeros(np.broadcast_shapes(counts.shape, totals.shape), np.int64)
@@ -154,30 +152,52 @@ def _cell(cell: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array(lang, pa.string()), "one": pa.array(one, pa.string()), "other": pa.array(other, pa.string()), "value": value})
 
 
-def divergences(kept: DataFrame, sources: DataFrame, langs: DataFrame) -> DataFrame:
-    """``value`` of every two sources ``one`` < ``other`` (by block, then name) of a language.
+def _sources(documents: DataFrame, kept: DataFrame) -> DataFrame:
+    """Per ``lang`` and ``source``: occurrences ``total`` of kept terms; and of the language: ``total_lang``, kept ``terms``, blocks."""
+    groups = documents.select(*[F.coalesce(F.col(name), F.lit("")).alias(name) for name in ("lang", "source")]).distinct()
+    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("first").alias("firsts"))
+    whole = Window.partitionBy("lang")
 
-    ``kept`` comes from :func:`kept_counts`; ``sources`` has the occurrences ``n`` of every
-    (``lang``, ``source``), ``langs`` the number of kept ``terms`` and of blocks per language.
-    """
-    blocked = langs.select("lang", "terms", "source_blocks", "term_blocks")
-    rows = kept.join(blocked, "lang").select(
-        "lang", "source", "term", "n", "source_blocks", _blocks("source", "source_blocks").alias("block"),
-        _blocks("term", "term_blocks").alias("depth"), "first",
+    def blocks(number, size):
+        return F.greatest(F.lit(1), F.ceil(number / size)).cast("int")
+
+    return (
+        groups.join(totals, ["lang", "source"], "left").fillna(0, ["total", "firsts"])
+        .withColumns({"total_lang": F.sum("total").over(whole), "terms": F.sum("firsts").over(whole)})
+        .withColumns({
+            "source_blocks": blocks(F.count("*").over(whole), SOURCE_BLOCK),
+            "term_blocks": blocks(F.col("terms"), TERM_BLOCK),
+        })
+        .withColumn("block", F.pmod(F.xxhash64("source"), "source_blocks").cast("int")).drop("firsts")
     )
+
+
+def _with_sources(kept: DataFrame, sources: DataFrame) -> DataFrame:
+    """Counts with what is known of their sources; the rows of a hot source are divided by their terms."""
+    salted = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int")
+    return kept.withColumn("salt", salt).join(salted, ["lang", "source", "salt"])
+
+
+def divergences(counts: DataFrame, sources: DataFrame) -> DataFrame:
+    """``value`` of every two sources ``one`` and ``other`` of a language.
+
+    ``counts`` are kept counts with their sources. The total of a source stands
+    in ``n`` of a row without a term.
+    """
+    depth = F.pmod(F.xxhash64("term"), "term_blocks").cast("int").alias("depth")
+    rows = counts.select("lang", "source", "term", "n", "source_blocks", "block", depth, "first")
     here = rows.where("first").groupBy("lang", "depth").agg(F.count("*").alias("here"))
-    depths = F.explode(F.sequence(F.lit(0), F.col("term_blocks") - 1)).alias("depth")
-    # The total of a source stands in its count.
     names = (
-        sources.join(blocked, "lang").select(
+        sources.select(
             "lang", "source", F.lit(None).cast("string").alias("term"),
-            (F.col("n") + 2 * F.col("terms")).alias("n"), "source_blocks",
-            _blocks("source", "source_blocks").alias("block"), depths,
+            (F.col("total") + 2 * F.col("terms")).alias("n"), "source_blocks", "block",
+            F.explode(F.sequence(F.lit(0), F.col("term_blocks") - 1)).alias("depth"),
         )
         .join(here, ["lang", "depth"], "left").withColumn("here", F.coalesce("here", F.lit(0)))
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("source_blocks") - 1)).alias("opposite")
-    both = rows.drop("first").withColumn("here", F.lit(None).cast("bigint")).unionByName(names).select("*", other)
+    opposite = F.explode(F.sequence(F.lit(0), F.col("source_blocks") - 1)).alias("opposite")
+    both = rows.drop("first").withColumn("here", F.lit(None).cast("bigint")).unionByName(names).select("*", opposite)
     cells = both.select(
         "lang", F.least("block", "opposite").alias("left"), F.greatest("block", "opposite").alias("right"), "depth",
         "block", "source", "term", "n", "here",
@@ -186,13 +206,11 @@ def divergences(kept: DataFrame, sources: DataFrame, langs: DataFrame) -> DataFr
     return parts.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
 
 
-def standing_out(kept: DataFrame, sources: DataFrame, langs: DataFrame, top: int = TOP_TERMS) -> DataFrame:
+def standing_out(counts: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     """The ``top`` terms of each source that it has more of than its language."""
-    totals = sources.withColumnRenamed("n", "total")
     p, q = share("n", "total", "terms"), share("n_lang", "total_lang", "terms")
     terms = (
-        kept.join(totals, ["lang", "source"]).join(langs, "lang")
-        .select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q")
+        counts.select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q")
         .select("lang", "source", "item", F.expr("(p - q) * (p - q) div (p + q)").alias("value"))
     )
     return _ranked(terms, "term").where(F.col("rank") <= top)
@@ -219,23 +237,12 @@ def audit(documents: DataFrame) -> DataFrame:
     path = scratch_path(spark, "kept-terms")
     kept_counts(term_counts(documents)).write.parquet(path)
     kept = spark.read.parquet(path)
-    groups = documents.select(*[F.coalesce(F.col(name), F.lit("")).alias(name) for name in ("lang", "source")]).distinct()
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     sources_path = scratch_path(spark, "sources")
-    groups.join(totals, ["lang", "source"], "left").fillna(0, ["n"]).write.parquet(sources_path)
+    _sources(documents, kept).write.parquet(sources_path)
     sources = spark.read.parquet(sources_path)
-    terms = kept.groupBy("lang").agg(F.count_if("first").alias("terms"), F.sum("n").alias("total_lang"))
-
-    def blocks(name, size):
-        return F.greatest(F.lit(1), F.ceil(F.col(name) / size)).cast("int")
-
-    langs = (
-        sources.groupBy("lang").agg(F.count("*").alias("n_sources")).join(terms, "lang", "left")
-        .fillna(0, ["terms", "total_lang"])
-        .withColumns({"source_blocks": blocks("n_sources", SOURCE_BLOCK), "term_blocks": blocks("terms", TERM_BLOCK)})
-    )
-    apart = divergences(kept, sources, langs)
+    counts = _with_sources(kept, sources)
+    apart = divergences(counts, sources)
     ways = F.explode(F.array(F.struct(F.col("one").alias("source"), F.col("other").alias("item")),
                              F.struct(F.col("other").alias("source"), F.col("one").alias("item")))).alias("way")
     pairs = apart.select("lang", ways, "value").select("lang", "way.source", "way.item", "value")
-    return _ranked(pairs, "pair").union(standing_out(kept, sources, langs))
+    return _ranked(pairs, "pair").union(standing_out(counts))
