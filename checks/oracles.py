@@ -305,9 +305,14 @@ _EARLY = "snapshot_date <= DATE '2024-02-01'"
 PIECES["grown_clicks"] = f"SELECT DISTINCT * REPLACE (CASE WHEN {_EARLY} THEN NULL ELSE fe_20 END AS fe_20) FROM delivered_clicks WHERE {_IN_SPINE}"
 PIECES["grown_history"] = history_sql(FOUR_MONTHS, "grown_clicks")
 PIECES["grown_gold"] = financials_gold_sql("grown_silver", SEEN_TYPES)
-PIECES["grown_financials"] = f"SELECT * REPLACE (CASE WHEN {_EARLY} THEN NULL ELSE Loan_Payday_Loan END AS Loan_Payday_Loan) FROM grown_gold WHERE {_IN_SPINE}"
+PIECES["grown_financials"] = f"SELECT * FROM grown_gold WHERE {_IN_SPINE}"
 PIECES["second_run"] = joined_sql("ingested_gold", "grown_financials", "grown_history")
 
+PIECES["one_run_history"] = history_sql(FOUR_MONTHS, f"(SELECT * FROM delivered_clicks WHERE {_IN_SPINE})")
+PIECES["one_run"] = joined_sql("ingested_gold", "grown_financials", "one_run_history")
+# Cutoffs at which all clicks before have arrived in time.
+PIECES["kept_history"] = history_sql([*ALL_MONTHS[:2], *ALL_MONTHS[4:]], "snapshot_clicks")
+
 PIECES["labelled"] = """
 SELECT l.* EXCLUDE (snapshot_date), l.snapshot_date AS label_snapshot_date,
        f.* EXCLUDE (Customer_ID, snapshot_date), f.snapshot_date AS feature_snapshot_date
@@ -603,6 +608,13 @@ ORACLES: dict[str, str] = {
     "backfill_second_run": query(
         "SELECT * FROM second_run", [*FIN_GOLD_DOUBLES, *[f"{c}_mean" for c in COUNTERS]], ["snapshot_date"]
     ),
+    "backfill_two_runs_equal_one": query(
+        """SELECT CAST(snapshot_date AS VARCHAR) AS snapshot_date, CAST(count(*) AS BIGINT) AS one_run,
+        CAST(count(*) AS BIGINT) AS two_runs, CAST(count(*) AS BIGINT) AS alike FROM one_run GROUP BY snapshot_date"""
+    ),
+    "click_history_incremental": query(
+        "SELECT * FROM kept_history", [f"{c}_mean" for c in COUNTERS], ["snapshot_date"]
+    ),
     "joined_audit": query(
         """SELECT count(*) AS feature_rows, count(*) - count(DISTINCT (Customer_ID, snapshot_date)) AS duplicate_customer_date_keys,
         count(*) FILTER (WHERE has_attributes = 0) AS missing_attributes, count(*) FILTER (WHERE has_financials = 0) AS missing_financials,

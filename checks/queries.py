@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.views import STORED_FILES, TABLES, view, view_sql
 from creditmart import config
+from creditmart.functions.columns import quoted
 from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import (
     assemble,
@@ -22,7 +23,7 @@ from creditmart.operators import (
     quality,
     split,
 )
-from creditmart.plans import backfill, gold_reports, prepare, raw_checks
+from creditmart.plans import backfill, click_history, gold_reports, prepare, raw_checks
 from creditmart.session import scratch_path
 from creditmart.sources import raw, spine, tables
 
@@ -188,7 +189,7 @@ def merged_columns(spark: SparkSession, sf: str) -> DataFrame:
     first = F.col("snapshot_date") == F.lit("2024-01-01").cast("date")
     tables.write_snapshots(table.filter(first).drop("occupation_missing"), path)
     tables.write_snapshots(table.filter(~first), path)
-    return tables.read_snapshots(spark, path, merge_columns=True).select(table.columns)
+    return tables.read_snapshots(spark, path).select(table.columns)
 
 
 def stored_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,7 +230,57 @@ def backfill_second_run(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_csv(view(spark, sf, "clicks_delivered").drop("fe_20"), early)
     backfill.backfill(spark, {**paths, "fe_click": early}, root, MONTHS[:2])
     layout = backfill.backfill(spark, paths, root, MONTHS[2:])
-    return tables.read_snapshots(spark, layout.gold("joined_features"), merge_columns=True)
+    return tables.read_snapshots(spark, layout.gold("joined_features"))
+
+
+def backfill_two_runs_equal_one(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature rows of one run, of two runs over the same files, and those alike in every column.
+
+    The second run knows a loan type the first one has not seen.
+    """
+    paths = delivered_files(spark, sf)
+    paths["fe_fin"] = csv_copy(spark, sf, "financials_grown")
+    counts = {}
+    for name, spans in {"one_run": [MONTHS], "two_runs": [MONTHS[:2], MONTHS[2:]]}.items():
+        root = scratch_path(spark, name)
+        for span in spans:
+            layout = backfill.backfill(spark, paths, root, span)
+        rows = tables.read_snapshots(spark, layout.gold("joined_features"))
+        whole = F.to_json(F.struct(*[quoted(c) for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
+        counts[name] = rows.groupBy("snapshot_date", whole.alias("row")).agg(F.count("*").alias(name))
+    both = counts["one_run"].join(counts["two_runs"], ["snapshot_date", "row"], "full").fillna(0)
+    return both.groupBy("snapshot_date").agg(
+        F.sum("one_run").alias("one_run"), F.sum("two_runs").alias("two_runs"),
+        F.sum(F.least("one_run", "two_runs")).alias("alike"),
+    )
+
+
+# Cutoffs that see no February, or all of it.
+KEPT_CUTOFFS = [*ALL_MONTHS[:2], *ALL_MONTHS[4:]]
+
+
+def click_history_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals kept from month to month; February comes late for some customers and is corrected for others."""
+    root, by_day = scratch_path(spark, "clicks"), F.col("snapshot_date")
+    silver, totals = f"{root}/silver", f"{root}/totals"
+    tables.write_table(clean.clicks(view(spark, sf, "clicks_delivered")), f"{root}/delivered")
+    delivered = spark.read.parquet(f"{root}/delivered").filter(by_day.isin(ALL_MONTHS))
+    january, february, march, *later = ALL_MONTHS
+
+    def deliver(rows: DataFrame, *months, cutoffs) -> None:
+        tables.write_snapshots(rows.filter(by_day.isin(list(months))), silver, dates=months)
+        if cutoffs:
+            click_history.update(spark, silver, totals, cutoffs)
+
+    number = F.col("Customer_ID").cast("bigint")
+    wrong = F.when(number % 5 == 2, F.col("fe_4") + 1000).otherwise(F.col("fe_4"))
+    deliver(delivered, january, cutoffs=[january, february])
+    deliver(delivered.filter(number % 4 != 1).withColumn("fe_4", wrong), february, cutoffs=[march])
+    deliver(delivered, march, cutoffs=[later[0]])
+    deliver(delivered, february, cutoffs=[])
+    deliver(delivered, later[0], cutoffs=[later[1]])
+    deliver(delivered, *later[1:], cutoffs=later[2:])
+    return click_history.read(spark, totals, KEPT_CUTOFFS)
 
 
 def spine_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,6 +442,8 @@ QUERIES: dict[str, Query] = {
     "backfill_features": backfill_features,
     "backfill_labels": backfill_labels,
     "backfill_second_run": backfill_second_run,
+    "backfill_two_runs_equal_one": backfill_two_runs_equal_one,
+    "click_history_incremental": click_history_incremental,
     "joined_audit": lambda s, d: quality.joined_audit(joined(s, d)),
     "labelled_features": labelled,
     # sets

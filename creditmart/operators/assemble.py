@@ -40,7 +40,7 @@ def all_key_counts(tables: Mapping[str, DataFrame], keys: Sequence[str] = KEYS)
 
 
 def assert_unique_keys(tables: Mapping[str, DataFrame], keys: Sequence[str] = KEYS) -> None:
-    """Refuse to join on null or repeated keys rather than multiply rows."""
+    """Raise for the first table in which a key is null or has two rows; one pass over each table's keys."""
     for row in all_key_counts(tables, keys).collect():
         if row.null_key_rows:
             raise ValueError(f"{row.table}: {row.null_key_rows} rows with null join keys in {list(keys)}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditmart import config
 from creditmart.functions.columns import entry_count, padded_list
+from creditmart.sources.tables import absent_as
 
 
 def attributes(clean: DataFrame) -> DataFrame:
@@ -28,7 +29,8 @@ def financials(clean: DataFrame, loan_types: Sequence[str] = config.LOAN_TYPES)
     """Ratios, disposable income, loan-type counts, behaviour parts and log amounts.
 
     ``loan_types`` fixes the output columns; pass a frozen list to keep them
-    stable, or ``loan_vocabulary`` of the cleaned table.
+    stable, or a vocabulary of the cleaned table. In stored snapshots older than a
+    loan type its count reads as zero where the list is known.
     """
     salary, income = F.col("Monthly_Inhand_Salary"), F.col("Annual_Income")
     instalments, invested = F.col("Total_EMI_per_month"), F.col("Amount_invested_monthly")
@@ -39,8 +41,9 @@ def financials(clean: DataFrame, loan_types: Sequence[str] = config.LOAN_TYPES)
         "Debt_to_Income": F.when(income > 0, F.try_divide(F.col("Outstanding_Debt"), income)),
         "Disposable_Income": salary - instalments - invested,
         **{
-            loan_column(name): F.when(
-                ~F.col("loan_types_missing"), entry_count(F.col("_listed"), name)
+            loan_column(name): absent_as(
+                F.when(~F.col("loan_types_missing"), entry_count(F.col("_listed"), name)),
+                loan_column(name), 0, unless="loan_types_missing",
             )
             for name in loan_types
         },

@@ -11,7 +11,8 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from creditmart.operators import assemble, clean, features, history, loans
+from creditmart.operators import assemble, clean, features, loans
+from creditmart.plans import click_history, vocabulary
 from creditmart.sources import raw, tables
 from creditmart.sources.spine import as_dates
 
@@ -63,9 +64,8 @@ def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date])
     }
 
     def write(dataset: str) -> None:
-        text = tables.read_snapshots(
-            spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION, merge_columns=True
-        ).drop(raw.SNAPSHOT_PARTITION)
+        text = tables.read_snapshots(spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION)
+        text = text.drop(raw.SNAPSHOT_PARTITION)
         tables.write_snapshots(rules[dataset](text), layout.silver(dataset), dates=spine)
 
     _together(spark, [partial(write, dataset) for dataset in DATASETS])
@@ -82,31 +82,39 @@ def run_gold(
     """Labels, the three feature tables, and their join, for the given snapshots.
 
     The join matches rows of one snapshot only, so the snapshots of earlier runs
-    stay as they are and a monthly run joins one month.
+    stay as they are and a monthly run joins one month. It also reads one month:
+    click totals and vocabulary are kept from run to run and take in what was written since.
 
     Without ``loan_types`` the vocabulary is learnt from all silver snapshots,
-    later ones included, so that every snapshot has the same columns.
+    later ones included, so that every snapshot has the same columns; in
+    snapshots older than a loan type its count reads as zero.
     """
     spine = as_dates(spine)
 
-    def silver(dataset: str, dates: Iterable[date] | None = spine) -> DataFrame:
-        return tables.read_snapshots(spark, layout.silver(dataset), dates, merge_columns=True)
+    def silver(dataset: str) -> DataFrame:
+        return tables.read_snapshots(spark, layout.silver(dataset), spine)
+
+    def write(name: str, table: Callable[[], DataFrame]) -> None:
+        tables.write_snapshots(table(), layout.gold(name), dates=spine)
+
+    def financials() -> DataFrame:
+        known = loan_types
+        if known is None:
+            known = vocabulary.learn(spark, layout.silver("fe_fin"), layout.gold("loan_types"))
+        return features.financials(silver("fe_fin"), known)
+
+    def clicks() -> DataFrame:
+        click_history.update(spark, layout.silver("fe_click"), layout.gold("click_totals"), spine)
+        return click_history.read(spark, layout.gold("click_totals"), spine)
 
-    if loan_types is None:
-        loan_types = features.vocabulary_list(features.loan_vocabulary(silver("fe_fin", None)))
-    outputs = {
-        "label_store": loans.default_label(silver("lms"), dpd, mob),
-        "fe_attr": features.attributes(silver("fe_attr")),
-        "fe_fin": features.financials(silver("fe_fin"), loan_types),
-        "fe_click": history.asof_history(silver("fe_click", None), spine),
-    }
     _together(spark, [
-        partial(tables.write_snapshots, table, layout.gold(name), dates=spine)
-        for name, table in outputs.items()
+        partial(write, "fe_click", clicks),
+        partial(write, "fe_fin", financials),
+        partial(write, "label_store", lambda: loans.default_label(silver("lms"), dpd, mob)),
+        partial(write, "fe_attr", lambda: features.attributes(silver("fe_attr"))),
     ])
     joined = assemble.features(*[
-        tables.read_snapshots(spark, layout.gold(name), spine, merge_columns=True)
-        for name in ("fe_attr", "fe_fin", "fe_click")
+        tables.read_snapshots(spark, layout.gold(name), spine) for name in ("fe_attr", "fe_fin", "fe_click")
     ])
     tables.write_snapshots(joined, layout.gold("joined_features"), dates=spine)
 
@@ -122,8 +130,9 @@ def backfill(
 ) -> Layout:
     """Run all layers for the given snapshots; other snapshots are left alone.
 
-    Columns that a later run adds, by a new source column or loan type, are null
-    in earlier snapshots: every layer is read by the columns of all its snapshots.
+    Every layer is read by the columns of all its snapshots. A source column that a
+    later run adds is null in earlier snapshots; a loan type counts as zero there where the
+    list of loans is known, as if one run had learnt all types.
     """
     layout, spine = Layout(root), as_dates(spine)
     run_bronze(spark, sources, layout, spine)

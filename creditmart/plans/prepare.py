@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditmart.operators import assemble, preprocess, split
-from creditmart.sources import tables
+from creditmart.sources import log, tables
 
 
 SETS = ("train", "test", "oot")
+# The column by which parameters are kept, and the note of the sets that names theirs.
+FIT = "fit"
 
 
 @dataclass(frozen=True)
@@ -55,32 +59,37 @@ def prepare_tables(
     """From the stored label and feature tables to stored sets and parameters.
 
     ``output_path`` receives ``labelled`` (the join, read by every later pass),
-    ``sets`` partitioned by ``split``, and ``preprocessor``. All three sets are
-    replaced, by an empty one where no rows fall into it. Snapshots without a
-    feature column of later ones have nulls there.
+    ``preprocessor``, and ``sets`` partitioned by ``split``. All three sets are
+    replaced at once, by an empty one where no rows fall into it, and with them the
+    parameters that count: a run that fails leaves the sets and parameters of
+    the run before.
     """
     joined = assemble.labelled_features(
-        tables.read_snapshots(spark, labels_path, merge_columns=True),
-        tables.read_snapshots(spark, features_path, merge_columns=True),
+        tables.read_snapshots(spark, labels_path), tables.read_snapshots(spark, features_path)
     )
     tables.write_table(joined, f"{output_path}/labelled")
     prepared = prepare(
         spark.read.parquet(f"{output_path}/labelled"), oot_fraction, test_size, seed
     )
-    tables.write_snapshots(prepared.encoded, f"{output_path}/sets", by="split", values=SETS)
-    tables.write_table(
-        preprocess.parameters_frame(spark, prepared.fields), f"{output_path}/preprocessor"
-    )
+    fit = uuid.uuid4().hex
+    parameters = preprocess.parameters_frame(spark, prepared.fields).withColumn(FIT, F.lit(fit))
+    tables.write_snapshots(parameters, f"{output_path}/preprocessor", by=FIT, values=[fit])
+    tables.write_snapshots(prepared.encoded, f"{output_path}/sets", by="split", values=SETS, note={FIT: fit})
     return prepared
 
 
 def load_set(spark: SparkSession, output_path: str, name: str) -> DataFrame:
     """One of ``train``, ``test`` and ``oot``; the other sets are not read."""
-    path = f"{output_path}/sets"
-    return spark.read.option("basePath", path).parquet(f"{path}/split={name}").drop("split")
+    return tables.read_snapshots(spark, f"{output_path}/sets", values=[name], by="split").drop("split")
+
+
+def load_fields(spark: SparkSession, output_path: str) -> list[preprocess.Field]:
+    """The parameters the stored sets were made with."""
+    fit = list(log.latest(spark, f"{output_path}/sets").notes.values())[-1][FIT]
+    stored = tables.read_snapshots(spark, f"{output_path}/preprocessor", values=[fit], by=FIT)
+    return preprocess.load_fields(stored.drop(FIT))
 
 
 def encode_new_loans(spark: SparkSession, output_path: str, rows: DataFrame) -> DataFrame:
     """Prepare loans outside the sets with the stored parameters."""
-    fields = preprocess.load_fields(spark.read.parquet(f"{output_path}/preprocessor"))
-    return preprocess.transform(rows, fields)
+    return preprocess.transform(rows, load_fields(spark, output_path))

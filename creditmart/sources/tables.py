@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from creditmart.functions.columns import quoted
+from creditmart.sources import log
 from creditmart.sources.spine import as_dates
 
+# Key of a column's metadata: what the column is in snapshots older than itself.
+ABSENT = "absent"
+
 # The writer would otherwise trim blanks, which the cleaning rules want to see.
 CSV_OPTIONS = {
     "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False
@@ -24,56 +29,103 @@ def write_snapshots(
     fmt: str = "parquet",
     dates: Iterable[str | date] = (),
     values: Iterable[str] = (),
+    note: dict | None = None,
 ) -> None:
-    """Replace the snapshots present in ``df``; every other snapshot stays.
+    """Replace the snapshots present in ``df``, all of them at once; every other snapshot stays.
 
+    The files are written below a folder of their own and become visible by one
+    entry of the table's log, so a run that fails leaves the table as it was.
     The rebalance hint lets adaptive execution cut each snapshot into files of
     the advisory size: no task holds a whole month, and no task leaves one small
     file per month. A snapshot listed in ``dates`` (or, for another column, in
     ``values``) that has no rows becomes an empty one, so that every date of a run
-    can be read and a second run leaves nothing of the first behind. Which have rows is observed
-    by the write itself. Empty ones follow it; a run that fails in between is to be
-    repeated.
+    can be read and a second run leaves nothing of the first behind. Columns are
+    matched by name; a column of another type than before is refused unless no older
+    snapshot stays. ``note`` is kept in the log with the run.
     """
-    options = CSV_OPTIONS if fmt == "csv" else {}
+    spark = df.sparkSession
     asked = {str(value) for value in [*as_dates(dates), *values]}
-    seen = Observation()
-    rows = df.observe(seen, F.collect_set(F.col(by).cast("string")).alias("seen")) if asked else df
+    run = log.new_run()
+
+    def columns(before: log.State | None, replaced: set[str]) -> StructType:
+        stays = before is not None and bool(set(before.folders) - replaced)
+        known = before.columns if stays else StructType()
+        if stays and fmt == "csv" and sorted(known.names) != sorted(df.columns):
+            raise ValueError(f"{path}: all snapshots written as CSV need the same columns")
+        return log.all_columns(known, df.schema, by)
+
+    rows = df
+    before = log.latest(spark, path)
+    if before is not None:
+        # What is known to clash is refused before anything is written.
+        ordered = columns(before, asked).names
+        rows = df.select(*[quoted(name) for name in ordered if name in df.columns])
     (
         rows.hint("rebalance", F.col(by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .options(**options).format(fmt).save(path)
+        .write.partitionBy(by).options(**(CSV_OPTIONS if fmt == "csv" else {}))
+        .format(fmt).save(f"{path}/{log.RUN_COLUMN}={run}")
     )
-    for value in sorted(asked - _present(df, by, seen)) if asked else ():
-        nothing = df.drop(by).limit(0)
-        nothing.write.mode("overwrite").options(**options).format(fmt).save(f"{path}/{by}={value}")
+    written = log.staged(spark, path, run)
+
+    def change(before: log.State | None) -> log.State:
+        folders = dict.fromkeys(asked) | written
+        kept = before.folders if before else {}
+        notes = dict(before.notes) if before else {}
+        if note is not None:
+            notes[run] = note
+        return log.State(0, by, fmt, columns(before, set(folders)), {**kept, **folders}, notes)
+
+    log.commit(spark, path, change)
 
 
-def _present(df: DataFrame, by: str, seen: Observation) -> set[str]:
-    """The snapshots a write has seen. A frame that turned out to be empty while it ran may
-    leave no observation; its snapshots are then counted, from the one column."""
-    try:
-        return set(seen.get["seen"])
-    except Py4JJavaError:
-        return {row[0] for row in df.select(F.col(by).cast("string")).distinct().collect()}
+def absent_as(column: Column, name: str, value: int, unless: str) -> Column:
+    """A column that older snapshots may lack: there it is ``value``, null where ``unless`` is not false."""
+    return column.alias(name, metadata={ABSENT: {"value": value, "unless": unless}})
+
+
+def _filled(table: DataFrame) -> DataFrame:
+    """Give columns what they are in snapshots older than themselves."""
+    filled = {}
+    for f in table.schema:
+        rule = f.metadata.get(ABSENT)
+        if rule and rule["unless"] in table.columns:
+            value = F.when(~F.col(rule["unless"]), F.coalesce(quoted(f.name), F.lit(rule["value"]).cast(f.dataType)))
+            filled[f.name] = value.otherwise(quoted(f.name)).alias(f.name, metadata=f.metadata)
+    return table.withColumns(filled) if filled else table
 
 
 def read_snapshots(
     spark: SparkSession,
     path: str,
     dates: Iterable[str | date] | None = None,
+    values: Iterable[str] | None = None,
     by: str = "snapshot_date",
-    merge_columns: bool = False,
 ) -> DataFrame:
-    """Scan a layer table; ``dates`` prunes partitions, default is all of them.
+    """Scan a layer table; only the folders of ``dates`` (or ``values``) are touched, default is all.
 
-    ``merge_columns`` matches columns by name where older snapshots lack some.
+    The columns are those of all snapshots, also of those not read; one that is
+    younger than a snapshot is null there, or what it was declared to be by
+    :func:`absent_as`. A table without a log is read as it lies.
     """
-    reader = spark.read.option("mergeSchema", True) if merge_columns else spark.read
-    table = reader.parquet(path)
-    return table if dates is None else table.filter(F.col(by).isin(as_dates(dates)))
+    asked = None if dates is None and values is None else {str(v) for v in [*as_dates(dates or ()), *(values or ())]}
+    state = log.latest(spark, path)
+    if state is None:
+        table = spark.read.parquet(path)
+        return table if asked is None else table.filter(F.col(by).cast("string").isin(sorted(asked)))
+    folders = [place for value, place in sorted(state.folders.items()) if place and (asked is None or value in asked)]
+    return read_folders(spark, path, state, folders)
+
+
+def read_folders(spark: SparkSession, path: str, state: log.State, folders: Sequence[str]) -> DataFrame:
+    """Folders of a table, also such as no longer count."""
+    if not folders:
+        return _filled(spark.createDataFrame([], state.columns))
+    table = (
+        spark.read.schema(StructType([*state.columns, StructField(log.RUN_COLUMN, StringType())]))
+        .option("basePath", path).options(**(CSV_OPTIONS if state.fmt == "csv" else {}))
+        .format(state.fmt).load([f"{path}/{folder}" for folder in folders])
+    )
+    return _filled(table.drop(log.RUN_COLUMN))
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -247,7 +247,7 @@ def test_csv_layer_keeps_text(spark):
     table = spark.createDataFrame([(" a ", "2023-01-01"), (None, "2023-01-01")], "v string, snapshot_date string")
     chosen = raw.select_snapshots(table, ["2023-01-01"])
     tables.write_snapshots(chosen, path, by=raw.SNAPSHOT_PARTITION, fmt="csv")
-    back = raw.read_text_columns(spark, path).select("v", "snapshot_date").collect()
+    back = tables.read_snapshots(spark, path).select("v", "snapshot_date").collect()
     assert {tuple(r) for r in back} == {(" a ", "2023-01-01"), (None, "2023-01-01")}
 
 

@@ -176,7 +176,7 @@ def test_stored_sets_and_parameters(spark, loans):
     tables.write_snapshots(labels, f"{path}/labels")
     tables.write_table(features, f"{path}/features")
     prepared = prepare.prepare_tables(spark, f"{path}/features", f"{path}/labels", path)
-    stored = preprocess.load_fields(spark.read.parquet(f"{path}/preprocessor"))
+    stored = prepare.load_fields(spark, path)
     assert stored == prepared.fields
     sizes = {name: prepare.load_set(spark, path, name).count() for name in ("train", "test", "oot")}
     assert sum(sizes.values()) == 600 and sizes["train"] == prepared.plan.sizes["train"]
