@@ -1,13 +1,13 @@
-"""Exact quantiles that hold at any group size.
+"""Quantiles that hold at any group size, exact unless an accuracy is given.
 
 Spark's own ``percentile`` keeps every distinct value of a group in one buffer.
 That is the fastest way for ordinary groups and is what they get here. A group
-above ``one_task_rows`` values is narrowed instead: each pass counts the values
-of the current range in buckets (combined before the shuffle), keeps the bucket
-that holds the wanted rank, and goes on inside it, until the few values left can
-be gathered. Buckets have equal widths within a factor of two, and equal
-ratios in wider ranges, so magnitudes cost no passes of their own. Ranks are
-exact counts throughout; no pass shuffles the values themselves.
+above ``one_task_rows`` values takes two passes, whatever its values are: the
+first builds a mergeable sketch per group and column, which tells between which values
+a rank must lie; the second counts the values below and, by value, those in between.
+The counts are exact, so a sketch that was wrong is noticed and costs a pass, not a
+result. Ranges that would still hold more than ``gather_rows`` values are
+sketched once more. No pass shuffles values outside the ranges.
 """
 
 from __future__ import annotations
@@ -21,11 +21,36 @@ from creditmart.functions.columns import quoted, usable
 from creditmart.session import ensure_checkpoint_dir
 
 ONE_TASK_ROWS = 1_000_000
-GATHER_ROWS = 10_000
+GATHER_ROWS = 5_000_000
 BROADCAST_GROUPS = 100_000
-BUCKETS = 512
-# Above minus the logarithm of the least double, and above that of the largest plus this.
-LOG_SHIFT, LOG_INFINITY = 746.0, 1500.0
+# Size of a sketch, about 200 kB; its ranks are within 0.0007 of the true ones in 99 of 100 cases.
+SKETCH = 8192
+# Steps of rank that a sketch is asked for, and twice the error in such steps.
+GRID, SLACK = 1024, 1.4
+# Values that lie close together in rank may need many sketches; then the last range is counted as it is.
+MOST_SKETCHES = 6
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    keys: Sequence[str] = (),
+    accuracy: int | None = None,
+    total: int | None = None,
+) -> DataFrame:
+    """:func:`exact_quantiles`, or with an ``accuracy`` values of the data near the ranks, in one pass.
+
+    Ranks are then off by a share of about one in ``accuracy``; nothing lies between two values.
+    """
+    if accuracy is None:
+        return exact_quantiles(df, columns, probabilities, keys, total=total)
+    types = dict(df.dtypes)
+    wanted = [float(p) for p in probabilities]
+    found = [
+        F.percentile_approx(usable(quoted(c), types[c]).cast("double"), wanted, accuracy).alias(c) for c in columns
+    ]
+    return df.groupBy(*[quoted(key) for key in keys]).agg(*found)
 
 
 def exact_quantiles(
@@ -58,7 +83,7 @@ def exact_quantiles(
             total = sum(values.agg(*counts).first())
         if total <= one_task_rows:
             return values.agg(*in_one_buffer)
-        return _narrowed(values, columns, probabilities, keys, gather_rows)
+        return _bracketed(values, columns, probabilities, keys, gather_rows)
 
     # At most rows / one_task_rows groups are large, whatever the number of groups.
     ensure_checkpoint_dir(df.sparkSession)
@@ -69,7 +94,7 @@ def exact_quantiles(
         return values.groupBy(*keys).agg(*in_one_buffer)
     large = _sized(large, large_count)
     ordinary = _matched(values, large, keys, "left_anti")
-    return ordinary.groupBy(*keys).agg(*in_one_buffer).unionByName(_narrowed(
+    return ordinary.groupBy(*keys).agg(*in_one_buffer).unionByName(_bracketed(
         _matched(values, large, keys, "left_semi"), columns, probabilities, keys, gather_rows
     ))
 
@@ -88,96 +113,119 @@ def _sized(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_GROUPS else small
 
 
-def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
-    """The ranges are rows (keys, column number, target number); see the module text."""
-    spark = values.sparkSession
-    target = [*keys, "_c", "_t"]
-    long = (
+def _scan(values: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One pass over the values: a row per value, with the number of its column."""
+    return (
         values.select(*keys, F.inline(F.array(*[
             F.struct(F.lit(i).alias("_c"), quoted(c).alias("_v")) for i, c in enumerate(columns)
         ])))
         .filter("_v is not null")
     )
 
+
+def _grid(value: Column | str) -> Column:
+    """Values at equal steps of rank, by a sketch of all of them."""
+    steps = F.expr(f"array({', '.join(f'{i / GRID!r}D' for i in range(GRID + 1))})")
+    return F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(value, SKETCH), steps)
+
+
+def _bracketed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
+    """The ranges are rows (keys, column number, target number); see the module text."""
+    spark = values.sparkSession
+    target = [*keys, "_c", "_t"]
+    fixed = ["_n", "_least", "_most", "_position", "_lower", "_upper"]
+
     def pin(state: DataFrame) -> DataFrame:
         """Cut the lineage between passes: the state has one row per target."""
         if keys:
             return state.checkpoint()
         return spark.createDataFrame(state.collect(), state.schema)
 
-    ranks = F.array(*[
-        F.struct(
-            F.lit(i).alias("_t"),
-            ((F.col("_n") - 1) * F.lit(float(p))).alias("_position"),
+    def narrower(state: DataFrame) -> DataFrame:
+        """Ranges of a few steps around the wanted ranks, and how many rows they should hold; zero for few rows anyway."""
+        def step(rank: Column) -> Column:
+            return (rank - F.col("_before")) / F.col("_inside") * GRID
+
+        low = F.floor(step(F.col("_lower")) - SLACK).cast("int")
+        high = F.ceil(step(F.col("_upper") + 1) + SLACK).cast("int")
+        few = F.col("_inside") < 4 * GRID
+        expected = F.least(F.col("_inside") * (high - low) / GRID, F.col("_different"))
+        return state.select(
+            *target, *fixed, F.when(few, 0).otherwise(expected.cast("long")).alias("_expected"),
+            F.when(few | (low <= 0), F.col("_lo")).otherwise(F.get("_grid", low)).alias("_lo"),
+            F.when(few | (high >= GRID), F.col("_hi")).otherwise(F.get("_grid", high)).alias("_hi"),
         )
+
+    ranks = F.array(*[
+        F.struct(F.lit(i).alias("_t"), ((F.col("_n") - 1) * F.lit(float(p))).alias("_position"))
         for i, p in enumerate(probabilities)
     ])
-    state = pin(
-        long.groupBy(*keys, "_c")
-        .agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .select(*keys, "_c", "_lo", "_hi", F.col("_n").alias("_inside"), F.inline(ranks))
+    state = pin(narrower(
+        _scan(values, columns, keys).groupBy(*keys, "_c")
+        .agg(F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), _grid("_v").alias("_grid"))
+        .select("*", F.inline(ranks))
         # Before: values below the range. Below and above: the two wanted neighbours.
         .withColumns({
-            "_before": F.lit(0).cast("long"),
-            "_lower": F.floor("_position"),
-            "_upper": F.ceil("_position"),
+            "_lo": F.col("_least"), "_hi": F.col("_most"), "_before": F.lit(0).cast("long"), "_inside": F.col("_n"),
+            "_lower": F.floor("_position"), "_upper": F.ceil("_position"), "_different": F.col("_n"),
         })
-        .withColumns(_settled_ends())
-    )
+    ))
     rows = state.count()
 
-    def inside(state: DataFrame) -> DataFrame:
-        """Values of the ranges that are still open."""
-        ranges = _sized(state.filter("_below is null"), rows)
-        in_range = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-        return _matched(long, ranges, [*keys, "_c"], "inner", in_range)
-
-    while largest := state.filter("_below is null").agg(F.max("_inside")).first()[0]:
-        if largest <= gather_rows:
-            gathered = (
-                inside(state).groupBy(*target)
-                .agg(F.sort_array(F.collect_list("_v")).alias("_values"))
-            )
-            found = _matched(state, gathered, target, "left")
-            state = pin(found.withColumns({
-                end: F.coalesce(F.col(end), F.get("_values", (F.col(rank) - F.col("_before")).cast("int")))
-                for end, rank in (("_below", "_lower"), ("_above", "_upper"))
-            }).drop("_values"))
+    def upto_the_end(state: DataFrame) -> DataFrame:
+        """All values not above a range, once for every range."""
+        return _matched(
+            _scan(values, columns, keys), _sized(state, rows), [*keys, "_c"], "inner", F.col("_v") <= F.col("_hi")
+        )
+
+    inside = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
+    for _ in range(MOST_SKETCHES):
+        wide = state.filter(F.col("_expected") > gather_rows)
+        if wide.isEmpty():
             break
-        bucket = F.floor(_position("_v") * BUCKETS)
-        carried = [F.first(c).alias(c) for c in ("_before", "_lower", "_upper", "_position")]
         counted = (
-            inside(state).groupBy(*target, bucket.alias("_bucket"))
-            .agg(F.count("*").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to"), *carried)
+            upto_the_end(wide).groupBy(*target)
+            .agg(
+                *[F.first(c).alias(c) for c in fixed], F.count_if(F.col("_v") < F.col("_lo")).alias("_before"),
+                F.count(inside).alias("_inside"), F.min(inside).alias("_lo"), F.max(inside).alias("_hi"),
+                F.approx_count_distinct(inside).alias("_different"), _grid(inside).alias("_grid"),
+            )
+        )
+        # A range that a sketch has put beside the rank is given up for all values.
+        holds = (F.col("_lower") >= F.col("_before")) & (F.col("_upper") < F.col("_before") + F.col("_inside"))
+        whole = wide.withColumns({"_lo": F.col("_least"), "_hi": F.col("_most"), "_expected": F.col("_n")})
+        found = narrower(counted.filter(holds))
+        state = pin(
+            state.filter(F.col("_expected") <= gather_rows).unionByName(found)
+            .unionByName(_matched(whole, found.select(*target), target, "left_anti"))
         )
-        upto = F.sum("_n").over(Window.partitionBy(*target).orderBy("_bucket"))
-        counted = counted.withColumn("_upto", F.col("_before") + upto)
-        start = F.col("_upto") - F.col("_n")
 
-        def holds(rank: str) -> Column:
-            return (F.col(rank) >= start) & (F.col(rank) < F.col("_upto"))
+    settled = None
+    while settled is None or not state.isEmpty():
+        # Values below a range become one; equal values are counted before the shuffle.
+        counted = upto_the_end(state).groupBy(*target, inside.alias("_value")).agg(
+            F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in fixed]
+        )
+        upto = F.sum("_rows").over(Window.partitionBy(*target).orderBy("_value"))
 
-        narrower = (
-            counted.filter(holds("_lower") | holds("_upper")).groupBy(*target)
-            .agg(
-                *[F.first(c).alias(c) for c in ("_lower", "_upper", "_position")],
-                F.max(F.when(holds("_lower"), start)).alias("_before"),
-                F.max(F.when(holds("_lower"), F.col("_n"))).alias("_inside"),
-                F.max(F.when(holds("_lower"), F.col("_from"))).alias("_lo"),
-                F.max(F.when(holds("_lower"), F.col("_to"))).alias("_hi"),
-                # Neighbours in two buckets: the end of one and the start of the other.
-                F.max(F.when(holds("_lower") & ~holds("_upper"), F.col("_to"))).alias("_below"),
-                F.max(F.when(holds("_upper") & ~holds("_lower"), F.col("_from"))).alias("_above"),
-            )
-            .withColumns(_settled_ends(F.col("_below"), F.col("_above")))
+        def holding(rank: str) -> Column:
+            return F.max(F.when((F.col(rank) < F.col("_upto")) & (F.col(rank) >= F.col("_upto") - F.col("_rows")), F.col("_value")))
+
+        found = pin(
+            counted.withColumn("_upto", upto).groupBy(*target)
+            .agg(F.first("_position").alias("_position"), holding("_lower").alias("_below"), holding("_upper").alias("_above"))
+            .filter("_below is not null and _above is not null")
         )
-        state = pin(state.filter("_below is not null").unionByName(narrower))
+        settled = found if settled is None else pin(settled.unionByName(found))
+        state = pin(_matched(state, found.select(*target), target, "left_anti").withColumns(
+            {"_lo": F.col("_least"), "_hi": F.col("_most")}
+        ))
 
     share = F.col("_position") - F.floor("_position")
     value = F.when(F.col("_below") == F.col("_above"), F.col("_below")).otherwise(
         F.col("_below") * (1 - share) + F.col("_above") * share
     )
-    results = state.select(*target, value.alias("_q"))
+    results = settled.select(*target, value.alias("_q"))
 
     def quantile(i: int, t: int) -> Column:
         return F.max(F.when((F.col("_c") == i) & (F.col("_t") == t), F.col("_q")))
@@ -189,27 +237,3 @@ def _narrowed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
         ).alias(c)
         for i, c in enumerate(columns)
     ])
-
-
-def _logarithm(name: str) -> Column:
-    """A logarithm that keeps signs and order, with zero at zero and finite ends."""
-    size = F.abs(name)
-    scaled = F.when(size == 0, 0.0).when(size == float("inf"), LOG_INFINITY).otherwise(F.log(size) + LOG_SHIFT)
-    return F.signum(name) * scaled
-
-
-def _position(name: str) -> Column:
-    """Where a value lies between the ends of its range, 0 to 1, never falling."""
-    low, high = F.col("_lo"), F.col("_hi")
-    narrow = ((low > 0) & (high / 2 <= low)) | ((high < 0) & (low / 2 >= high))
-    by_ratio = (_logarithm(name) - _logarithm("_lo")) / (_logarithm("_hi") - _logarithm("_lo"))
-    return F.when(narrow & (high - low < float("inf")), (F.col(name) - low) / (high - low)).otherwise(by_ratio)
-
-
-def _settled_ends(below: Column | None = None, above: Column | None = None) -> dict[str, Column]:
-    """A range of one value answers both neighbours; else both stay as given."""
-    single = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
-    return {
-        "_below": single if below is None else F.coalesce(below, single),
-        "_above": single if above is None else F.coalesce(above, single),
-    }

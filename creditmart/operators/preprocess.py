@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from creditmart.config import MAX_COLUMNS, MEAN_FILL_COLUMNS, METADATA_COLUMNS
 from creditmart.functions.columns import quoted, usable
-from creditmart.functions.quantiles import exact_quantiles
+from creditmart.functions.quantiles import quantiles
 
 EPSILON = 2.220446049250313e-16
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -80,12 +80,15 @@ def fill_rule(column: str, mean_columns: Sequence[str] = MEAN_FILL_COLUMNS) -> s
     return "active_mean" if column.startswith("fe_") and column.endswith("_mean") else "median"
 
 
-def train_statistics(train: DataFrame, numeric: Sequence[str]) -> dict[str, dict[str, float]]:
+def train_statistics(
+    train: DataFrame, numeric: Sequence[str], accuracy: int | None = None
+) -> dict[str, dict[str, float]]:
     """Fill value, and mean and population deviation after filling, per column.
 
     One pass gives counts, means and variances; the medians come from
-    ``exact_quantiles``. Filling with a constant changes mean and variance in
-    closed form, so the filled rows are not scanned again.
+    ``functions.quantiles``, exact unless an ``accuracy`` is given. Filling with a
+    constant changes mean and variance in closed form, so the filled rows are not
+    scanned again.
     """
     types = dict(train.dtypes)
     rules = {c: fill_rule(c) for c in numeric}
@@ -103,7 +106,9 @@ def train_statistics(train: DataFrame, numeric: Sequence[str]) -> dict[str, dict
     by_median = {c: seen[f"n_{i}"] for i, c in enumerate(numeric) if rules[c] == "median"}
     medians = {}
     if by_median:
-        medians = exact_quantiles(train, list(by_median), [0.5], total=sum(by_median.values())).first()
+        medians = quantiles(
+            train, list(by_median), [0.5], accuracy=accuracy, total=sum(by_median.values())
+        ).first()
 
     result = {}
     for i, c in enumerate(numeric):
@@ -157,13 +162,14 @@ def _category(column: str, dtype: str) -> Column:
     return F.initcap(text) if dtype == "boolean" else text
 
 
-def fit(train: DataFrame, kinds: dict[str, str]) -> list[Field]:
+def fit(train: DataFrame, kinds: dict[str, str], accuracy: int | None = None) -> list[Field]:
     """Learn the fields; ``kinds`` comes from ``column_kinds`` of the whole set.
 
-    Filled and flag columns keep their order; the 0/1 columns follow.
+    Filled and flag columns keep their order; the 0/1 columns follow. Medians are
+    exact unless an ``accuracy`` is given.
     """
     numeric = [c for c, kind in kinds.items() if kind == "numeric"]
-    statistics = train_statistics(train, numeric)
+    statistics = train_statistics(train, numeric, accuracy)
     categories = train_categories(train, [c for c, kind in kinds.items() if kind == "category"])
     plain = [
         (c, kind, None, statistics.get(c, {}), c) for c, kind in kinds.items() if kind != "category"

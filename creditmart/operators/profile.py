@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.functions.columns import quoted, usable
-from creditmart.functions.quantiles import exact_quantiles
+from creditmart.functions.quantiles import exact_quantiles, quantiles
 
 
 # Hex digits of a hash that name its bucket in a sample: 65,536 buckets.
@@ -116,9 +116,15 @@ def range_summary(df: DataFrame, ranges: Mapping[str, tuple[Column, float, float
 
 
 def describe_numbers(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.25, 0.5, 0.75)
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = (0.25, 0.5, 0.75),
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """One row per column: count, mean, sample deviation, min, quantiles, max."""
+    """One row per column: count, mean, sample deviation, min, quantiles, max.
+
+    Quantiles are exact unless an ``accuracy`` is given, see ``functions.quantiles``.
+    """
     types = dict(df.dtypes)
     values = {c: usable(quoted(c), types[c]).cast("double") for c in columns}
     moments = df.agg(*[
@@ -128,11 +134,11 @@ def describe_numbers(
         ).alias(f"_{i}")
         for i, v in enumerate(values.values())
     ])
-    quantiles = exact_quantiles(df, columns, probabilities)
+    found = quantiles(df, columns, probabilities, accuracy=accuracy)
     names = [f"p{round(p * 100):02d}" for p in probabilities]
     return (
         _stacked(moments, columns)
-        .join(_stacked(quantiles, columns, positional=False), "column", "left")
+        .join(_stacked(found, columns, positional=False), "column", "left")
         .select(
             "column", "value.*",
             *[F.get("quantile", F.lit(i)).alias(name) for i, name in enumerate(names)],

@@ -31,19 +31,21 @@ def prepare(
     test_size: float = 0.2,
     seed: int = 55,
     bool_policy: str = "by_nulls",
+    accuracy: int | None = None,
 ) -> Prepared:
     """Split, fit on the train rows, encode all rows with one projection.
 
     The labelled rows are scanned once per pass (split counts, statistics,
     medians, categories), reading only the columns that pass needs; store them
-    first when the join before is expensive, as ``prepare_tables`` does.
+    first when the join before is expensive, as ``prepare_tables`` does. Medians
+    are exact unless an ``accuracy`` is given.
     """
     plan = split.plan_split(labelled, oot_fraction, test_size, seed)
     rows = split.assign_split(labelled, plan)
     kinds = preprocess.column_kinds(
         labelled, preprocess.feature_columns(labelled), bool_policy
     )
-    fields = preprocess.fit(rows.filter("split = 'train'"), kinds)
+    fields = preprocess.fit(rows.filter("split = 'train'"), kinds, accuracy)
     return Prepared(plan, fields, rows, preprocess.transform(rows, fields))
 
 

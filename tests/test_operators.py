@@ -196,13 +196,43 @@ def test_quantiles_at_the_ends_of_doubles(spark):
         assert [repr(x + 0.0) for x in plain] == [repr(x + 0.0) for x in narrow]
 
 
-def test_magnitudes_cost_no_passes(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["magnitudes", "two values", "one value", "close", "even"])
+def test_two_passes_whatever_the_values(spark, monkeypatch, kind):
     chance, passes = random.Random(4), []
-    df = spark.createDataFrame([(10 ** chance.uniform(-100, 100),) for _ in range(5000)], "v double")
-    plain = quantiles._position
-    monkeypatch.setattr(quantiles, "_position", lambda name: (passes.append(1), plain(name))[1])
-    found = exact_quantiles(df, ["v"], [0.1, 0.5], one_task_rows=10, gather_rows=10).first().v
-    assert found == exact_quantiles(df, ["v"], [0.1, 0.5]).first().v and len(passes) <= 4
+    make = {
+        "magnitudes": lambda: 10 ** chance.uniform(-100, 100), "two values": lambda: chance.choice([1.0, 2.0]),
+        "one value": lambda: 7.5, "close": lambda: 1e15 + chance.randrange(1000) / 8, "even": chance.random,
+    }[kind]
+    df = spark.createDataFrame([("ab"[i % 2], make()) for i in range(40_000)], "g string, v double").repartition(4)
+    probabilities = [0.0, 0.1, 0.5, 0.999, 1.0]
+    plain = quantiles._scan
+    monkeypatch.setattr(quantiles, "_scan", lambda *a: (passes.append(1), plain(*a))[1])
+    for keys in ([], ["g"]):
+        passes.clear()
+        found = exact_quantiles(df, ["v"], probabilities, keys, one_task_rows=10, gather_rows=2000).collect()
+        assert len(passes) == 2
+        whole = exact_quantiles(df, ["v"], probabilities, keys).collect()
+        texts = [sorted([*r[:-1], *[f"{x:.12g}" for x in r.v]] for r in rows) for rows in (found, whole)]
+        assert texts[0] == texts[1]
+
+
+def test_ranges_that_miss_their_rank(spark, monkeypatch):
+    """Wrong brackets cost passes, not results; narrow limits are sketched again."""
+    df = spark.createDataFrame([(float(i * 7919 % 20_000),) for i in range(20_000)], "v double")
+    whole = exact_quantiles(df, ["v"], [0.25, 0.5]).first().v
+    assert exact_quantiles(df, ["v"], [0.25, 0.5], one_task_rows=10, gather_rows=3).first().v == whole
+    monkeypatch.setattr(quantiles, "SLACK", -30.0)
+    for limit in (3, 10_000):
+        assert exact_quantiles(df, ["v"], [0.25, 0.5], one_task_rows=10, gather_rows=limit).first().v == whole
+
+
+def test_quantiles_of_an_accuracy(spark):
+    df = spark.createDataFrame([("ab"[i % 2], float(i), float("nan") if i % 3 else None) for i in range(20_000)], "g string, v double, w double")
+    found = {r.g: r.v for r in quantiles.quantiles(df, ["v"], [0.1, 0.9], ["g"], accuracy=1000).collect()}
+    for group in found.values():
+        assert abs(group[0] - 2000) <= 60 and abs(group[1] - 18_000) <= 60
+    assert quantiles.quantiles(df, ["w"], [0.5], accuracy=100).first().w is None
+    assert quantiles.quantiles(df, ["v"], [0.5]).first().v == [9999.5]
 
 
 def test_describe(spark):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditmart.functions.columns import quoted
-from creditmart.operators import preprocess, split
+from creditmart.operators import preprocess, profile, split
 from creditmart.plans import prepare
 from creditmart.session import scratch_path
 from creditmart.sources import tables
@@ -186,3 +186,12 @@ def test_stored_sets_and_parameters(spark, loans):
     assert again.exceptAll(test.select(*[quoted(c) for c in again.columns])).count() == 0
     report = {r.split: r.rows for r in split.split_report(prepared.rows).collect()}
     assert report == sizes
+
+
+def test_medians_of_an_accuracy(spark):
+    rows = spark.createDataFrame([(float(i), float(i % 7)) for i in range(5000)], "v double, w double")
+    exact, near = (preprocess.train_statistics(rows, ["v", "w"], accuracy) for accuracy in (None, 1000))
+    assert exact["v"]["fill"] == 2499.5 and abs(near["v"]["fill"] - 2499.5) <= 15
+    assert exact["w"]["fill"] == near["w"]["fill"] == 3.0
+    described = profile.describe_numbers(rows, ["v"], accuracy=1000).first()
+    assert abs(described.p25 - 1249.75) <= 15 and described.count == 5000
