@@ -194,4 +194,4 @@ def test_medians_of_an_accuracy(spark):
     assert exact["v"]["fill"] == 2499.5 and abs(near["v"]["fill"] - 2499.5) <= 15
     assert exact["w"]["fill"] == near["w"]["fill"] == 3.0
     described = profile.describe_numbers(rows, ["v"], accuracy=1000).first()
-    assert abs(described.p25 - 1249.75) <= 15 and described.count == 5000
+    assert abs(described.p25 - 1249.75) <= 15 and described["count"] == 5000
