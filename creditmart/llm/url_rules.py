@@ -3,7 +3,7 @@
 A rule (host, path) becomes the key ``reversed host . / path``: all keys it fits
 start with it, so it is an interval of keys, and two intervals are nested or
 apart. A url has one key per suffix of its host, since a rule with a path
-also fits subdomains.
+also fits subdomains; suffixes of more labels than any rule fit none and have no key.
 """
 
 from __future__ import annotations
@@ -125,7 +125,8 @@ def filter_urls(
     verdict where none fits. A null url, or one without ``://``, has an empty host
     and path. Rules need no order; repeated rules count once, and ones without a
     verdict of allow or block are ignored. Distinct hosts and paths are judged once,
-    so repeated urls cost one sweep.
+    so repeated urls cost one sweep; a very long url costs as many keys as the
+    deepest rule has labels.
     """
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
@@ -134,9 +135,10 @@ def filter_urls(
     rows = rows.select("row", host.alias("host"), path.alias("path"))
     distinct = rows.select("host", "path").distinct()
     labels = F.split("host", r"\.")
+    deepest = rules.agg(F.max(F.size(F.split(F.coalesce("host", F.lit("")), r"\.")))).first()[0] or 1
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deepest))),
+        lambda n: F.array_join(F.slice(labels, -n, n), "."),
     )
     probes = distinct.select("host", "path", F.explode(suffixes).alias("suffix")).select(
         "host", "path", _key(F.col("suffix"), F.col("path")).alias("key")

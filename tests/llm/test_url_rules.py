@@ -53,3 +53,12 @@ def test_random_nested_rules(spark):
     assert {r[0]: tuple(r[1:]) for r in found} == {i: expected(u, rules) for i, u in enumerate(urls)}
     assert url_rules.filter_urls(pages.limit(0), frame).count() == 0
     assert {r.verdict for r in url_rules.filter_urls(pages, frame.limit(0), default="block").collect()} == {"block"}
+
+
+def test_very_long_urls(spark):
+    """Hosts of very many labels cost no more keys than a rule has labels."""
+    urls = [f"s://{'a.' * 20_000}example.com/en/{'x/' * 5000}", f"s://{'.' * 20_000}net/es/x", f"s://{'b' * 100_000}", "s://" + "a." * 20_000]
+    urls += [f"s://h{i}.www.example.com/en/{i}" for i in range(2000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    found = url_rules.filter_urls(pages, url_rules.rules_frame(spark, RULES)).select("row.page_id", "host", "path", "rule", "verdict").collect()
+    assert {r[0]: tuple(r[1:]) for r in found} == {i: expected(u, RULES) for i, u in enumerate(urls)}
