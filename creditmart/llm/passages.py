@@ -11,8 +11,9 @@
    automaton, and the pieces of all documents stream through it.
 4. What was found goes back to the documents as spans of words.
 
-Anchors in very many documents would meet in one task. Their pieces are combined
-before the shuffle, equal ones into one, and confirmed window by window (``_hot_ranges``).
+Anchors in very many documents, or in very many words of few documents, would meet in one task.
+Their pieces are combined before the shuffle, equal ones into one, and confirmed window by
+window (``_hot_ranges``).
 """
 
 from __future__ import annotations
@@ -26,17 +27,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.functions.joins import attach
-from creditmart.llm.rows import NOT_SPACE, Words, inside_texts, pieces, window_hashes
+from creditmart.llm.rows import NOT_SPACE, Words, inside_texts, list_array, pieces, window_hashes
 from creditmart.session import ensure_checkpoint_dir, scratch_path
 
 WINDOW = 50
 PHRASE = 10
-# Documents with an anchor that may meet in one task.
+# Documents with an anchor that may meet in one task, and words of their pieces.
 HOT = 1000
-# Words of pieces under one automaton.
+HOT_WORDS = 200_000
+# Words of pieces under one automaton; one anchor's may come on top.
 SHARD_WORDS = 200_000
+# Pieces that leave a task at once.
+PIECES_AT_ONCE = 10_000
 
-_SUMMARY = "key bigint, digest bigint, n_words bigint, kept_sha256 string, anchors array<bigint>"
+_SUMMARY = (
+    "key bigint, digest bigint, n_words bigint, kept_sha256 string, anchors array<struct<anchor: bigint, words: bigint>>"
+)
 _RANGES = "array<struct<start: int, end: int>>"
 
 
@@ -60,13 +66,21 @@ def _anchor_positions(words: Words, window: int) -> tuple[np.ndarray, np.ndarray
     return fits, at, hashes[at]
 
 
+def _piece_bounds(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each run of windows with one anchor position."""
+    new = np.r_[True, at[1:] != at[:-1]] if len(at) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    return first, np.r_[first[1:], len(at)][: len(first)] - 1
+
+
 def _joined_words(words: Words, row: int) -> bytes:
     first, last = words.bounds[row], words.bounds[row + 1]
     return words.data[words.offsets[row] : words.offsets[row + 1]].tobytes() if first < last else b""
 
 
 def _summaries(window: int):
-    """Per text: its words, the digest of all of them, and its distinct anchors."""
+    """Per text: its words, the digest of all of them, and its distinct anchors with the words of their pieces."""
+    kind = pa.struct([("anchor", pa.int64()), ("words", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -74,18 +88,24 @@ def _summaries(window: int):
                 texts = batch.column(2).slice(low, high - low)
                 words = Words(texts, NOT_SPACE)
                 starts, at, anchors = _anchor_positions(words, window)
-                new = np.r_[True, at[1:] != at[:-1]] if len(at) else np.empty(0, bool)
-                anchors, text = anchors[new], words.texts()[starts[new]]
+                first, last = _piece_bounds(at)
+                anchors, text = anchors[first], words.texts()[starts[first]]
+                sizes = starts[last] + window - starts[first]
                 bounds = np.searchsorted(text, np.arange(len(texts) + 1))
-                digests, lists = [], []
+                digests, found, totals, counts = [], [], [], []
                 for row in range(len(texts)):
                     joined = b" ".join(_joined_words(words, row).split())
                     digests.append(hashlib.sha256(joined).hexdigest())
-                    lists.append(np.unique(anchors[bounds[row] : bounds[row + 1]]).view(np.int64))
+                    own = slice(bounds[row], bounds[row + 1])
+                    distinct, which = np.unique(anchors[own], return_inverse=True)
+                    found.append(distinct.view(np.int64))
+                    totals.append(np.bincount(which, sizes[own], len(distinct)).astype(np.int64))
+                    counts.append(len(distinct))
+                values = [pa.array(np.concatenate(x), pa.int64()) for x in (found, totals)]
+                lists = list_array(pa.StructArray.from_arrays(values, fields=list(kind)), counts)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low),
-                    pa.array(words.counts.astype(np.int64)), pa.array(digests, pa.string()),
-                    pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(words.counts.astype(np.int64)), pa.array(digests, pa.string()), lists,
                 ], ["key", "digest", "n_words", "kept_sha256", "anchors"])
 
     return run
@@ -103,9 +123,7 @@ def _cut(window: int):
                 if not len(starts):
                     continue
                 text = words.texts()[starts]
-                new = np.r_[True, at[1:] != at[:-1]]
-                first = np.flatnonzero(new)
-                last = np.r_[first[1:], len(starts)] - 1
+                first, last = _piece_bounds(at)
                 bounds = np.searchsorted(text[first], np.arange(high - low + 1))
                 recur, hot = np.zeros(len(first), bool), np.zeros(len(first), bool)
                 for row in range(high - low):
@@ -115,16 +133,19 @@ def _cut(window: int):
                         marks[own] = np.isin(anchors[first[own]], wanted)
                 first, last, hot = first[recur], last[recur], hot[recur]
                 begin, end = starts[first], starts[last] + window
-                raw, row = words.data.tobytes(), pa.array(text[first])
-                texts = [
-                    b" ".join(raw[a:b].split()).decode()
-                    for a, b in zip(words.starts[begin], words.ends[end - 1], strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchors[first].view(np.int64)), pa.array(texts, pa.string()),
-                    part.column(0).take(row), part.column(1).take(row),
-                    pa.array((begin - words.bounds[text[first]]).astype(np.int32)), pa.array(hot),
-                ], ["anchor", "piece", "key", "digest", "start", "hot"])
+                raw = words.data.tobytes()
+                for some in range(0, len(first), PIECES_AT_ONCE):
+                    some = slice(some, some + PIECES_AT_ONCE)
+                    row = text[first[some]]
+                    texts = [
+                        b" ".join(raw[a:b].split()).decode()
+                        for a, b in zip(words.starts[begin[some]], words.ends[end[some] - 1], strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(anchors[first[some]].view(np.int64)), pa.array(texts, pa.string()),
+                        *(part.column(i).take(pa.array(row)) for i in range(2)),
+                        pa.array((begin[some] - words.bounds[row]).astype(np.int32)), pa.array(hot[some]),
+                    ], ["anchor", "piece", "key", "digest", "start", "hot"])
 
     return run
 
@@ -262,7 +283,7 @@ def _windows_of(window: int):
 
 
 def _hot_ranges(hot: DataFrame, window: int) -> DataFrame:
-    """As :func:`_located`, for pieces of anchors in very many documents.
+    """As :func:`_located`, for pieces of anchors in very many documents or words.
 
     Equal pieces become one before the shuffle. Each of their windows goes its own way: its
     least key is combined before the shuffle and joined back, both by 128 bits of
@@ -318,15 +339,15 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     summaries = attach(summaries, first, ["kept_sha256"]).withColumn("copy", F.coalesce(copy, F.lit(False)))
     summaries = summaries.drop("first").checkpoint()
     anchors = summaries.where("key is not null and not copy").select(
-        "key", F.explode("anchors").alias("anchor")
+        "key", F.inline("anchors")
     )
     recurring = (
         anchors.groupBy("anchor")
-        .agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count("*").alias("n"))
-        .where("least < greatest").select("anchor", (F.col("n") > HOT).alias("hot"))
+        .agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count("*").alias("n"), F.sum("words").alias("words"))
+        .where("least < greatest").select("anchor", ((F.col("n") > HOT) | (F.col("words") > HOT_WORDS)).alias("hot"))
     )
     wanted = (
-        attach(anchors, recurring, ["anchor"]).where("hot is not null").groupBy("key")
+        attach(anchors.drop("words"), recurring, ["anchor"]).where("hot is not null").groupBy("key")
         .agg(F.collect_set("anchor").alias("wanted"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
     )
     path = scratch_path(spark, "repeated")

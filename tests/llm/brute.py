@@ -12,6 +12,14 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def mirrored(letters: int) -> tuple[str, str]:
+    """A word of a and b in Thue-Morse order, and the same with both letters swapped."""
+    word, other = "a", "b"
+    while len(word) < letters:
+        word, other = word + other, other + word
+    return word, other
+
+
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 

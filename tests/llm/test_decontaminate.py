@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from brute import contamination
+from brute import contamination, mirrored
 
 from creditmart.llm import decontaminate
 from creditmart.llm.fm_index import FmIndex
@@ -82,3 +82,15 @@ def test_index_counts_and_places():
         low, high = index.ranges(np.array([[-1] * (8 - len(phrase)) + phrase]))
         want = [i for i in range(len(symbols)) if symbols[i : i + len(phrase)].tolist() == phrase]
         assert sorted(index.locate(np.arange(low[0], high[0])).tolist()) == want
+
+
+def test_words_in_mirrored_order(spark, dirty):
+    """Long words of two letters that hashes of powers cannot tell apart."""
+    items, texts = [], []
+    for letters in (1024, 2048, 4096):
+        word, other = mirrored(letters)
+        items += [(letters, word), (letters + 1, f"one {word} two three")]
+        texts += [f"a {word} b", f"a {other} b", f"one {other} two three", f"zero one {word} two three four"]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    found = decontaminate.judged(decontaminate.find_benchmark(dirty(texts), benchmark))
+    assert results(found.select("row.doc_id", *found.columns[1:])) == contamination(list(enumerate(texts)), items)

@@ -1,7 +1,7 @@
 import random
 import re
 
-from brute import ITEM_WORD, ascii_lower
+from brute import ITEM_WORD, ascii_lower, mirrored
 
 from creditmart.llm import licenses
 from creditmart.llm.queries import LLM_QUERIES
@@ -55,3 +55,12 @@ def test_places_are_tight(dirty):
     text = "One two. Released under the MIT License. Three four. Released under the MIT license!"
     found = licenses.find_licenses(dirty([text])).first()
     assert [(m.license, m.start, m.end, m.share) for m in found.matches] == [("MIT", 2, 7, 1.0), ("MIT", 9, 14, 1.0)]
+
+
+def test_words_in_mirrored_order(dirty):
+    """Long words of two letters that hashes of powers cannot tell apart."""
+    for letters in (1024, 2048, 4096):
+        word, other = mirrored(letters)
+        templates = [("long", f"all of {word} may be used")]
+        rows = licenses.summary(licenses.find_licenses(dirty([f"see all of {w} may be used" for w in (word, other)]), templates))
+        assert [r.licenses for r in rows.orderBy("row.doc_id").collect()] == ["long", ""]

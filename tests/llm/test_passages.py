@@ -1,6 +1,7 @@
 import random
 
-from brute import without_repeats
+import pytest
+from brute import mirrored, without_repeats
 
 from creditmart.llm import passages
 from creditmart.llm.queries import LLM_QUERIES
@@ -59,3 +60,28 @@ def test_texts_of_equal_words(spark, dirty):
     text = " ".join(f"w{i}" for i in range(80))
     given = ["short one", text.replace(" ", "\n"), "short  one", text, text + " ", " ".join(text.split()[10:75]), None, None]
     assert results(passages.deduplicated(dirty(given))) == without_repeats(enumerate(given))
+
+
+def test_a_long_text_that_repeats_one_phrase(spark, dirty):
+    """Two texts, one above ten megabytes, with one phrase every 95 words: all pieces of one anchor."""
+    rng = random.Random(5)
+    phrase = " ".join(f"same{i}" for i in range(10))
+
+    def made(parts):
+        return " ".join(phrase + " " + " ".join(f"{rng.getrandbits(20):x}" for _ in range(85)) for _ in range(parts))
+
+    long, short = made(20_500), made(200)
+    short += " " + " ".join(long.split()[95_000:95_400])
+    assert len(long) > 11_000_000
+    assert results(passages.deduplicated(dirty([long, short]))) == without_repeats(enumerate([long, short]))
+
+
+@pytest.mark.parametrize("hot", (0, 1000))
+def test_words_in_mirrored_order(spark, dirty, monkeypatch, hot):
+    """Long words of two letters in an order that hashes of powers cannot tell apart."""
+    monkeypatch.setattr(passages, "HOT", hot)
+    for letters in (1024, 2048, 4096):
+        word, other = mirrored(letters)
+        rest = " ".join(f"w{i}" for i in range(70))
+        given = [f"{rest[:200]} {word} {rest}", f"{rest[:200]} {other} {rest}", f"{word} {rest}"]
+        assert results(passages.deduplicated(dirty(given))) == without_repeats(enumerate(given))

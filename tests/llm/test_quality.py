@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from brute import base_quality
+from brute import base_quality, mirrored
 
 from creditmart.llm import quality
 from creditmart.llm.queries import LLM_QUERIES
@@ -54,3 +54,16 @@ def test_neighbours_do_not_count():
     at, share = (x.to_pylist() for x in quality._features()(pa.array(texts)))
     for i, text in enumerate(texts):
         assert [x.to_pylist()[0] for x in quality._features()(pa.array([text], pa.string()))] == [at[i], share[i]]
+
+
+def test_words_in_mirrored_order(spark, dirty):
+    """Long lines and words of two letters that hashes of powers cannot tell apart."""
+    texts = []
+    for letters in (1024, 2048, 4096):
+        word, other = mirrored(letters)
+        texts += [f"{word}\n{other}\n{word}", f"x y {word} x y {other}", f"{word} {other} " * 3]
+    rows = dirty(texts)
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int").limit(0)
+    found = quality.judge(rows, quality.train(rows, labels)).select("row.doc_id", "*").collect()
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in found}
+    assert got == base_quality(enumerate(texts))
