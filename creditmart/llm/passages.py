@@ -11,9 +11,9 @@
    automaton, and the pieces of all documents stream through it.
 4. What was found goes back to the documents as spans of words.
 
-Anchors in very many documents, or in very many words of few documents, would meet in one task.
-Their pieces are combined before the shuffle, equal ones into one, and confirmed window by
-window (``_hot_ranges``).
+Anchors in very many documents, or of very many pieces in few, would meet in one task.
+Their pieces are combined before the shuffle, equal ones into one, and confirmed window
+by window (``_hot_ranges``).
 """
 
 from __future__ import annotations
@@ -27,22 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.functions.joins import attach
-from creditmart.llm.rows import NOT_SPACE, Words, inside_texts, list_array, pieces, window_hashes
+from creditmart.llm.rows import NOT_SPACE, Words, inside_texts, pieces, window_hashes
 from creditmart.session import ensure_checkpoint_dir, scratch_path
 
 WINDOW = 50
 PHRASE = 10
-# Documents with an anchor that may meet in one task, and words of their pieces.
+# What may meet in one task of an anchor: documents, pieces, and words of different pieces.
 HOT = 1000
+HOT_PIECES = 100_000
 HOT_WORDS = 200_000
 # Words of pieces under one automaton; one anchor's may come on top.
 SHARD_WORDS = 200_000
 # Pieces that leave a task at once.
 PIECES_AT_ONCE = 10_000
 
-_SUMMARY = (
-    "key bigint, digest bigint, n_words bigint, kept_sha256 string, anchors array<struct<anchor: bigint, words: bigint>>"
-)
+_SUMMARY = "key bigint, digest bigint, n_words bigint, kept_sha256 string, anchors array<bigint>"
 _RANGES = "array<struct<start: int, end: int>>"
 
 
@@ -79,8 +78,7 @@ def _joined_words(words: Words, row: int) -> bytes:
 
 
 def _summaries(window: int):
-    """Per text: its words, the digest of all of them, and its distinct anchors with the words of their pieces."""
-    kind = pa.struct([("anchor", pa.int64()), ("words", pa.int64())])
+    """Per text: its words, the digest of all of them, and its distinct anchors."""
 
     def run(batches):
         for batch in batches:
@@ -88,24 +86,18 @@ def _summaries(window: int):
                 texts = batch.column(2).slice(low, high - low)
                 words = Words(texts, NOT_SPACE)
                 starts, at, anchors = _anchor_positions(words, window)
-                first, last = _piece_bounds(at)
+                first, _ = _piece_bounds(at)
                 anchors, text = anchors[first], words.texts()[starts[first]]
-                sizes = starts[last] + window - starts[first]
                 bounds = np.searchsorted(text, np.arange(len(texts) + 1))
-                digests, found, totals, counts = [], [], [], []
+                digests, lists = [], []
                 for row in range(len(texts)):
                     joined = b" ".join(_joined_words(words, row).split())
                     digests.append(hashlib.sha256(joined).hexdigest())
-                    own = slice(bounds[row], bounds[row + 1])
-                    distinct, which = np.unique(anchors[own], return_inverse=True)
-                    found.append(distinct.view(np.int64))
-                    totals.append(np.bincount(which, sizes[own], len(distinct)).astype(np.int64))
-                    counts.append(len(distinct))
-                values = [pa.array(np.concatenate(x), pa.int64()) for x in (found, totals)]
-                lists = list_array(pa.StructArray.from_arrays(values, fields=list(kind)), counts)
+                    lists.append(np.unique(anchors[bounds[row] : bounds[row + 1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low),
-                    pa.array(words.counts.astype(np.int64)), pa.array(digests, pa.string()), lists,
+                    pa.array(words.counts.astype(np.int64)), pa.array(digests, pa.string()),
+                    pa.array(lists, pa.list_(pa.int64())),
                 ], ["key", "digest", "n_words", "kept_sha256", "anchors"])
 
     return run
@@ -283,7 +275,7 @@ def _windows_of(window: int):
 
 
 def _hot_ranges(hot: DataFrame, window: int) -> DataFrame:
-    """As :func:`_located`, for pieces of anchors in very many documents or words.
+    """As :func:`_located`, for pieces of anchors that are too many for one task.
 
     Equal pieces become one before the shuffle. Each of their windows goes its own way: its
     least key is combined before the shuffle and joined back, both by 128 bits of
@@ -303,6 +295,26 @@ def _hot_ranges(hot: DataFrame, window: int) -> DataFrame:
     )
 
 
+def _divided(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pieces of anchors that are too many for one task, and all others.
+
+    Documents were counted before; a few long ones may hold any number of pieces of
+    one anchor. Their anchors are stored, so that the planner sees how few they are.
+    """
+    hot, cool = cut.where("hot"), cut.where("not hot")
+    equal = cool.groupBy("anchor", "hash").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    large = (
+        equal.groupBy("anchor").agg(F.sum("n").alias("pieces"), F.sum("size").alias("words"))
+        .where((F.col("pieces") > HOT_PIECES) | (F.col("words") > HOT_WORDS)).select("anchor")
+    )
+    path = scratch_path(cut.sparkSession, "large")
+    large.write.parquet(path)
+    large = cut.sparkSession.read.parquet(path)
+    if large.isEmpty():
+        return hot, cool
+    return hot.unionByName(cool.join(large, "anchor", "left_semi")), cool.join(large, "anchor", "left_anti")
+
+
 def _spans(cut: DataFrame, ranges: DataFrame) -> DataFrame:
     """Spans of words per place of a piece. A document after a piece's first one loses all of it."""
     places = cut.select("anchor", "hash", "key", "digest", "start", "size")
@@ -339,15 +351,15 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     summaries = attach(summaries, first, ["kept_sha256"]).withColumn("copy", F.coalesce(copy, F.lit(False)))
     summaries = summaries.drop("first").checkpoint()
     anchors = summaries.where("key is not null and not copy").select(
-        "key", F.inline("anchors")
+        "key", F.explode("anchors").alias("anchor")
     )
     recurring = (
         anchors.groupBy("anchor")
-        .agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count("*").alias("n"), F.sum("words").alias("words"))
-        .where("least < greatest").select("anchor", ((F.col("n") > HOT) | (F.col("words") > HOT_WORDS)).alias("hot"))
+        .agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count("*").alias("n"))
+        .where("least < greatest").select("anchor", (F.col("n") > HOT).alias("hot"))
     )
     wanted = (
-        attach(anchors.drop("words"), recurring, ["anchor"]).where("hot is not null").groupBy("key")
+        attach(anchors, recurring, ["anchor"]).where("hot is not null").groupBy("key")
         .agg(F.collect_set("anchor").alias("wanted"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
     )
     path = scratch_path(spark, "repeated")
@@ -362,11 +374,11 @@ def repeated_spans(documents: DataFrame, key: str = "doc_id", text: str = "text"
     size = (F.regexp_count("piece", F.lit(" ")) + 1).cast("int")
     cut.withColumns({"hash": F.xxhash64("piece"), "size": size}).write.parquet(path)
     cut = spark.read.parquet(path)
-    met = cut.where("not hot").select("piece", "key", "anchor", "hash").repartition("anchor")
+    hot, cool = _divided(cut)
+    met = cool.select("piece", "key", "anchor", "hash").repartition("anchor")
     ranges = met.sortWithinPartitions("anchor").mapInArrow(
         _located(window), f"anchor bigint, hash bigint, least bigint, ranges {_RANGES}"
     )
-    hot = cut.where("hot")
     if not hot.isEmpty():
         ranges = ranges.unionByName(_hot_ranges(hot, window))
     found = _spans(cut, ranges).where("size(spans) > 0")

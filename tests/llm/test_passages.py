@@ -43,6 +43,7 @@ def test_small_windows_and_hot_anchors(spark, dirty, monkeypatch):
         for hot in (1000, 5):
             monkeypatch.setattr(passages, "HOT", hot)
             monkeypatch.setattr(passages, "SHARD_WORDS", 100 if hot == 5 else 10_000)
+            monkeypatch.setattr(passages, "HOT_PIECES" if window == 4 else "HOT_WORDS", 200)
             assert results(passages.deduplicated(dirty(given), window=window)) == want[window]
 
 
