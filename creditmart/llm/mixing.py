@@ -12,10 +12,12 @@ from pyspark.sql.window import Window
 from creditmart.functions.joins import attach
 from creditmart.session import ensure_checkpoint_dir
 
-# Rounds of raking over all dimensions; a table without empty combinations is then
-# far closer to its marginals than DIGITS shows.
-ROUNDS = 10
+# Raking ends where no share is further from its target, or where a round brings the
+# furthest one less than a thousandth nearer: the targets then contradict the cells.
+TOLERANCE = 1e-6
+STALLED = 0.999
 DIGITS = 9
+OFF_DIGITS = 6
 # Cells in one task, and cells that are broadcast to the documents; more are joined by key.
 CELLS_PER_TASK = 100_000
 BROADCAST_CELLS = 100_000
@@ -56,14 +58,16 @@ def target_shares(cells: DataFrame, name: str, target: Mapping[str, float]) -> D
     return totals.select(name, F.coalesce(F.try_divide(share, F.lit(whole)), F.lit(0.0)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Targets, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: Targets, tolerance: float = TOLERANCE) -> DataFrame:
     """Scale the cells' ``weight`` (tokens) until every dimension has its target shares.
 
     ``cells`` has one row per combination of values and is stored, so that no
     round reads the documents. Each step divides by the sums per value: of a dimension with
     few values they go through the driver, combined before they leave the tasks;
     of one with many they are a window, whose groups are then small. The
-    lineage is cut every round. The result adds ``mixed``, shares of the whole.
+    lineage is cut every round. The result adds ``mixed``, shares of the whole, and
+    ``off_target``: how far a share was from its target at most, before it was last scaled. It is
+    above ``tolerance`` only if the targets cannot all be met.
     """
     ensure_checkpoint_dir(cells.sparkSession)
     current, few = cells, {}
@@ -73,18 +77,27 @@ def rake(cells: DataFrame, targets: Targets, rounds: int = ROUNDS) -> DataFrame:
         current = current.join(shares.withColumnRenamed("share", f"share_{name}"), name)
     current = current.withColumn("mixed", F.col("weight").cast("double"))
     current = current.repartition(cells.rdd.getNumPartitions()).checkpoint()
-    for _ in range(rounds):
+    off, before = (2.0, 4.0) if targets else (0.0, 0.0)
+    while tolerance < off < STALLED * before:
+        off, before = 0.0, off
         for name in targets:
+            share = F.col(f"share_{name}")
             if few[name]:
-                sums = current.groupBy(name).agg(F.sum("mixed")).collect()
-                found = F.create_map(*[F.lit(x) for row in sums for x in row]) if sums else None
+                sums = current.groupBy(name, share).agg(F.sum("mixed").alias("mixed")).collect()
+                whole = sum(row["mixed"] for row in sums)
+                far = max((abs(row["mixed"] / whole - row[f"share_{name}"]) for row in sums), default=0.0) if whole else 0.0
+                found = F.create_map(*[F.lit(x) for row in sums for x in (row[name], row["mixed"])]) if sums else None
                 total = F.element_at(found, F.col(name)) if sums else F.lit(None).cast("double")
             else:
+                whole = current.agg(F.sum("mixed")).first()[0]
+                sums = current.groupBy(name, share).agg(F.sum("mixed").alias("mixed"))
+                far = sums.agg(F.max(F.abs(F.try_divide("mixed", F.lit(whole)) - share))).first()[0] or 0.0
                 total = F.sum("mixed").over(Window.partitionBy(name))
-            scaled = F.try_divide(F.col("mixed") * F.col(f"share_{name}"), total)
+            off = max(off, far)
+            scaled = F.try_divide(F.col("mixed") * share, total)
             current = current.withColumn("mixed", F.coalesce(scaled, F.lit(0.0)))
         current = current.checkpoint()
-    return current
+    return current.withColumn("off_target", F.lit(round(off, OFF_DIGITS)))
 
 
 def uniform(*columns: str) -> Column:
@@ -101,9 +114,9 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
     lang: str = "lang",
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """``row`` with ``n_tokens``, ``source``, ``lang``, ``topic``, ``expected`` and ``copies``.
+    """``row`` with ``n_tokens``, ``source``, ``lang``, ``topic``, ``expected``, ``copies`` and ``off_target``.
 
     Token weights of the cells (source, language, topic) are raked to the target
     marginals. ``budget`` is the mix's size as a share of all tokens. ``expected``
@@ -111,6 +124,8 @@ def mix(
     tokens over its tokens. ``copies`` is its whole part, and one more with the
     probability of the rest, drawn from a hash of the document's key: the same on
     every run, and unbiased in every cell. A document whose copies are 0 is not in the mix.
+    ``off_target``, the same in all rows with a cell, tells how far the furthest share stays from
+    its target: above ``tolerance`` where the targets contradict each other on these cells.
 
     Null sources and languages are values of their own (``?``). A null or empty text has
     no tokens: nothing is drawn for it. Repeated rows are drawn alike. Cells
@@ -135,7 +150,7 @@ def mix(
     count, whole = cells.agg(F.count("*"), F.sum("weight")).first()
     cells = cells.coalesce(max(1, math.ceil(count / CELLS_PER_TASK))).checkpoint()
     expected = F.round(F.lit(budget) * F.lit(whole) * F.col("mixed") / F.col("weight"), DIGITS)
-    per_cell = rake(cells, targets, rounds).select(*names, expected.alias("expected"))
+    per_cell = rake(cells, targets, tolerance).select(*names, expected.alias("expected"), "off_target")
     if count <= BROADCAST_CELLS:
         joined = rows.join(F.broadcast(per_cell), names, "left")
     else:
@@ -145,4 +160,4 @@ def mix(
     )
     whole_part = F.floor("expected")
     copies = whole_part + (F.col("draw") < F.col("expected") - whole_part).cast("bigint")
-    return joined.select("row", "n_tokens", *names, "expected", copies.alias("copies"))
+    return joined.select("row", "n_tokens", *names, "expected", copies.alias("copies"), "off_target")

@@ -34,7 +34,8 @@ URL_RULES = [
 #: Shares of the tokens; values that are not named divide what is left.
 MIX_TARGETS = {
     "source": {"src0": 0.1},
-    "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+    # Other languages, and texts without one, share a twentieth.
+    "lang": {"en": 0.38, "de": 0.19, "fr": 0.19, "es": 0.19},
     "topic": {"article": 0.5, "long": 0.3, "brief": 0.1, "tabular": 0.1},
 }
 MIX_BUDGET = 0.5
@@ -198,18 +199,28 @@ totals_{name} AS (
             + CASE WHEN count(*) FILTER (WHERE named IS NULL) OVER () > 0 THEN {rest!r}::DOUBLE ELSE 0 END) AS share
     FROM totals_{name}
 )""")
-    last = "cells_0"
-    steps.append("cells_0 AS (SELECT *, weight AS mixed FROM cells)")
-    for number in range(mixing.ROUNDS):
-        for name in MIX_TARGETS:
-            following = f"after_{number}_{name}"
-            steps.append(f"""{following} AS (
-    SELECT c.* REPLACE (c.mixed * s.share / sum(c.mixed) OVER (PARTITION BY c.{name}) AS mixed)
-    FROM {last} c JOIN shares_{name} s USING ({name})
+    names = list(MIX_TARGETS)
+    inner = f"(SELECT * FROM raked WHERE off > {mixing.TOLERANCE} AND off < {mixing.STALLED} * before)"
+    for name in names:
+        inner = f"""(
+    SELECT * REPLACE (mixed * share_{name} / total AS mixed, greatest(far, max(abs(total / whole - share_{name})) OVER ()) AS far)
+    FROM (SELECT * EXCLUDE (total, whole), sum(mixed) OVER (PARTITION BY {name}) AS total, sum(mixed) OVER () AS whole FROM {inner})
+)"""
+    joins = " ".join(f"JOIN (SELECT {name}, share AS share_{name} FROM shares_{name}) USING ({name})" for name in names)
+    shares = ", ".join(f"share_{name}" for name in names)
+    fields = f"source, lang, topic, weight, {shares}, mixed"
+    steps.append(f"""
+raked AS (
+    SELECT source, lang, topic, weight, {shares}, weight AS mixed,
+        0 AS round, 2.0::DOUBLE AS off, 4.0::DOUBLE AS before, 0.0::DOUBLE AS far, 0.0::DOUBLE AS total, 0.0::DOUBLE AS whole
+    FROM cells {joins}
+    UNION ALL
+    SELECT {fields}, round + 1, far, off, 0.0, 0.0, 0.0 FROM {inner}
+), last AS (
+    SELECT * FROM raked WHERE round = (SELECT max(round) FROM raked)
 )""")
-            last = following
     return f"""
-WITH counted AS (
+WITH RECURSIVE counted AS (
     SELECT doc_id, coalesce(source, '?') AS source, coalesce(lang, '?') AS lang, text,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
     FROM documents
@@ -223,14 +234,16 @@ WITH counted AS (
     SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS weight FROM rows GROUP BY ALL HAVING sum(n_tokens) > 0
 ), {",".join(steps)},
 per_cell AS (
-    SELECT source, lang, topic, round({MIX_BUDGET} * (SELECT sum(weight) FROM cells) * mixed / weight, {mixing.DIGITS}) AS expected
-    FROM {last}
+    SELECT source, lang, topic, round({MIX_BUDGET} * (SELECT sum(weight) FROM cells) * mixed / weight, {mixing.DIGITS}) AS expected,
+        round(off, {mixing.OFF_DIGITS}) AS off_target
+    FROM last
 ), joined AS (
-    SELECT r.*, CASE WHEN n_tokens > 0 THEN coalesce(c.expected, 0) ELSE 0 END AS expected
+    SELECT r.*, CASE WHEN n_tokens > 0 THEN coalesce(c.expected, 0) ELSE 0 END AS expected, off_target
     FROM rows r LEFT JOIN per_cell c USING (source, lang, topic)
 )
 SELECT doc_id, n_tokens, source, lang, topic, expected,
-    (floor(expected) + CASE WHEN draw < expected - floor(expected) THEN 1 ELSE 0 END)::BIGINT AS copies
+    (floor(expected) + CASE WHEN draw < expected - floor(expected) THEN 1 ELSE 0 END)::BIGINT AS copies,
+    off_target
 FROM joined"""
 
 

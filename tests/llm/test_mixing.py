@@ -22,7 +22,8 @@ def test_query_equals_sql_and_hits_the_targets(spark):
     # What is expected has the target shares; what is drawn is near.
     for weight, near in (("expected", 1e-5), ("copies", 0.03)):
         rows = found.groupBy("source", "lang", "topic").agg(F.sum(F.col("n_tokens") * F.col(weight)).alias("tokens")).collect()
-        assert shares(rows, "lang") == pytest.approx(TARGETS["lang"], abs=near)
+        # No other language has tokens here, so the four make up the whole.
+        assert shares(rows, "lang") == pytest.approx({"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, abs=near)
         assert shares(rows, "topic") == pytest.approx(TARGETS["topic"], abs=near)
         assert shares(rows, "source")["src0"] == pytest.approx(0.1, abs=near)
     tokens, mixed = found.agg(F.sum("n_tokens"), F.sum(F.col("n_tokens") * F.col("expected"))).first()
@@ -42,3 +43,25 @@ def test_dirt_and_both_joins(spark, dirty, monkeypatch):
         assert sum(r.n_tokens * r.expected for r in first if r.lang == lang) == pytest.approx(total, rel=1e-6)
     assert mixing.mix(dirty([]), TARGETS).count() == 0
     assert mixing.mix(dirty([None, ""]), TARGETS).count() == 2
+
+
+def test_targets_that_cannot_be_met_are_reported(spark, dirty, monkeypatch):
+    """Each source has one language, so both marginals cannot hold; four of them can."""
+    rows = dirty(["a b c d"] * 400).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("de"))
+    rows = rows.withColumn("source", F.when(F.col("lang") == "en", "one").otherwise("two"))
+    against = {"source": {"one": 0.9, "two": 0.1}, "lang": {"en": 0.5, "de": 0.5}}
+    agreed = {"source": {"one": 0.9, "two": 0.1}, "lang": {"en": 0.9, "de": 0.1}}
+    for few in (1000, 1):
+        monkeypatch.setattr(mixing, "FEW_VALUES", few)
+        assert {r.off_target for r in mixing.mix(rows, against).collect()} == {0.4}
+        assert {r.off_target for r in mixing.mix(rows, agreed).collect()} == {0.0}
+
+
+def test_other_languages_and_none_stay(spark, dirty):
+    langs = F.element_at(F.array(F.lit("en"), F.lit("de"), F.lit("fr"), F.lit("es"), F.lit("pl"), F.lit(None)), (F.col("doc_id") % 6 + 1).cast("int"))
+    rows = dirty(["a b c d"] * 600).withColumn("lang", langs)
+    found = mixing.mix(rows, {"lang": TARGETS["lang"]}, 2.0).collect()
+    total = sum(r.n_tokens * r.expected for r in found)
+    for lang, share in (*TARGETS["lang"].items(), ("pl", 0.025), ("?", 0.025)):
+        assert sum(r.n_tokens * r.expected for r in found if r.lang == lang) == pytest.approx(share * total, abs=1e-4 * total)
+    assert {r.off_target for r in found} == {0.0}
