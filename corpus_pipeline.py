@@ -53,7 +53,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts, also encoded ones, replaced by a mask."""
+    """Secrets in the texts, also encoded ones, and what could not be scanned, replaced by a mask."""
     return secrets.find_secrets(docs).select(*_columns(docs, {"text": F.col("masked")}))
 
 
