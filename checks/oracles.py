@@ -889,3 +889,7 @@ ORACLES["income_sample"] = query(
     Customer_ID, snapshot_date LIMIT 100""",
     PAIR_DOUBLES, ["snapshot_date"],
 )
+
+# Stored in buckets or not, the joins hold the same rows.
+ORACLES["bucketed_features"] = ORACLES["joined_features"]
+ORACLES["bucketed_labelled"] = ORACLES["labelled_features"]

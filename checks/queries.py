@@ -26,11 +26,13 @@ from creditmart.operators import (
 from creditmart.plans import backfill, click_history, gold_reports, prepare, raw_checks
 from creditmart.session import scratch_path
 from creditmart.sources import raw, spine, tables
+from creditmart.sources.buckets import Buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
 ALL_MONTHS = spine.month_starts("2024-01-01", "2024-10-01")
+BUCKETS = 8
 # As many cutoffs as two years of months, on the one month of activity there is.
 DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 
@@ -103,6 +105,30 @@ def joined(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bucketed_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The join of tables stored in buckets by customer, each written by two runs."""
+    cut, found = Buckets("Customer_ID", BUCKETS), []
+    for name, table in {
+        "attributes": gold_attributes, "financials": gold_financials, "clicks": gold_clicks,
+    }.items():
+        rows, path = table(spark, sf), scratch_path(spark, name)
+        early = F.col("snapshot_date") < "2024-03-01"
+        tables.write_snapshots(rows.filter(early), path, buckets=cut)
+        tables.write_snapshots(rows.filter(~early), path, buckets=cut)
+        found.append(tables.read_snapshots(spark, path))
+    return assemble.features(*found)
+
+
+def bucketed_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels and feature rows stored in buckets by customer, joined where they lie."""
+    cut, found = Buckets("Customer_ID", BUCKETS), []
+    for name, rows in {"labels": labels(spark, sf), "features": view(spark, sf, "feature_rows")}.items():
+        path = scratch_path(spark, name)
+        tables.write_snapshots(rows, path, buckets=cut)
+        found.append(tables.read_snapshots(spark, path))
+    return assemble.labelled_features(*found)
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.labelled_features(labels(spark, sf), view(spark, sf, "feature_rows"))
 
@@ -439,6 +465,8 @@ QUERIES: dict[str, Query] = {
     "click_history_monthly": gold_clicks,
     "key_guard_counts": key_guard,
     "joined_features": joined,
+    "bucketed_features": bucketed_features,
+    "bucketed_labelled": bucketed_labelled,
     "backfill_features": backfill_features,
     "backfill_labels": backfill_labels,
     "backfill_second_run": backfill_second_run,

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditmart.operators import assemble, clean, features, loans
 from creditmart.plans import click_history, vocabulary
-from creditmart.sources import raw, tables
+from creditmart.sources import log, raw, tables
+from creditmart.sources.buckets import Buckets, count_for
 from creditmart.sources.spine import as_dates
 
 DATASETS = ["lms", "fe_attr", "fe_fin", "fe_click"]
@@ -71,6 +72,20 @@ def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date])
     _together(spark, [partial(write, dataset) for dataset in DATASETS])
 
 
+def _bucket_count(spark: SparkSession, layout: Layout, spine: Iterable[str | date]) -> int:
+    """As many as the joined table has; at first by the stored bytes of the silver snapshots to be joined."""
+    before = log.latest(spark, layout.gold("joined_features"))
+    if before is not None and before.buckets:
+        return list(before.buckets.values())[-1][1]
+    asked, stored = {str(day) for day in spine}, 0
+    for dataset in ("fe_attr", "fe_fin"):
+        path = layout.silver(dataset)
+        state, folder = log.latest(spark, path), log.Folder(spark, path)
+        if state is not None:
+            stored += sum(folder.stored_bytes(place) for day, place in state.folders.items() if place and day in asked)
+    return count_for(stored)
+
+
 def run_gold(
     spark: SparkSession,
     layout: Layout,
@@ -78,6 +93,7 @@ def run_gold(
     loan_types: Sequence[str] | None = None,
     dpd: int = 30,
     mob: int = 6,
+    buckets: int | None = None,
 ) -> None:
     """Labels, the three feature tables, and their join, for the given snapshots.
 
@@ -85,17 +101,21 @@ def run_gold(
     stay as they are and a monthly run joins one month. It also reads one month:
     click totals and vocabulary are kept from run to run and take in what was written since.
 
+    All tables are stored in ``buckets`` by customer, by default as many as earlier
+    runs had, so that guard and joins find each customer's rows in one place.
+
     Without ``loan_types`` the vocabulary is learnt from all silver snapshots,
     later ones included, so that every snapshot has the same columns; in
     snapshots older than a loan type its count reads as zero.
     """
     spine = as_dates(spine)
+    cut = Buckets("Customer_ID", buckets or _bucket_count(spark, layout, spine))
 
     def silver(dataset: str) -> DataFrame:
         return tables.read_snapshots(spark, layout.silver(dataset), spine)
 
     def write(name: str, table: Callable[[], DataFrame]) -> None:
-        tables.write_snapshots(table(), layout.gold(name), dates=spine)
+        tables.write_snapshots(table(), layout.gold(name), dates=spine, buckets=cut)
 
     def financials() -> DataFrame:
         known = loan_types
@@ -116,7 +136,7 @@ def run_gold(
     joined = assemble.features(*[
         tables.read_snapshots(spark, layout.gold(name), spine) for name in ("fe_attr", "fe_fin", "fe_click")
     ])
-    tables.write_snapshots(joined, layout.gold("joined_features"), dates=spine)
+    tables.write_snapshots(joined, layout.gold("joined_features"), dates=spine, buckets=cut)
 
 
 def backfill(

@@ -11,7 +11,7 @@ from creditmart.functions.quantiles import exact_quantiles
 from creditmart.operators import profile
 from creditmart.operators.assemble import assert_unique_keys
 
-# Ratios outside these bounds are flagged; nothing is removed for them.
+# From twelve salaries to the annual income: below and above these a pair counts as extreme.
 RATIO_LOW, RATIO_HIGH = 0.5, 1.5
 
 

@@ -20,6 +20,8 @@ def get_session(app: str = "creditmart", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        # Tables in buckets by customer are joined by customer and date where they lie.
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.ui.enabled", "false")
         # Files of checkpoints go when their last reference does.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from creditmart.functions.columns import quoted
+from creditmart.sources import buckets as bucketing
 from creditmart.sources import log
 from creditmart.sources.spine import as_dates
 
@@ -30,6 +31,7 @@ def write_snapshots(
     dates: Iterable[str | date] = (),
     values: Iterable[str] = (),
     note: dict | None = None,
+    buckets: bucketing.Buckets | None = None,
 ) -> None:
     """Replace the snapshots present in ``df``, all of them at once; every other snapshot stays.
 
@@ -42,6 +44,9 @@ def write_snapshots(
     can be read and a second run leaves nothing of the first behind. Columns are
     matched by name; a column of another type than before is refused unless no older
     snapshot stays. ``note`` is kept in the log with the run.
+
+    With ``buckets`` every snapshot is cut by a column (Parquet only) in place of
+    the hint, and joins by it of tables with equally many buckets move no stored rows.
     """
     spark = df.sparkSession
     asked = {str(value) for value in [*as_dates(dates), *values]}
@@ -60,11 +65,14 @@ def write_snapshots(
         # What is known to clash is refused before anything is written.
         ordered = columns(before, asked).names
         rows = df.select(*[quoted(name) for name in ordered if name in df.columns])
-    (
-        rows.hint("rebalance", F.col(by))
-        .write.partitionBy(by).options(**(CSV_OPTIONS if fmt == "csv" else {}))
-        .format(fmt).save(f"{path}/{log.RUN_COLUMN}={run}")
-    )
+    if buckets is not None and fmt == "parquet":
+        bucketing.write(rows, path, run, by, buckets)
+    else:
+        (
+            rows.hint("rebalance", F.col(by))
+            .write.partitionBy(by).options(**(CSV_OPTIONS if fmt == "csv" else {}))
+            .format(fmt).save(f"{path}/{log.RUN_COLUMN}={run}")
+        )
     written = log.staged(spark, path, run)
 
     def change(before: log.State | None) -> log.State:
@@ -73,7 +81,10 @@ def write_snapshots(
         notes = dict(before.notes) if before else {}
         if note is not None:
             notes[run] = note
-        return log.State(0, by, fmt, columns(before, set(folders)), {**kept, **folders}, notes)
+        cut = dict(before.buckets) if before else {}
+        if buckets is not None and fmt == "parquet":
+            cut[run] = (buckets.column, buckets.count)
+        return log.State(0, by, fmt, columns(before, set(folders)), {**kept, **folders}, notes, cut)
 
     log.commit(spark, path, change)
 
@@ -105,15 +116,19 @@ def read_snapshots(
 
     The columns are those of all snapshots, also of those not read; one that is
     younger than a snapshot is null there, or what it was declared to be by
-    :func:`absent_as`. A table without a log is read as it lies.
+    :func:`absent_as`. Snapshots cut into the same buckets are scanned by them, also
+    if several runs wrote them. A table without a log is read as it lies.
     """
     asked = None if dates is None and values is None else {str(v) for v in [*as_dates(dates or ()), *(values or ())]}
     state = log.latest(spark, path)
     if state is None:
         table = spark.read.parquet(path)
         return table if asked is None else table.filter(F.col(by).cast("string").isin(sorted(asked)))
-    folders = [place for value, place in sorted(state.folders.items()) if place and (asked is None or value in asked)]
-    return read_folders(spark, path, state, folders)
+    folders = {value: place for value, place in state.folders.items() if place and (asked is None or value in asked)}
+    shared = bucketing.readable(state, folders)
+    if shared is not None:
+        return _filled(bucketing.read(spark, path, state, folders, shared))
+    return read_folders(spark, path, state, [place for _, place in sorted(folders.items())])
 
 
 def read_folders(spark: SparkSession, path: str, state: log.State, folders: Sequence[str]) -> DataFrame:
