@@ -893,3 +893,16 @@ ORACLES["income_sample"] = query(
 # Stored in buckets or not, the joins hold the same rows.
 ORACLES["bucketed_features"] = ORACLES["joined_features"]
 ORACLES["bucketed_labelled"] = ORACLES["labelled_features"]
+
+# Merged from states or computed over all rows, the reports are the same.
+ORACLES["profile_missing"] = ORACLES["missing_percent"]
+ORACLES["profile_flags"] = ORACLES["financial_flag_rates"]
+ORACLES["profile_status_counts"] = ORACLES["status_value_counts"]
+ORACLES["profile_described"] = query(
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", avg({c}) AS mean, stddev_samp({c}) AS std,
+        CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max" FROM financials_gold"""
+        for c in ("EMI_to_Salary_Ratio", "Debt_to_Income", "Disposable_Income", "Credit_History_Months")
+    ),
+    ["mean", "std", "min", "max"],
+)

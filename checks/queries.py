@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +23,14 @@ from creditmart.operators import (
     quality,
     split,
 )
-from creditmart.plans import backfill, click_history, gold_reports, prepare, raw_checks
+from creditmart.plans import (
+    backfill,
+    click_history,
+    gold_reports,
+    prepare,
+    profiles,
+    raw_checks,
+)
 from creditmart.session import scratch_path
 from creditmart.sources import raw, spine, tables
 from creditmart.sources.buckets import Buckets
@@ -33,6 +40,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 MONTHS = spine.month_starts("2024-01-01", "2024-04-01")
 ALL_MONTHS = spine.month_starts("2024-01-01", "2024-10-01")
 BUCKETS = 8
+RATIOS = ["EMI_to_Salary_Ratio", "Debt_to_Income", "Disposable_Income", "Credit_History_Months"]
+FLAGS = ["loan_count_suspicious", "loan_types_missing", "interest_rate_invalid", "annual_income_invalid"]
 # As many cutoffs as two years of months, on the one month of activity there is.
 DAYS = [f"2024-01-{day:02d}" for day in range(1, 24)] + ["2024-02-05"]
 
@@ -354,9 +363,48 @@ def missing_percent(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+def stored_states(
+    spark: SparkSession, table: DataFrame, categories: Sequence[str] = ()
+) -> DataFrame:
+    """States of a table that grows by a second run; each run scans what it wrote."""
+    rows, states = scratch_path(spark, "rows"), scratch_path(spark, "states")
+    early = F.col("snapshot_date") < "2024-03-01"
+    for part in (early, F.coalesce(~early, F.lit(True))):
+        tables.write_snapshots(table.filter(part), rows)
+        profiles.update(spark, rows, states, categories=categories)
+    return profiles.read(spark, states)
+
+
+def profile_missing(spark: SparkSession, sf: str) -> DataFrame:
+    named = {
+        "attributes": gold_attributes(spark, sf),
+        "financials": gold_financials(spark, sf),
+        "joined": joined(spark, sf),
+    }
+    return reduce(DataFrame.unionByName, [
+        profiles.missing_percent(stored_states(spark, df)).select(F.lit(name).alias("table"), "*")
+        for name, df in named.items()
+    ])
+
+
+def profile_described(spark: SparkSession, sf: str) -> DataFrame:
+    """The measures of the ratios that states hold exactly."""
+    described = profiles.describe(stored_states(spark, gold_financials(spark, sf)))
+    return described.where(F.col("column").isin(RATIOS)).select("column", "count", "mean", "std", "min", "max")
+
+
+def profile_flags(spark: SparkSession, sf: str) -> DataFrame:
+    rates = profiles.flag_percentages(stored_states(spark, gold_financials(spark, sf)))
+    return rates.where(F.col("flag").isin(FLAGS))
+
+
+def profile_status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    found = stored_states(spark, gold_financials(spark, sf), ["loan_count_status"])
+    return profiles.value_counts(found, "loan_count_status")
+
+
 def financial_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["EMI_to_Salary_Ratio", "Debt_to_Income", "Disposable_Income", "Credit_History_Months"]
-    return profile.describe_numbers(gold_financials(spark, sf), columns, [0.01, 0.5, 0.99])
+    return profile.describe_numbers(gold_financials(spark, sf), RATIOS, [0.01, 0.5, 0.99])
 
 
 def grouped_quantiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -525,6 +573,10 @@ QUERIES: dict[str, Query] = {
     # gold reports
     "table_overview": table_overview,
     "missing_percent": missing_percent,
+    "profile_missing": profile_missing,
+    "profile_described": profile_described,
+    "profile_flags": profile_flags,
+    "profile_status_counts": profile_status_counts,
     "income_gap_summary": lambda s, d: gold_reports.income_gap_summary(gold_financials(s, d)),
     "income_percentiles": lambda s, d: profile.describe_numbers(
         pairs(s, d), ["Annual_Income", "Monthly_Inhand_Salary", "ratio"], [0.01, 0.05, 0.5, 0.95, 0.99]
