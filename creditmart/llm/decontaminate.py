@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,10 +16,13 @@ from creditmart.llm.fm_index import FmIndex
 from creditmart.llm.rows import (
     ALNUM, Words, extend, list_array, merged, packed, pieces, runs,
 )
+from creditmart.session import scratch_path
 
 WINDOW = 10
-# Benchmark texts searched for in one pass; more make further passes.
-BLOCK_BYTES = 32 << 20
+# Windows, as hashes, with their items that are searched for in one pass; more make further passes.
+BLOCK_BYTES = 64 << 20
+# Windows in one batch on their way to Spark.
+WINDOW_ROWS = 1 << 16
 # Training text under one index.
 SHARD_BYTES = 8 << 20
 FOUND = "n_words bigint, spans array<struct<start: int, end: int>>, items array<string>"
@@ -26,27 +30,60 @@ FOUND = "n_words bigint, spans array<struct<start: int, end: int>>, items array<
 
 @dataclass(frozen=True)
 class Phrases:
-    """The distinct windows of some items as rows of symbols, and the items of each."""
+    """Distinct windows as rows of symbols; those of row i have the items ``owners[bounds[i]:bounds[i + 1]]``."""
 
     vocabulary: np.ndarray
     windows: np.ndarray
-    items: list[list[str]]
+    names: list[str]
+    owners: np.ndarray
+    bounds: np.ndarray
     shortest: int
 
+    def items(self, window: int) -> list[str]:
+        return [self.names[owner] for owner in self.owners[self.bounds[window] : self.bounds[window + 1]]]
 
-def phrases_of(items: list[tuple], window: int = WINDOW) -> Phrases:
-    """Windows of consecutive words; an item of fewer words is one window."""
-    texts = pa.array([text for _, text in items], pa.string())
-    words = Words(texts, ALNUM, lower=True)
-    vocabulary, symbols = np.unique(words.hashes, return_inverse=True)
-    of: dict[tuple, set[str]] = {}
-    for (item, _), low, high in zip(items, words.bounds[:-1], words.bounds[1:], strict=True):
-        for start in range(low, max(low + 1, high - window + 1)) if high > low else ():
-            of.setdefault(tuple(symbols[start : min(high, start + window)] + 1), set()).add(str(item))
-    rows = np.full((len(of), window), -1, np.int64)
-    for row, phrase in zip(rows, of, strict=True):
-        row[window - len(phrase) :] = phrase
-    return Phrases(vocabulary, rows, [sorted(x) for x in of.values()], min(map(len, of), default=0))
+
+def windows_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Distinct pairs of a window of consecutive words, as their hashes, and an item that holds it.
+
+    An item of fewer words, but not none, is one window. ``items`` has ``item`` and ``text``.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for low, high in pieces(batch.column(1)):
+                words = Words(batch.column(1).slice(low, high - low), ALNUM, lower=True)
+                counts = words.counts
+                each = np.where(counts > 0, np.maximum(1, counts - window + 1), 0)
+                text = np.repeat(np.arange(len(counts)), each)
+                start = words.bounds[text] + np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
+                for begin in range(0, len(text), WINDOW_ROWS):
+                    some = slice(begin, begin + WINDOW_ROWS)
+                    size = np.minimum(counts[text[some]], window)
+                    ends = np.cumsum(size)
+                    index = np.repeat(start[some] - (ends - size), size) + np.arange(ends[-1])
+                    binary = pa.BinaryArray.from_buffers(pa.binary(), len(size), [
+                        None, pa.py_buffer(np.r_[0, ends * 8].astype(np.int32)), pa.py_buffer(words.hashes[index])
+                    ])
+                    owner = batch.column(0).take(pa.array(low + text[some]))
+                    yield pa.RecordBatch.from_arrays([binary, owner], ["window", "item"])
+
+    return items.mapInArrow(run, "window binary, item string").distinct()
+
+
+def phrases_of(pairs: pa.Table, window: int = WINDOW) -> Phrases:
+    """A block of windows and their items, ready to be searched for."""
+    found = pa.chunked_array(pairs["window"], pa.binary()).combine_chunks().dictionary_encode()
+    names = pa.chunked_array(pairs["item"], pa.string()).combine_chunks().dictionary_encode()
+    codes = found.indices.to_numpy()
+    owners = names.indices.to_numpy()[np.argsort(codes, kind="stable")]
+    hashes = np.frombuffer(b"".join(found.dictionary.to_pylist()), np.uint64)
+    size = pc.binary_length(found.dictionary).to_numpy().astype(np.int64) // 8
+    vocabulary, symbols = np.unique(hashes, return_inverse=True)
+    rows = np.full((len(size), window), -1, np.int32)
+    rows[np.arange(window) >= window - size[:, None]] = symbols + 1
+    bounds = np.r_[0, np.cumsum(np.bincount(codes, minlength=len(size)))]
+    return Phrases(vocabulary, rows, names.dictionary.to_pylist(), owners, bounds, int(size.min(initial=window)))
 
 
 def occurrences(words: list[Words], phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +138,7 @@ def _search(phrases: Phrases):
         of: dict[int, set[str]] = {}
         pairs = np.unique(np.stack([np.searchsorted(bounds, at, "right") - 1, window]), axis=1)
         for row, found in pairs.T.tolist():
-            of.setdefault(row, set()).update(phrases.items[found])
+            of.setdefault(row, set()).update(phrases.items(found))
         return [
             pa.array(counts.astype(np.int64)),
             list_array(spans, np.bincount(text, minlength=len(counts))),
@@ -122,24 +159,29 @@ def find_benchmark(
     """Where benchmark windows occur: ``row``, ``n_words``, ``spans``, ``items``.
 
     ``spans`` are the merged ranges of hit words, ``items`` the distinct item
-    ids as sorted strings. No shuffle: every task indexes shards of its own
-    texts and searches for the phrases it was sent. The benchmark's size is
-    taken first; beyond ``BLOCK_BYTES`` it goes in several blocks, one pass each.
+    ids as sorted strings. The texts are not shuffled: every task indexes shards of its own
+    texts and searches for the phrases it was sent. The distinct windows are
+    found by a Spark job and stored; beyond ``BLOCK_BYTES`` of them they go in
+    several blocks, one pass each. A pair of a window and an item goes to a block by its hash, so
+    that blocks are even although many items share a window or one item is very long.
 
     Null and empty texts have no words; null items are ignored; items with equal
     texts are all reported; an empty benchmark finds nothing; repeated rows are
     judged each.
     """
     spark = documents.sparkSession
-    items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).where(
+    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text")).where(
         "item is not null and text is not null"
     )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    path = scratch_path(spark, "benchmark_windows")
+    windows_of(items, window).write.parquet(path)
+    stored = spark.read.parquet(path)
+    total = stored.agg(F.sum(F.octet_length("window") + F.octet_length("item"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
     result = None
     for block in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast(phrases_of([tuple(x) for x in chosen.collect()], window))
+        chosen = stored.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == block)
+        sent = spark.sparkContext.broadcast(phrases_of(chosen.toArrow(), window))
         if result is None:
             result = _searched(packed(documents), text, sent)
         else:

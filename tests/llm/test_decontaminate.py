@@ -31,8 +31,10 @@ def test_small_words_dirt_and_blocks(spark, dirty, monkeypatch):
     items = [(None, "a b"), (1, None), (2, "a"), (3, "..."), (4, " ".join("abab")), (5, "a b é c9 a a b b é a a b"), (6, texts[20]), (7, texts[20])]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     want = contamination(list(enumerate(texts)), [i for i in items if None not in i])
-    for limit in (decontaminate.BLOCK_BYTES, 30):
+    # The second in several blocks, windows of equal texts among them, and in small batches.
+    for limit, rows in ((decontaminate.BLOCK_BYTES, decontaminate.WINDOW_ROWS), (2000, 7)):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", limit)
+        monkeypatch.setattr(decontaminate, "WINDOW_ROWS", rows)
         found = decontaminate.judged(decontaminate.find_benchmark(dirty(texts), benchmark))
         assert results(found.select("row.doc_id", *found.columns[1:])) == want
     assert decontaminate.find_benchmark(dirty([]), benchmark).count() == 0
