@@ -167,6 +167,13 @@ def parameters(spark: SparkSession, sf: str) -> DataFrame:
     return preprocess.parameters_frame(spark, fitted(spark, sf)[1])
 
 
+def stored_view(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A view written out as a table, for queries that read it more than once."""
+    path = scratch_path(spark, name)
+    tables.write_table(view(spark, sf, name), path)
+    return spark.read.parquet(path)
+
+
 # -- sources and sinks ----------------------------------------------------
 
 
@@ -569,7 +576,7 @@ QUERIES: dict[str, Query] = {
     "describe_financials": lambda s, d: profile.describe_all(
         raw_financials(s, d).withColumn("salary", raw_checks.number("Monthly_Inhand_Salary"))
     ),
-    "describe_loans": lambda s, d: profile.describe_all(view(s, d, "loans")),
+    "describe_loans": lambda s, d: profile.describe_all(stored_view(s, d, "loans")),
     # gold reports
     "table_overview": table_overview,
     "missing_percent": missing_percent,

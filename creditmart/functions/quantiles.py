@@ -5,6 +5,8 @@ That is the fastest way for ordinary groups and is what they get here. A group
 above ``one_task_rows`` values takes two passes, whatever its values are: the
 first builds a mergeable sketch per group and column, which tells between which values
 a rank must lie; the second counts the values below and, by value, those in between.
+Without groups the first pass also counts the values, and in the second a value outside
+all ranges becomes one for all of its gap before it is counted.
 The counts are exact, so a sketch that was wrong is noticed and costs a pass, not a
 result. Ranges that would still hold more than ``gather_rows`` values are
 sketched once more. No pass shuffles values outside the ranges.
@@ -12,9 +14,10 @@ sketched once more. No pass shuffles values outside the ranges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from creditmart.functions.columns import quoted, usable
@@ -61,13 +64,15 @@ def exact_quantiles(
     one_task_rows: int = ONE_TASK_ROWS,
     gather_rows: int = GATHER_ROWS,
     total: int | None = None,
+    outlines: Sequence[Row] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles, nulls and NaN left out.
 
     Returns the keys and, per column, ``array<double>`` in the order of
     ``probabilities`` (null for a group without values). Without keys the
     result is one row; a caller that knows how many values the columns hold in
-    ``total`` saves the pass that counts them.
+    ``total`` saves the pass that counts them, if they are few. One that has an :func:`outline` of
+    every column saves the first pass.
     """
     types, keys = dict(df.dtypes), list(keys)
     values = df.select(
@@ -79,11 +84,16 @@ def exact_quantiles(
     counts = [F.count(quoted(c)) for c in columns]
 
     if not keys:
-        if total is None:
-            total = sum(values.agg(*counts).first())
+        if outlines is None and (total is None or total > one_task_rows):
+            found = _scan(values, columns, keys).groupBy("_c").agg(outline(F.col("_v")).alias("outline")).collect()
+            outlined = {row["_c"]: row["outline"] for row in found}
+        else:
+            outlined = dict(enumerate(outlines or ()))
+        if outlined or total is None:
+            total = sum(row["count"] for row in outlined.values())
         if total <= one_task_rows:
             return values.agg(*in_one_buffer)
-        return _bracketed(values, columns, probabilities, keys, gather_rows)
+        return _bracketed(values, columns, probabilities, keys, gather_rows, outlined)
 
     # At most rows / one_task_rows groups are large, whatever the number of groups.
     ensure_checkpoint_dir(df.sparkSession)
@@ -99,6 +109,15 @@ def exact_quantiles(
     ))
 
 
+def outline(value: Column) -> Column:
+    """Aggregate of a column of doubles without NaN: count, least, most, and values at equal steps of rank."""
+    found = F.count(value)
+    return F.struct(
+        found.alias("count"), F.min(value).alias("least"), F.max(value).alias("most"),
+        F.when(found > 0, _grid(value)).alias("grid"),
+    )
+
+
 def _matched(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, *conditions: Column
 ) -> DataFrame:
@@ -129,7 +148,15 @@ def _grid(value: Column | str) -> Column:
     return F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(value, SKETCH), steps)
 
 
-def _bracketed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
+def _by_gap(value: Column, ranges: Sequence[tuple[float, float]]) -> Column:
+    """Values inside a range as they are; others as the largest below the next range, null above all."""
+    chosen = F
+    for low, high in sorted(ranges):
+        chosen = chosen.when(value < F.lit(low), F.lit(math.nextafter(low, -math.inf))).when(value <= F.lit(high), value)
+    return chosen
+
+
+def _bracketed(values, columns, probabilities, keys, gather_rows, outlines=None) -> DataFrame:
     """The ranges are rows (keys, column number, target number); see the module text."""
     spark = values.sparkSession
     target = [*keys, "_c", "_t"]
@@ -160,10 +187,17 @@ def _bracketed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
         F.struct(F.lit(i).alias("_t"), ((F.col("_n") - 1) * F.lit(float(p))).alias("_position"))
         for i, p in enumerate(probabilities)
     ])
+    if outlines is None:
+        outlined = _scan(values, columns, keys).groupBy(*keys, "_c").agg(
+            F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), _grid("_v").alias("_grid")
+        )
+    else:
+        outlined = spark.createDataFrame(
+            [(i, row["count"], row["least"], row["most"], row["grid"]) for i, row in outlines.items() if row["count"]],
+            "_c int, _n bigint, _least double, _most double, _grid array<double>",
+        )
     state = pin(narrower(
-        _scan(values, columns, keys).groupBy(*keys, "_c")
-        .agg(F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"), _grid("_v").alias("_grid"))
-        .select("*", F.inline(ranks))
+        outlined.select("*", F.inline(ranks))
         # Before: values below the range. Below and above: the two wanted neighbours.
         .withColumns({
             "_lo": F.col("_least"), "_hi": F.col("_most"), "_before": F.lit(0).cast("long"), "_inside": F.col("_n"),
@@ -178,6 +212,20 @@ def _bracketed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
             _scan(values, columns, keys), _sized(state, rows), [*keys, "_c"], "inner", F.col("_v") <= F.col("_hi")
         )
 
+    def equal_values(state: DataFrame) -> DataFrame:
+        """The same with the number of ``_rows``; without groups values are counted before they meet the ranges."""
+        if keys:
+            return upto_the_end(state).withColumn("_rows", F.lit(1))
+        ranges: dict[int, list[tuple[float, float]]] = {}
+        for row in state.collect():
+            ranges.setdefault(row["_c"], []).append((row["_lo"], row["_hi"]))
+        needed = [columns[i] for i in sorted(ranges)]
+        cut = values.select(*[_by_gap(quoted(columns[i]), ranges[i]).alias(columns[i]) for i in sorted(ranges)])
+        numbers = F.array(*[F.lit(i) for i in sorted(ranges)])
+        counts = _scan(cut, needed, keys).groupBy("_c", "_v").agg(F.count("*").alias("_rows"))
+        counts = counts.withColumn("_c", F.get(numbers, F.col("_c")))
+        return _matched(counts, _sized(state, rows), ["_c"], "inner", F.col("_v") <= F.col("_hi"))
+
     inside = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
     for _ in range(MOST_SKETCHES):
         wide = state.filter(F.col("_expected") > gather_rows)
@@ -203,8 +251,8 @@ def _bracketed(values, columns, probabilities, keys, gather_rows) -> DataFrame:
     settled = None
     while settled is None or not state.isEmpty():
         # Values below a range become one; equal values are counted before the shuffle.
-        counted = upto_the_end(state).groupBy(*target, inside.alias("_value")).agg(
-            F.count("*").alias("_rows"), *[F.first(c).alias(c) for c in fixed]
+        counted = equal_values(state).groupBy(*target, inside.alias("_value")).agg(
+            F.sum("_rows").alias("_rows"), *[F.first(c).alias(c) for c in fixed]
         )
         upto = F.sum("_rows").over(Window.partitionBy(*target).orderBy("_value"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.functions.columns import quoted, usable
-from creditmart.functions.quantiles import exact_quantiles, quantiles
+from creditmart.functions.quantiles import exact_quantiles, outline, quantiles
 
 
 # Hex digits of a hash that name its bucket in a sample: 65,536 buckets.
@@ -127,17 +127,27 @@ def describe_numbers(
     """
     types = dict(df.dtypes)
     values = {c: usable(quoted(c), types[c]).cast("double") for c in columns}
-    moments = df.agg(*[
+    moments = [
         F.struct(
             F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
             F.min(v).alias("min"), F.max(v).alias("max"),
         ).alias(f"_{i}")
         for i, v in enumerate(values.values())
-    ])
-    found = quantiles(df, columns, probabilities, accuracy=accuracy)
+    ]
+    if accuracy is None:
+        # One pass gives the moments and what the quantiles need first.
+        outlines = [outline(v).alias(f"_{i}_outline") for i, v in enumerate(values.values())]
+        both = df.agg(*moments, *outlines).first()
+        described = df.sparkSession.createDataFrame([both[:len(moments)]], ", ".join(
+            f"_{i} struct<count: bigint, mean: double, std: double, min: double, max: double>" for i in range(len(moments))
+        ))
+        found = exact_quantiles(df, columns, probabilities, outlines=both[len(moments):])
+    else:
+        described = df.agg(*moments)
+        found = quantiles(df, columns, probabilities, accuracy=accuracy)
     names = [f"p{round(p * 100):02d}" for p in probabilities]
     return (
-        _stacked(moments, columns)
+        _stacked(described, columns)
         .join(_stacked(found, columns, positional=False), "column", "left")
         .select(
             "column", "value.*",

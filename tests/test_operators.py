@@ -216,6 +216,22 @@ def test_two_passes_whatever_the_values(spark, monkeypatch, kind):
         assert texts[0] == texts[1]
 
 
+def test_a_description_reads_its_rows_twice(spark):
+    """The pass for the moments also outlines the values; before, a description took four passes."""
+    read, n = spark.sparkContext.accumulator(0), 30_000
+
+    def row(i):
+        read.add(1)
+        return [float((i * 7919 + c) % (10 + i % 3 * 1000 * c)) for c in range(40)]
+
+    columns = [f"c{c}" for c in range(40)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(n), 4).map(row), ", ".join(f"{c} double" for c in columns))
+    found = {r.column: r for r in profile.describe_numbers(df, columns).collect()}
+    assert read.value == 2 * n
+    wanted = df.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in columns]).first()
+    assert {c: [found[c].p25, found[c].p50, found[c].p75] for c in columns} == wanted.asDict()
+
+
 def test_ranges_that_miss_their_rank(spark, monkeypatch):
     """Wrong brackets cost passes, not results; narrow limits are sketched again."""
     df = spark.createDataFrame([(float(i * 7919 % 20_000),) for i in range(20_000)], "v double")
