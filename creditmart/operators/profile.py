@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from creditmart.functions.columns import quoted, usable
 from creditmart.functions.quantiles import exact_quantiles, outline, quantiles
+from creditmart.session import mart_settings
 
 
 # Hex digits of a hash that name its bucket in a sample: 65,536 buckets.
@@ -137,11 +138,12 @@ def describe_numbers(
     if accuracy is None:
         # One pass gives the moments and what the quantiles need first.
         outlines = [outline(v).alias(f"_{i}_outline") for i, v in enumerate(values.values())]
-        both = df.agg(*moments, *outlines).first()
+        with mart_settings(df.sparkSession):
+            both = df.agg(*moments, *outlines).first()
+            found = exact_quantiles(df, columns, probabilities, outlines=both[len(moments):])
         described = df.sparkSession.createDataFrame([both[:len(moments)]], ", ".join(
             f"_{i} struct<count: bigint, mean: double, std: double, min: double, max: double>" for i in range(len(moments))
         ))
-        found = exact_quantiles(df, columns, probabilities, outlines=both[len(moments):])
     else:
         described = df.agg(*moments)
         found = quantiles(df, columns, probabilities, accuracy=accuracy)

@@ -4,9 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# What the layers of the mart rely on for speed, none of it for correctness.
+MART_CONF = {
+    # Tables in buckets by customer are joined by customer and date where they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # The JVM does not compile methods above 8000 bytes; a stage that wide runs
+    # faster as several smaller generated methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+@contextmanager
+def mart_settings(spark: SparkSession) -> Iterator[None]:
+    """Run writes with ``MART_CONF`` in a session made elsewhere; its own settings come back."""
+    before = {key: spark.conf.get(key) for key in MART_CONF}
+    try:
+        for key, value in MART_CONF.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
 
 def get_session(app: str = "creditmart", **conf: str) -> SparkSession:
     """A session with the settings the mart relies on for speed, none for correctness.
@@ -20,18 +44,13 @@ def get_session(app: str = "creditmart", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-        # Tables in buckets by customer are joined by customer and date where they lie.
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.ui.enabled", "false")
         # Files of checkpoints go when their last reference does.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        # The JVM does not compile methods above 8000 bytes; a stage that wide runs
-        # faster as several smaller generated methods.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the call site of every column slows the building of wide plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in conf.items():
+    for key, value in {**MART_CONF, **conf}.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 

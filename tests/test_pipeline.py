@@ -101,3 +101,11 @@ def test_a_set_without_rows_is_empty(spark):
     tables.write_snapshots(rows.filter("k = 1"), path, by="split", values=prepare.SETS)
     assert [r.k for r in tables.read_snapshots(spark, path).collect()] == [1]
     assert tables.read_snapshots(spark, path, values=["oot"]).count() == 0
+
+
+def test_few_row_groups_are_dealt_to_all_cores(spark):
+    """The rules on wide rows made of a small file run in more than one task."""
+    rows = view_of(spark, "financials_raw")
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    customers = spark.read.parquet(f"{SF}/customer.parquet")
+    assert rows.count() == customers.count() + customers.filter("c_custkey % 3 = 0").count()
