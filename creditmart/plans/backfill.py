@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditmart.operators import assemble, clean, features, loans
 from creditmart.plans import click_history, vocabulary
+from creditmart.session import mart_settings
 from creditmart.sources import log, raw, tables
 from creditmart.sources.buckets import Buckets, count_for
 from creditmart.sources.spine import as_dates
@@ -155,7 +156,8 @@ def backfill(
     list of loans is known, as if one run had learnt all types.
     """
     layout, spine = Layout(root), as_dates(spine)
-    run_bronze(spark, sources, layout, spine)
-    run_silver(spark, layout, spine)
-    run_gold(spark, layout, spine, loan_types, dpd, mob)
+    with mart_settings(spark):
+        run_bronze(spark, sources, layout, spine)
+        run_silver(spark, layout, spine)
+        run_gold(spark, layout, spine, loan_types, dpd, mob)
     return layout

@@ -109,3 +109,26 @@ def test_few_row_groups_are_dealt_to_all_cores(spark):
     assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     customers = spark.read.parquet(f"{SF}/customer.parquet")
     assert rows.count() == customers.count() + customers.filter("c_custkey % 3 = 0").count()
+
+
+def test_join_without_wide_shuffles_in_any_session(spark, mart, monkeypatch):
+    """The backfill makes the settings its joins rely on, and gives the session's own back."""
+    _, paths = mart
+    key, plans = "spark.sql.requireAllClusterKeysForCoPartition", []
+    plain = backfill.assemble.features
+
+    def joined(*parts):
+        found = plain(*parts)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(backfill.assemble, "features", joined)
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        backfill.backfill(spark, paths, scratch_path(spark, "other_session"), ["2024-02-01"], mob=2)
+        assert spark.conf.get(key) == "true"
+    finally:
+        spark.conf.set(key, kept)
+    # Only the keys of the two feature tables are exchanged.
+    assert plans[0].count("Exchange hashpartitioning") == 2
