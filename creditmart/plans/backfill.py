@@ -68,7 +68,10 @@ def run_silver(spark: SparkSession, layout: Layout, spine: Iterable[str | date])
     def write(dataset: str) -> None:
         text = tables.read_snapshots(spark, layout.bronze(dataset), spine, by=raw.SNAPSHOT_PARTITION)
         text = text.drop(raw.SNAPSHOT_PARTITION)
-        tables.write_snapshots(rules[dataset](text), layout.silver(dataset), dates=spine)
+        # Bronze lies by snapshot already; only the removal of repeated clicks mixes the rows.
+        tables.write_snapshots(
+            rules[dataset](text), layout.silver(dataset), dates=spine, rebalance=dataset == "fe_click"
+        )
 
     _together(spark, [partial(write, dataset) for dataset in DATASETS])
 

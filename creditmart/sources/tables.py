@@ -32,6 +32,7 @@ def write_snapshots(
     values: Iterable[str] = (),
     note: dict | None = None,
     buckets: bucketing.Buckets | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Replace the snapshots present in ``df``, all of them at once; every other snapshot stays.
 
@@ -39,7 +40,8 @@ def write_snapshots(
     entry of the table's log, so a run that fails leaves the table as it was.
     The rebalance hint lets adaptive execution cut each snapshot into files of
     the advisory size: no task holds a whole month, and no task leaves one small
-    file per month. A snapshot listed in ``dates`` (or, for another column, in
+    file per month. Rows scanned from snapshots so written need no ``rebalance`` and no shuffle: they
+    become as many files as the scan has splits at most. A snapshot listed in ``dates`` (or, for another column, in
     ``values``) that has no rows becomes an empty one, so that every date of a run
     can be read and a second run leaves nothing of the first behind. Columns are
     matched by name; a column of another type than before is refused unless no older
@@ -69,7 +71,7 @@ def write_snapshots(
         bucketing.write(rows, path, run, by, buckets)
     else:
         (
-            rows.hint("rebalance", F.col(by))
+            (rows.hint("rebalance", F.col(by)) if rebalance else rows)
             .write.partitionBy(by).options(**(CSV_OPTIONS if fmt == "csv" else {}))
             .format(fmt).save(f"{path}/{log.RUN_COLUMN}={run}")
         )

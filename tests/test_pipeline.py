@@ -132,3 +132,22 @@ def test_join_without_wide_shuffles_in_any_session(spark, mart, monkeypatch):
         spark.conf.set(key, kept)
     # Only the keys of the two feature tables are exchanged.
     assert plans[0].count("Exchange hashpartitioning") == 2
+
+
+def test_silver_is_written_where_bronze_lies(spark, mart, monkeypatch):
+    layout, _ = mart
+    again = backfill.Layout(scratch_path(spark, "silver_again"))
+    monkeypatch.setattr(backfill, "DATASETS", ["fe_attr", "fe_fin", "lms"])
+    monkeypatch.setattr(backfill.Layout, "bronze", lambda _, dataset: f"{layout.root}/bronze/{dataset}")
+    context, group = spark.sparkContext, "silver again"
+    context.setJobGroup(group, group)
+    try:
+        backfill.run_silver(spark, again, SPINE)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = [len(status.getJobInfo(job).stageIds) for job in status.getJobIdsForGroup(group)]
+    assert stages == [1, 1, 1]
+    for dataset in backfill.DATASETS:
+        new, old = (tables.read_snapshots(spark, lay.silver(dataset)) for lay in (again, layout))
+        assert new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty()
