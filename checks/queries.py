@@ -278,7 +278,8 @@ def backfill_second_run(spark: SparkSession, sf: str) -> DataFrame:
 def backfill_two_runs_equal_one(spark: SparkSession, sf: str) -> DataFrame:
     """Feature rows of one run, of two runs over the same files, and those alike in every column.
 
-    The second run knows a loan type the first one has not seen.
+    The second run knows a loan type the first one has not seen. Whole rows are compared by
+    their SHA-256, so that 32 bytes a row are shuffled.
     """
     paths = delivered_files(spark, sf)
     paths["fe_fin"] = csv_copy(spark, sf, "financials_grown")
@@ -289,7 +290,8 @@ def backfill_two_runs_equal_one(spark: SparkSession, sf: str) -> DataFrame:
             layout = backfill.backfill(spark, paths, root, span)
         rows = tables.read_snapshots(spark, layout.gold("joined_features"))
         whole = F.to_json(F.struct(*[quoted(c) for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
-        counts[name] = rows.groupBy("snapshot_date", whole.alias("row")).agg(F.count("*").alias(name))
+        digest = F.unhex(F.sha2(whole, 256)).alias("row")
+        counts[name] = rows.groupBy("snapshot_date", digest).agg(F.count("*").alias(name))
     both = counts["one_run"].join(counts["two_runs"], ["snapshot_date", "row"], "full").fillna(0)
     return both.groupBy("snapshot_date").agg(
         F.sum("one_run").alias("one_run"), F.sum("two_runs").alias("two_runs"),

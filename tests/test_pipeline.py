@@ -151,3 +151,13 @@ def test_silver_is_written_where_bronze_lies(spark, mart, monkeypatch):
     for dataset in backfill.DATASETS:
         new, old = (tables.read_snapshots(spark, lay.silver(dataset)) for lay in (again, layout))
         assert new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty()
+
+
+def test_two_runs_are_compared_by_short_keys(spark):
+    """No whole row is shuffled to find it in the other run's table."""
+    from checks import queries
+
+    found = queries.backfill_two_runs_equal_one(spark, SF)
+    assert "sha2(" in found._jdf.queryExecution().optimizedPlan().toString()
+    for row in found.collect():
+        assert row.one_run == row.two_runs == row.alike > 0
